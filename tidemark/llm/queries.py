@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, sharding
+from tidemark.llm import bpe, packing, sharding
 from tidemark.session import ship
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.digest(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), *vocabulary), *vocabulary))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -22,5 +27,5 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_vector_packing, op10_external_shuffle)}
+QUERIES = {f.__name__: f for f in (op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
 ORACLE_SQL: dict[str, str] = {}
