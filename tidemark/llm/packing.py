@@ -9,6 +9,7 @@ has the best score: the largest dot-product of the piece with the residual capac
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.durable import durable
+from tidemark.llm.piece_table import PieceTable
 
 CAPACITY = 4096
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 40_000
-CACHE_WORDS = 1_000_000
+MARK = "\x01"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -34,43 +36,37 @@ class WordEncoder:
 
     The tokenizer drops white space, and its normaliser and pre-tokenizer never look across it, so a text's ids are
     its words' ids in order. The four information separators are white space to ``str.split`` but not to the
-    tokenizer: texts that hold one are cut at plain white space only. The table is emptied when it holds
-    ``CACHE_WORDS``.
+    tokenizer: texts that hold one are cut at plain white space only.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        (self.mark_id,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.table = PieceTable(self._encode_words)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text as unsigned 32-bit integers."""
-        split = [[w for w in re.split("[ \t\r\n]+", t) if w] if _SEPARATORS.search(t) else t.split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.clear()
-        known = self.known
-        fresh = [w for w in dict.fromkeys(w for words in split for w in words) if w not in known]
-        if fresh:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, lengths.sum())])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        return [self._gather(np.fromiter(map(known.__getitem__, words), np.int64, len(words))) for words in split]
-
-    def _gather(self, words: np.ndarray) -> np.ndarray:
-        starts, lengths = self.starts[words], self.starts[words + 1] - self.starts[words]
-        ends = np.cumsum(lengths)
-        if not len(ends):
-            return self.flat[:0]
-        return self.flat[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)]
+        return self.table.encode([[w for w in re.split("[ \\t\\r\\n]+", t) if w] if _SEPARATORS.search(t) else t.split() for t in texts])
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, joined, and their counts. Words go in one text with a mark between them: a call for each costs more."""
+        marked = [MARK in w for w in words]
+        plain = [w for w, m in zip(words, marked, strict=True) if not m]
+        chunks = [plain[k : k + 500] for k in range(0, len(plain), 500)]
+        encoded = self.tokenizer.encode_batch_fast([f" {MARK} ".join([*c, ""]) for c in chunks], add_special_tokens=False)
+        ids = np.array([i for e in encoded for i in e.ids], np.int64)
+        ends = np.flatnonzero(ids == self.mark_id)
+        lengths = np.diff(ends, prepend=-1) - 1
+        ids = ids[ids != self.mark_id]
+        if len(plain) == len(words):
+            return ids, lengths
+        alone = [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast([w for w, m in zip(words, marked, strict=True) if m], add_special_tokens=False)]
+        rest, others = iter(np.split(ids, np.cumsum(lengths)[:-1])), iter(alone)
+        each = [next(others if m else rest) for m in marked]
+        return np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -92,7 +88,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                 out: list[tuple] = []
                 texts = [t or "" for t in batch["text"].to_pylist()]
                 for doc, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(texts), strict=True):
-                    ids = np.append(ids, np.uint32(end_id))
+                    ids = np.append(ids, np.int32(end_id))
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         part = ids[start : start + capacity]
                         out.append((doc, k, start, len(part), zlib.crc32(part.astype("<u4").tobytes()), part))
