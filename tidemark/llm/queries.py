@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, packing, sharding
+from tidemark.llm import bpe, packing, quality, sharding
 from tidemark.session import ship
 
 
@@ -19,6 +19,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), *vocabulary), *vocabulary))
 
 
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -27,5 +31,5 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
+QUERIES = {f.__name__: f for f in (op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
 ORACLE_SQL: dict[str, str] = {}
