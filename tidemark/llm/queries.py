@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, neardup, packing, quality, secrets, sharding
+from tidemark.llm import ann, bpe, neardup, packing, quality, secrets, sharding
 from tidemark.session import ship
 
 
@@ -19,6 +20,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), *vocabulary), *vocabulary))
 
 
+def op1_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), is_query=F.col("id") % 50 == 0)
+
+
 def op2_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -39,5 +44,5 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_trigram_secrets, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
 ORACLE_SQL: dict[str, str] = {"op2_trigram_secrets": secrets.ORACLE_SQL}
