@@ -119,25 +119,29 @@ def _longer(rule: Rule) -> Rule:
     return Rule(rule.kind, f"{tail[1]}{{{rule.least},}}", 0, rule.least) if tail and rule.group == 0 else rule
 
 
+def _spans(text: Column, verify: Column, rules: tuple[Rule, ...]) -> Column:
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    each = [matches(text, _longer(r)) if trigram_clauses(r.pattern) is None else F.when(verify, matches(text, r)).otherwise(none) for r in rules]
+    rank = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k)])
+    keyed = F.transform(F.concat(*each), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+
+
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``id, spans`` of every row: array of ``kind, start, end``, by start, then in the order of ``rules``.
+    """``id, text, spans`` of every row; spans are ``kind, start, end``, by start, then in the order of ``rules``.
 
-    Null and empty texts have no spans. Repeated rows give repeated rows; rows that share an id are verified each. Rows
-    with a null id are verified without the index. Other columns are not carried.
+    Null and empty texts have no spans (and come back as the empty text). Repeated rows give repeated rows; rows that
+    share an id are verified each. Rows with a null id are verified without the index. Other columns are not carried:
+    ``df`` may nest them in a struct column named ``rest``, which comes along.
     """
-    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rest = ["rest"] if dict(df.dtypes).get("rest", "").startswith("struct") else []
+    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *rest)
     found = durable(candidates(docs.where("id is not null"), rules)).withColumn("candidate", F.lit(True))
     # candidates grow with the corpus: they are broadcast only when counted and few, else joined by a shuffle
     small = found.count() <= BROADCAST_ROWS
     marked = docs.join(F.broadcast(found) if small else found, "id", "left")
-    verify = F.col("candidate") | F.col("id").isNull()
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    order = {r.kind: k for k, r in enumerate(rules)}
-    each = [matches(F.col("text"), _longer(r)) if trigram_clauses(r.pattern) is None else F.when(verify, matches(F.col("text"), r)).otherwise(none) for r in rules]
-    rank = F.create_map(*[F.lit(x) for kind, k in order.items() for x in (kind, k)])
-    keyed = F.transform(F.concat(*each), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
-    ordered = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return marked.select("id", "text", ordered.alias("spans"))
+    verify = F.coalesce("candidate", F.col("id").isNull())
+    return marked.select("id", "text", *rest, _spans(F.col("text"), verify, rules).alias("spans"))
 
 
 def digest(scanned: DataFrame) -> DataFrame:
@@ -149,8 +153,8 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select(F.col("id").alias("doc_id"), *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
-def redact(scanned: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """``id, text`` with every stretch that some span covers replaced by ``mark``."""
+def redacted(mark: str = "[secret]") -> Column:
+    """The ``text`` of a scanned row with every stretch that some span covers replaced by ``mark``."""
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state: Column, span: Column) -> Column:
@@ -159,7 +163,21 @@ def redact(scanned: DataFrame, mark: str = "[secret]") -> DataFrame:
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["parts"], fresh).alias("parts"))
 
     rest = lambda state: F.concat(F.array_join(state["parts"], ""), F.col("text").substr(state["at"] + 1, F.length("text")))
-    return scanned.select("id", F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", zero, step, rest)).alias("text"))
+    return F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", zero, step, rest))
+
+
+def redact_column(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **options) -> DataFrame:
+    """``df`` with its secrets replaced in the text column, all columns and rows kept.
+
+    Null texts stay null; ``length_col`` is set to the new length where a text has changed.
+    """
+    nested = df.select(F.col(id_col), F.col(text_col), F.struct(*df.columns).alias("rest"))
+    done = scan(nested, id_col, text_col, **options).withColumn("clean", redacted())
+    hit = F.size("spans") > 0
+    value = {text_col: F.when(hit, F.col("clean")).otherwise(F.col(f"rest.`{text_col}`"))}
+    if length_col in df.columns:
+        value[length_col] = F.when(hit, F.length("clean").cast(dict(df.dtypes)[length_col])).otherwise(F.col(f"rest.`{length_col}`"))
+    return done.select(*[value.get(c, F.col(f"rest.`{c}`")).alias(c) for c in df.columns])
 
 
 ORACLE_SQL = """
