@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, neardup, packing, quality, secrets, sharding
+from tidemark.llm import ann, bpe, html_main, neardup, packing, quality, secrets, sharding
 from tidemark.session import ship
 
 
@@ -28,6 +28,10 @@ def op2_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op3_tree_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), words_each=3, percent=85)
 
@@ -44,5 +48,5 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op3_tree_html, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
 ORACLE_SQL: dict[str, str] = {"op2_trigram_secrets": secrets.ORACLE_SQL}
