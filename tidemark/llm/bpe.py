@@ -11,6 +11,7 @@ import base64
 import heapq
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,22 @@ WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SEGMENTS = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 
 
+_OTHER_SPACE = re.compile(f"[{WHITE_SPACE.replace(' ', '')}]")
+
+
+def _keys(text: str) -> list[str]:
+    """The text's segments: a key without a space in front stands for itself with one, unless it starts a line.
+
+    Single spaces and line ends are cut by ``str.split``; a text with any other white space by ``_SEGMENTS``.
+    """
+    plain = text.replace("\n", " \n")
+    if "  " in plain or "\n " in plain or text[-1:].isspace() or text[:1].isspace() or _OTHER_SPACE.search(text.replace("\n", "")):
+        return [f" {s}" for s in _SEGMENTS.findall(text)]
+    words = plain.split(" ")
+    words[0] = f" {words[0]}"
+    return words
+
+
 class PairHash:
     """Ranks of token pairs by linear probing; a missing pair has ``NO_RANK``."""
 
@@ -65,6 +82,13 @@ class PairHash:
         return out.reshape(keys.shape)
 
 
+def _without(matrix: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The matrix with one column of every row taken out."""
+    kept = np.ones(matrix.shape, bool)
+    kept[np.arange(len(matrix)), column] = False
+    return matrix[kept].reshape(len(matrix), matrix.shape[1] - 1)
+
+
 class ByteBPE:
     """Encoder and decoder for a file of base64 tokens with ranks; a token's rank is its id."""
 
@@ -76,30 +100,37 @@ class ByteBPE:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.size = max(self.ranks.values()) + 1
         self.byte_ids = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
-        keys, ranks = [], []
-        for token, rank in self.ranks.items():
-            for cut in range(1, len(token)):
-                left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
-                if left is not None and right is not None:
-                    keys.append(left * self.size + right)
-                    ranks.append(rank)
-        self.pairs = PairHash(np.array(keys, np.int64), np.array(ranks, np.int64))
-        self.pair_ranks = dict(zip(keys, ranks, strict=True))
         by_id = {rank: token for token, rank in self.ranks.items()}
         tokens = [by_id.get(i, b"") for i in range(self.size)]
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.token_starts = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
-        self.table = PieceTable(self._encode_segments)
+        self.table = PieceTable(self._encode_keys, 600_000)
+
+    @cached_property
+    def pair_ranks(self) -> dict[int, int]:
+        """Rank of every pair of tokens whose join is a token, by left * size + right."""
+        found = {}
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    found[left * self.size + right] = rank
+        return found
+
+    @cached_property
+    def pairs(self) -> PairHash:
+        found = self.pair_ranks
+        return PairHash(np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.table.encode([_SEGMENTS.findall(t) for t in texts])
+        return self.table.encode([_keys(t) for t in texts])
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all ids, joined, and where each id's bytes end."""
         return gather(self.token_bytes, self.token_starts, ids.astype(np.int64))
 
-    def _encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        split = [self.find(s) for s in segments]
+    def _encode_keys(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        split = [self.find(k[1:] if k[:1] == " " else k if k[:1] == "\n" else f" {k}") for k in keys]
         number: dict[str, int] = {}
         which = np.fromiter((number.setdefault(p, len(number)) for pieces in split for p in pieces), np.int64)
         flat, lengths = self.encode_pieces([p.encode("utf-8", "replace") for p in number])
@@ -153,9 +184,9 @@ class ByteBPE:
                 ids, ranks, numbers, best, rank = ids[~over], ranks[~over], numbers[~over], best[~over], rank[~over]
             if not len(ids):
                 break
-            row, columns = np.arange(len(ids)), np.arange(ids.shape[1] - 1)
-            ids = np.take_along_axis(ids, columns + (columns > best[:, None]), axis=1)
-            ranks = np.take_along_axis(ranks, columns[:-1] + (columns[:-1] > best[:, None]), axis=1)
+            row = np.arange(len(ids))
+            ids = _without(ids, best + 1)
+            ranks = _without(ranks, np.minimum(best + 1, ranks.shape[1] - 1))
             ids[row, best] = rank
             right = np.minimum(best, ranks.shape[1] - 1)
             if ranks.shape[1]:
@@ -202,10 +233,11 @@ def codec(path: str, pattern: str) -> ByteBPE:
     return _CODECS[path, pattern]
 
 
-def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", *, with_decoded: bool = False) -> DataFrame:
     """``doc_id, ids`` of every whole text, without special tokens; null and empty texts have no ids.
 
-    Repeated rows are encoded each; null ids stay null; other columns are not carried.
+    ``with_decoded`` adds ``decoded``, the bytes that the ids stand for, made from the ids in the same pass. Repeated
+    rows are encoded each; null ids stay null; other columns are not carried.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -216,9 +248,18 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 ids = bpe.encode([t or "" for t in batch["text"].to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))], ["doc_id", "ids"])
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                more = [_decoded(bpe, lists)] if with_decoded else []
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], lists, *more], ["doc_id", "ids", "decoded"][: 2 + len(more)])
+
+    return rows.mapInArrow(encoded, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>" + ", decoded binary" * with_decoded)
+
 
-    return rows.mapInArrow(encoded, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>")
+def _decoded(bpe: ByteBPE, ids: pa.ListArray) -> pa.Array:
+    offsets = ids.offsets.to_numpy()
+    flat, ends = bpe.decode(ids.values.to_numpy()[offsets[0] : offsets[-1]])
+    bounds = np.concatenate([[0], ends])[offsets - offsets[0]].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(flat))])
 
 
 def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -228,12 +269,7 @@ def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_c
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
-            ids = batch["ids"]
-            offsets = ids.offsets.to_numpy()
-            flat, ends = bpe.decode(ids.values.to_numpy()[offsets[0] : offsets[-1]])
-            bounds = np.concatenate([[0], ends])[offsets - offsets[0]].astype(np.int32)
-            binary = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(flat))])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], ids, binary], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], _decoded(bpe, batch["ids"])], ["doc_id", "ids", "decoded"])
 
     return rows.mapInArrow(decoded, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, decoded binary")
 

@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.digest(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), *vocabulary), *vocabulary))
+    return bpe.digest(bpe.encode(_table(spark, sf_dir, "documents"), *vocabulary, with_decoded=True))
 
 
 def op1_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
