@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, html_main, neardup, packing, quality, secrets, sharding
+from tidemark.llm import ann, bpe, chat, html_main, media, neardup, packing, quality, secrets, sharding
 from tidemark.session import ship
 
 
@@ -32,6 +32,14 @@ def op3_tree_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
 
+def op4_perspective_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(_table(spark, sf_dir, "conversations"))
+
+
+def op5_chroma_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.align_melodies(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
 def op6_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), words_each=3, percent=85)
 
@@ -48,5 +56,5 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op3_tree_html, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
-ORACLE_SQL: dict[str, str] = {"op2_trigram_secrets": secrets.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op3_tree_html, op4_perspective_chat, op5_chroma_alignment, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
+ORACLE_SQL: dict[str, str] = {"op2_trigram_secrets": secrets.ORACLE_SQL, "op4_perspective_chat": chat.ORACLE_SQL}
