@@ -244,7 +244,7 @@ def _normal(logs: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(sources: list[str], *, epochs: int = 250, rate: float = 0.08, decay: float = 1e-3) -> TreeModel:
+def train(sources: list[str], *, epochs: int = 200, rate: float = 0.08, decay: float = 1e-3) -> TreeModel:
     """Fit on pages whose elements carry labels in ``data-y``: gradient ascent, observed less expected counts."""
     forest = Forest.of([parse(s) for s in sources])
     n, y = len(forest.parent), forest.label
@@ -314,7 +314,9 @@ def labelled_pages(n: int, seed: int = 3) -> list[str]:
 
     pages = []
     for _ in range(n):
-        inside = [pick("", f"<h1>{words(2, 12)}</h1>", f"<header><h1>{words(2, 12)}</h1></header>")] + [content() for _ in range(rng.integers(1, 16))]
+        inside = [pick("", f"<h1>{words(2, 12)}</h1>", f"<header><h1>{words(2, 12)}</h1></header>")] + [content() for _ in range(pick(rng.integers(1, 16), rng.integers(1, 16), rng.integers(1, 16), 60))]
+        if rng.random() < 0.08:
+            inside += [f"<p>{words(1, 5)}" for _ in range(300)]
         for _ in range(pick(0, 0, 1, 2)):
             inside.insert(rng.integers(1, len(inside) + 1), noise())
         tag = pick("article", "article", "article", "main", 'div class="content"', 'div id="post"', 'section class="entry-content"', 'div class="article-body"', 'div class="story"')
@@ -328,7 +330,7 @@ def labelled_pages(n: int, seed: int = 3) -> list[str]:
 
 @lru_cache(maxsize=1)
 def default_model() -> TreeModel:
-    return train(labelled_pages(500))
+    return train(labelled_pages(400))
 
 
 def main_texts(sources: list[str | None], model: TreeModel) -> list[str]:
