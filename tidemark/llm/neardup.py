@@ -8,8 +8,9 @@ flips one bit. The XOR of two sketches counts the samples that differ, which tel
 2. Star round: in every band bucket each member is paired with the bucket's smallest id. Pairs whose sketches rule out
    the threshold go; the rest is confirmed on the full shingle sets. The links give components.
 3. Residual round: a bucket whose members already share one component is done. In any other bucket all pairs from
-   different components are compared by sketch, in blocks, without ever becoming rows; what passes is confirmed, and
-   the components are joined up.
+   different components are compared by sketch. In a small bucket what passes is confirmed as pairs, each in the first
+   bucket that it shares only. A large bucket is laid out in blocks that bring their shingle sets: pairs are confirmed
+   inside the block, and only links that join components leave it. The components are then joined up.
 
 So a group of any size costs rows in proportion to its members, yet no link between candidates is lost: a candidate
 pair is either in one component by confirmed links or has been compared itself. A pair at the threshold is missed with
@@ -34,6 +35,8 @@ PERMUTATIONS = 252
 SKETCH_BITS = 1024
 MISS = 5e-6
 BLOCK = 512
+SMALL_BUCKET = 16
+COLUMNS_AT_ONCE = 8192
 WORDS_KEPT = 500_000
 
 
@@ -203,9 +206,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tested = durable(star.where(alike & (odd <= cutoff)).select("a", "ka", "b", "kb"))
     labels = components(_verified(tested, docs, words_each, percent))
 
-    residual = _residual(buckets, facts, labels, cutoff, percent)
-    untested = durable(residual.join(tested, ["a", "ka", "b", "kb"], "left_anti"))
-    more = durable(_verified(untested, docs, words_each, percent))
+    members = durable(_mixed_members(buckets, labels))
+    few = members.where(F.col("n_all") <= SMALL_BUCKET).join(nodes, "id")
+    untested = durable(_small_bucket_pairs(few, cutoff, percent).join(tested, ["a", "ka", "b", "kb"], "left_anti"))
+    many = members.where(F.col("n_all") > SMALL_BUCKET)
+    more = durable(_verified(untested, docs, words_each, percent).union(_large_bucket_links(many, facts, docs, words_each, cutoff, percent)))
     if more.limit(1).count():
         label = lambda side: labels.select(F.col("id").alias(side), F.col("label").alias(f"l{side}"))
         joined = more.join(label("a"), "a", "left").join(label("b"), "b", "left")
@@ -221,40 +226,131 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return linked.union(alone).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
-def _residual(buckets: DataFrame, facts: DataFrame, labels: DataFrame, cutoff: int, percent: int) -> DataFrame:
-    """Pairs (a, ka, b, kb) of one bucket but different components whose sketches allow the threshold.
-
-    A bucket's largest component ("core") is never compared with itself, so only its members against the others, and
-    the others among themselves, are laid out in cells of at most ``BLOCK`` by ``BLOCK`` members.
-    """
+def _mixed_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket, id, comp, core, n_core, n_all`` of the buckets that hold several components; ``core`` is the largest."""
     placed = buckets.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("comp"))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("core"), F.max("n").alias("n_core"), F.sum("n").alias("n_all"))
-    mixed = mixed.where("n_all > n_core").select("bucket", "core", F.ceil(F.col("n_core") / BLOCK).cast("int").alias("cores"), F.ceil((F.col("n_all") - F.col("n_core")) / BLOCK).cast("int").alias("others"))
-    members = placed.join(mixed, "bucket").withColumn("is_core", F.col("comp") == F.col("core"))
-    mine = F.pmod(F.xxhash64("id"), F.when(F.col("is_core"), F.col("cores")).otherwise(F.col("others"))).cast("int")
-    members = members.withColumn("mine", mine)
+    mixed = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("core"), F.max("n").alias("n_core"), F.sum("n").alias("n_all")).where("n_all > n_core")
+    return placed.join(mixed, "bucket")
+
+
+def _small_bucket_pairs(members: DataFrame, cutoff: int, percent: int) -> DataFrame:
+    """Pairs (a, ka, b, kb) of one small bucket but different components whose sketches allow the threshold.
+
+    Buckets lie sorted in a partition, so members at every distance up to the bucket size are compared at once.
+    """
+    rows = members.select("bucket", "id", "comp", "n", "key", "sketch", "bands").repartition("bucket").sortWithinPartitions("bucket", "id")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if kept is None else pa.concat_tables([kept, table])
+            bucket = table["bucket"].to_numpy()
+            cut = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1 if bucket[0] != bucket[-1] else 0
+            kept = table.slice(cut)  # the last bucket may go on
+            if cut:
+                yield _near_rows(table.slice(0, cut), cutoff, percent)
+        if kept is not None:
+            yield _near_rows(kept, cutoff, percent)
+
+    return rows.mapInArrow(compared, "a long, ka binary, b long, kb binary").distinct()
+
+
+def _near_rows(table: pa.Table, cutoff: int, percent: int) -> pa.RecordBatch:
+    table = table.combine_chunks()
+    column = lambda name: table[name].to_numpy()
+    matrix = lambda name: table[name].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    bucket, comp, n, ids = column("bucket"), column("comp"), column("n"), column("id")
+    sketch, bands = matrix("sketch").view(np.uint64), matrix("bands")
+    first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for d in range(1, min(SMALL_BUCKET, len(ids))):
+        i = np.flatnonzero((bucket[d:] == bucket[:-d]) & (comp[d:] != comp[:-d]))
+        i = i[np.minimum(n[i], n[i + d]) * 100 >= np.maximum(n[i], n[i + d]) * percent]
+        i = i[np.bitwise_count(sketch[i] ^ sketch[i + d]).sum(axis=1) <= cutoff]
+        same = bands[i] == bands[i + d]
+        i = i[bands[i, same.argmax(axis=1)] == bucket[i]] if len(i) else i
+        first.append(i)
+        second.append(i + d)
+    i, j = np.concatenate(first), np.concatenate(second)
+    i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+    key = table["key"]
+    return pa.RecordBatch.from_arrays([pa.array(ids[i]), _flat(key.take(pa.array(i))), pa.array(ids[j]), _flat(key.take(pa.array(j)))], ["a", "ka", "b", "kb"])
+
+
+def _flat(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
+def _large_bucket_links(members: DataFrame, facts: DataFrame, docs: DataFrame, words_each: int, cutoff: int, percent: int) -> DataFrame:
+    """Links (a, b) that join components of one large bucket, confirmed on the full sets.
+
+    A bucket's largest component is never compared with itself, so only its members against the others, and the others
+    among themselves, are laid out in cells of at most about ``BLOCK`` by ``BLOCK`` members.
+    """
+    wanted = members.select("id").distinct().join(facts.select("id", "key"), "id")
+    texts = docs.join(wanted.select("id"), "id", "left_semi")
+    sets = durable(shingle_sets(texts, words_each).join(wanted, ["id", "key"], "left_semi").dropDuplicates(["id", "key"]))
+    ceil = lambda x: F.ceil(x / BLOCK).cast("int")
+    laid = members.withColumns({"is_core": F.col("comp") == F.col("core"), "cores": ceil(F.col("n_core")), "others": ceil(F.col("n_all") - F.col("n_core"))})
+    laid = laid.withColumn("mine", F.pmod(F.xxhash64("id"), F.when(F.col("is_core"), F.col("cores")).otherwise(F.col("others"))).cast("int"))
     span = lambda n: F.sequence(F.lit(0), n - 1)
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     with_others = F.transform(span(F.col("others")), lambda o: cell("core", F.col("mine"), o))
     with_cores = F.transform(span(F.col("cores")), lambda g: cell("core", g, F.col("mine")))
     among = F.transform(span(F.col("others")), lambda o: cell("other", F.least(o, F.col("mine")), F.greatest(o, F.col("mine"))))
     cells = F.when(F.col("is_core"), with_others).otherwise(F.concat(with_cores, among))
-    rows = members.select("bucket", "id", "comp", "is_core", F.explode(cells).alias("cell")).join(facts, "id")
-    rows = rows.select("bucket", "cell.kind", "cell.i", "cell.j", "id", "comp", "is_core", "n", "key", "sketch")
+    rows = laid.select("bucket", "id", "comp", "is_core", F.explode(cells).alias("cell")).join(facts, "id").join(sets, ["id", "key"])
+    rows = rows.select("bucket", "cell.kind", "cell.i", "cell.j", "id", "comp", "is_core", "n", "sketch", "shingles")
 
-    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
+    def confirmed(pdf: pd.DataFrame) -> pd.DataFrame:
         sketch = np.stack(pdf["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
         comp, n, ids = pdf["comp"].to_numpy(), pdf["n"].to_numpy(), pdf["id"].to_numpy()
         first = np.flatnonzero(pdf["is_core"]) if pdf["kind"].iloc[0] == "core" else np.arange(len(pdf))
         second = np.flatnonzero(~pdf["is_core"])
-        found = []
-        for i in first:
-            odd = np.bitwise_count(sketch[second] ^ sketch[i]).sum(axis=1)
-            near = (odd <= cutoff) & (comp[second] != comp[i]) & (np.minimum(n[second], n[i]) * 100 >= np.maximum(n[second], n[i]) * percent)
-            found += [(i, j) if ids[i] < ids[j] else (j, i) for j in second[near]]
-        a, b = (np.array([p[k] for p in found], np.int64) for k in (0, 1))
-        key = pdf["key"].to_numpy()
-        return pd.DataFrame({"a": ids[a], "ka": key[a], "b": ids[b], "kb": key[b]})
-
-    return rows.groupBy("bucket", "kind", "i", "j").applyInPandas(compared, "a long, ka binary, b long, kb binary").distinct()
+        pairs = []
+        for at in range(0, len(first), 64):
+            i = first[at : at + 64]
+            odd = np.bitwise_count(sketch[i][:, None] ^ sketch[second]).sum(axis=2)
+            fit = np.minimum(n[i][:, None], n[second]) * 100 >= np.maximum(n[i][:, None], n[second]) * percent
+            p, q = np.nonzero((odd <= cutoff) & fit & (comp[i][:, None] != comp[second]))
+            pairs.append(np.stack([i[p], second[q]]))
+        i, j = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+        used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+        links = []
+        if len(used):
+            common = _intersections([np.asarray(s) for s in pdf["shingles"].to_numpy()[used]])
+            both = common[at[: len(i)], at[len(i) :]]
+            sure = both * 100 >= (n[i] + n[j] - both) * percent
+            root = {c: c for c in comp}
+
+            def top(c: int) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            for x, y in zip(i[sure], j[sure], strict=True):
+                a, b = top(comp[x]), top(comp[y])
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    return rows.groupBy("bucket", "kind", "i", "j").applyInPandas(confirmed, "a long, b long")
+
+
+def _intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, from a 0-1 matrix of members and shared shingles, some columns at a time."""
+    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    of, column = of[shared], np.unique(column[shared], return_inverse=True)[1]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS_AT_ONCE):
+        a, b = np.searchsorted(column, [low, low + COLUMNS_AT_ONCE])
+        dense = np.zeros((len(sets), COLUMNS_AT_ONCE), np.float32)
+        dense[of[a:b], column[a:b] - low] = 1
+        out += dense @ dense.T
+    return out.astype(np.int64)
