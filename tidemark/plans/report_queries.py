@@ -139,7 +139,7 @@ def l5_move_counts(t: Tables) -> DataFrame:
 SELECT o_orderkey, coalesce(list_position(['1-URGENT', '2-HIGH', '3-MEDIUM'], o_orderpriority), 4) AS place FROM orders
 """)
 def g3_rank_order(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", reports.tenor_order(F.col("o_orderpriority"), ["1-URGENT", "2-HIGH", "3-MEDIUM"]).alias("place"))
+    return t.orders.select("o_orderkey", reports.tenor_order(F.col("o_orderpriority"), ["1-URGENT", "2-HIGH", "3-MEDIUM"]).cast("int").alias("place"))
 
 
 @query("""
