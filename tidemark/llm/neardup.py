@@ -354,3 +354,23 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
         dense[of[a:b], column[a:b] - low] = 1
         out += dense @ dense.T
     return out.astype(np.int64)
+
+
+ORACLE_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM words, generate_series(1, greatest(len(w) - 2, 1)) t(i) WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), lowest AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM lowest LEFT JOIN sizes USING (doc_id)
+"""

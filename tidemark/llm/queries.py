@@ -57,4 +57,4 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op3_tree_html, op4_perspective_chat, op5_chroma_alignment, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
-ORACLE_SQL: dict[str, str] = {"op2_trigram_secrets": secrets.ORACLE_SQL, "op4_perspective_chat": chat.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_trigram_secrets": secrets.ORACLE_SQL, "op4_perspective_chat": chat.ORACLE_SQL, "op6_odd_sketch_dedup": neardup.ORACLE_SQL}
