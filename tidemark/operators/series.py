@@ -81,18 +81,45 @@ def rolling_robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str,
     return out.where(F.abs("robust_z") > n_mad).drop("__n", "__seen", "__dev", "filled")
 
 
-def robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str, *, months: int = 3, n_mad: float = 6.0, min_obs: int = 100, scale: float = MAD_SCALE, anchor: Column | None = None, baseline: Column | None = None, run: Column | None = None) -> DataFrame:
+def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, name: str, *, bins: int = 256) -> DataFrame:
+    """Exact interpolated quantile of each key for groups of any size: ``keys, name, n``.
+
+    The built-in ``percentile`` holds a group's distinct values in one task. Here approximate quantiles cut each group into
+    bins, counts tell the bins that hold the two ranks needed, and only their rows are ranked. Nulls do not count.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    cuts = ", ".join(str(k / bins) + "D" for k in range(1, bins))
+    edges = rows.groupBy(*keys).agg(F.array_distinct(F.expr(f"percentile_approx(__v, array({cuts}), {bins * 20})")).alias("__e"))
+    binned = rows.join(edges, keys).select(*keys, "__v", F.size(F.filter("__e", lambda e: e < F.col("__v"))).alias("__bin"))
+    counts = binned.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__c"))
+    upto = F.sum("__c").over(_w(keys, "__bin").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("__c").over(Window.partitionBy(*keys))
+    placed = counts.withColumns({"__first": upto - F.col("__c"), "n": total}).withColumn("__at", (F.col("n") - 1) * p)
+    needed = placed.where((F.col("__first") <= F.ceil("__at")) & (F.col("__first") + F.col("__c") > F.floor("__at")))
+    ranked = binned.join(needed, [*keys, "__bin"]).withColumn("__rank", F.col("__first") + F.row_number().over(_w([*keys, "__bin"], "__v")) - 1)
+    low, high = F.max(F.when(F.col("__rank") == F.floor("__at"), F.col("__v"))), F.max(F.when(F.col("__rank") == F.ceil("__at"), F.col("__v")))
+    share = F.first("__at") - F.floor(F.first("__at"))
+    return ranked.groupBy(*keys).agg((low + (high - low) * share).alias(name), F.first("n").alias("n"))
+
+
+def robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str, *, months: int = 3, n_mad: float = 6.0, min_obs: int = 100, scale: float = MAD_SCALE, anchor: Column | None = None, baseline: Column | None = None, run: Column | None = None, large_groups: bool = False) -> DataFrame:
     """Rows far from their group's median over the trailing months, in scaled median absolute deviations.
 
     The baseline ends at the last instant of the run window (or at ``anchor``) and is not narrowed by the window itself.
     Groups with fewer than ``min_obs`` baseline values or without spread have no outliers. ``baseline`` limits which rows
-    count for it, ``run`` which rows are judged.
+    count for it, ``run`` which rows are judged. With ``large_groups`` the medians come from ``group_quantile``, for
+    groups whose values do not fit into one task.
     """
     judged = df if run is None else df.where(run)
     # one row, so the broadcast is bounded
     end = judged.agg(F.max(ts).alias("__end")) if anchor is None else df.sparkSession.range(1).select(anchor.alias("__end"))
     pool = df if baseline is None else df.where(baseline)
     pool = pool.crossJoin(F.broadcast(end)).where((F.col(ts) <= F.col("__end")) & (F.col(ts) >= F.add_months(F.col("__end").cast("date"), -months)) & F.col(value).isNotNull())
+    if large_groups:
+        medians = group_quantile(pool, keys, value, 0.5, "med").withColumnRenamed("n", "n_obs").where(F.col("n_obs") >= min_obs)
+        apart = pool.join(medians, keys).withColumn("__d", F.abs(F.col(value) - F.col("med")))
+        mads = group_quantile(apart, keys, "__d", 0.5, "mad").select(*keys, "mad").where("mad > 0")
+        return judged.join(medians.join(mads, keys), keys).withColumn("robust_z", (F.col(value) - F.col("med")) / (F.col("mad") * scale)).where(F.abs("robust_z") > n_mad)
     medians = pool.groupBy(*keys).agg(F.expr(f"percentile({value}, 0.5)").alias("med"), F.count(value).alias("n_obs")).where(F.col("n_obs") >= min_obs)
     spread = pool.join(medians, keys).groupBy(*keys).agg(F.expr(f"percentile(abs({value} - med), 0.5)").alias("mad"), F.first("med").alias("med"), F.first("n_obs").alias("n_obs")).where("mad > 0")
     return judged.join(spread, keys).withColumn("robust_z", (F.col(value) - F.col("med")) / (F.col("mad") * scale)).where(F.abs("robust_z") > n_mad)

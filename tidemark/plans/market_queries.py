@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import parse
 from tidemark.operators import checks, joins, prediction, series
-from tidemark.plans.registry import Tables, query, stamp
+from tidemark.plans.registry import ORACLE_SQL, Tables, query, stamp
 
 _S = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
 
@@ -29,6 +29,20 @@ def k5_robust_outlier(t: Tables) -> DataFrame:
     return out.select("event_id", "event_type", _r("value"), _r("robust_z"), "n_obs")
 
 
+@query("""
+SELECT event_type, round(quantile_cont(value, 0.5), 6) AS med, round(quantile_cont(value, 0.9), 6) AS p90, count(value) AS n FROM events GROUP BY 1
+""")
+def e5_large_group_quantiles(t: Tables) -> DataFrame:
+    med = series.group_quantile(t.events, ["event_type"], "value", 0.5, "med")
+    return med.join(series.group_quantile(t.events, ["event_type"], "value", 0.9, "p90").drop("n"), "event_type").select("event_type", _r("med"), _r("p90"), "n")
+
+
+@query(ORACLE_SQL["k5_robust_outlier"])
+def k5_robust_large_groups(t: Tables) -> DataFrame:
+    out = series.robust_outliers(t.events, ["event_type"], "ts", "value", months=3, n_mad=3.0, min_obs=100, large_groups=True)
+    return out.select("event_id", "event_type", _r("value"), _r("robust_z"), "n_obs")
+
+
 @query("""
 WITH s AS (SELECT event_type, avg(value) AS m, stddev_samp(value) AS sd FROM events GROUP BY 1 HAVING stddev_samp(value) > 0)
 SELECT event_id, event_type, round((value - m) / sd, 6) AS z FROM events JOIN s USING (event_type) WHERE abs((value - m) / sd) > 2.5
