@@ -5,16 +5,15 @@
 3. secrets: every secret is replaced by a mark; all documents stay.
 4. packing: the documents become pieces of at most 4096 tokens in packed sequences.
 
-Every stage's output is written and read again before the next. All but the last return the columns of ``documents``;
-rows with a null id have no decision of their own and stay as they are. Where several rows share an id, the
-lowest expected grade decides for all of them, and of near copies all rows with the kept id stay.
+Every stage's output is written and read again before the next. All but the last return the columns of ``documents``.
+The quality stage judges every row by its text. In the near-dedup stage rows with a null id stay, and of near copies
+all rows with the kept id.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import neardup, packing, quality, secrets
 from tidemark.llm.durable import durable
@@ -31,8 +30,7 @@ def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.classify(docs, labels)
-    return _keep(docs, durable(scored.groupBy("doc_id").agg(F.min("kept").alias("kept")).where("kept").select("doc_id")))
+    return quality.keep_rows(docs, quality.train(docs, labels))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

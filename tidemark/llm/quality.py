@@ -151,6 +151,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(x, rows["grade"].to_numpy(dtype=np.int64))
 
 
+def keep_rows(docs: DataFrame, model: Ordinal, text_col: str = "text", *, keep: float = KEEP) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose probability of the top grade reaches ``keep``.
+
+    Every row is judged by its own text in the task that reads it: nothing is joined or shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, thresholds = shared.value
+        for batch in batches:
+            total = np.array([weights[features(t)].sum() for t in batch[text_col].to_pylist()])
+            yield batch.filter(pa.array(Ordinal(weights, thresholds).tails(total)[:, -1] >= keep))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", *, keep: float = KEEP) -> DataFrame:
     """``doc_id, expected_grade, p_top, kept`` of every row; the weights go to the tasks as one bounded broadcast."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
