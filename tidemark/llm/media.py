@@ -163,31 +163,42 @@ def search(asked: DataFrame, there: DataFrame, *, k: int = 5, most_errors: float
     return full.withColumn("rank", best("id")).where(F.col("rank") <= k).select("query_id", "rank", "id", "offset", "votes", "overlap", "bit_errors")
 
 
-def tones(df: DataFrame, id_col: str, vec_col: str, *, rate: int = 4000, note: int = 512, first: int = 0, last: int | None = None) -> DataFrame:
-    """``id, media``: each vector played as a melody, a note for each component, from sample ``first`` to ``last``.
-
-    A stand-in for recordings where a table has none. Null vectors have null media; null components are rests.
-    """
+def play(vec: list | None, rate: int = 4000, note: int = 512, first: int = 0, last: int | None = None) -> bytes | None:
+    """A vector as 16-bit PCM: a note for each component, from sample ``first`` to ``last``; null components are rests."""
+    if vec is None:
+        return None
+    v = np.array([np.nan if x is None else x for x in vec], float)
+    step = np.clip(np.round(np.nan_to_num(v, posinf=1, neginf=-1) * 48) + 18, 0, 36)
+    wave = np.sin(2 * np.pi * (110 * 2 ** (step / 12))[:, None] * np.arange(note) / rate) * np.isfinite(v)[:, None]
+    return (wave.ravel()[first:last] * 20000).astype("<i2").tobytes()
+
+
+def tones(df: DataFrame, id_col: str, vec_col: str, *, rate: int = 4000, first: int = 0, last: int | None = None) -> DataFrame:
+    """``id, media``: each vector played as a melody, a stand-in for recordings where a table has none; null vectors have null media."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
 
     def played(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        beat = np.arange(note)
         for pdf in batches:
-            media = []
-            for vec in pdf["vec"]:
-                if vec is None:
-                    media.append(None)
-                    continue
-                v = np.array([np.nan if x is None else x for x in vec], float)
-                step = np.clip(np.round(np.nan_to_num(v, posinf=1, neginf=-1) * 48) + 18, 0, 36)
-                wave = np.sin(2 * np.pi * (110 * 2 ** (step / 12))[:, None] * beat / rate) * np.isfinite(v)[:, None]
-                media.append({"rate": rate, "pcm": (wave.ravel()[first:last] * 20000).astype("<i2").tobytes()})
-            yield pd.DataFrame({"id": pdf["id"], "media": media})
+            for at in range(0, len(pdf), 64):
+                part = pdf.iloc[at : at + 64]
+                pcm = [play(v, rate, first=first, last=last) for v in part["vec"]]
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "media": [None if p is None else {"rate": rate, "pcm": p} for p in pcm]})
 
     return rows.mapInPandas(played, f"id long, media {MEDIA_TYPE}")
 
 
+def melody_fingerprints(df: DataFrame, id_col: str, vec_col: str, *, rate: int = 4000, first: int = 0, last: int | None = None) -> DataFrame:
+    """The fingerprints of ``tones`` made as each vector is played, so that no batch of recordings is ever held."""
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where("id is not null")
+
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["id"], "codes": [codes(play(v, rate, first=first, last=last), rate).view(np.int32) for v in pdf["vec"]]})
+
+    return rows.mapInPandas(coded, "id long, codes array<int>")
+
+
 def align_melodies(df: DataFrame, id_col: str, vec_col: str, asks: Column, **options) -> DataFrame:
     """Clips from the middle of the rows that ``asks`` picks, cut off the beat, aligned against all rows' melodies."""
-    clips = tones(df.where(asks), id_col, vec_col, first=8192 + 37, last=24576)
-    return search(fingerprints(clips, "id", "media"), fingerprints(tones(df, id_col, vec_col), "id", "media"), **options)
+    clips = melody_fingerprints(df.where(asks), id_col, vec_col, first=8192 + 37, last=24576)
+    return search(clips, melody_fingerprints(df, id_col, vec_col), **options)
