@@ -163,9 +163,12 @@ def other_lanes(df: DataFrame, key: list[str], lane: str, value: str) -> DataFra
 
 
 def month_end_snapshots(df: DataFrame, keys: list[str], date: str, start: Column, end: Column, within_days: int = 5) -> DataFrame:
-    """For each key and month end, the last date with data at most ``within_days`` before it (null, if none)."""
+    """For each key and month end, the last date with data at most ``within_days`` before it (null, if none).
+
+    A date is offered to every month end from its own month's to the last that ``within_days`` reach.
+    """
     spine = df.select(*keys).distinct().withColumn("month_end", F.explode(F.transform(F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("interval 1 month")), lambda d: F.last_day(d))))
-    reach = df.select(*keys, F.col(date).alias("snapshot")).distinct().withColumn("month_end", F.explode(F.array_distinct(F.array(F.last_day("snapshot"), F.last_day(F.add_months("snapshot", -1))))))
+    reach = df.select(*keys, F.col(date).alias("snapshot")).distinct().withColumn("month_end", F.explode(F.transform(F.sequence(F.trunc("snapshot", "MM"), F.trunc(F.date_add("snapshot", within_days), "MM"), F.expr("interval 1 month")), lambda d: F.last_day(d))))
     near = reach.where(F.datediff("month_end", "snapshot").between(0, within_days)).groupBy(*keys, "month_end").agg(F.max("snapshot").alias("snapshot"))
     return spine.join(near, [*keys, "month_end"], "left")
 

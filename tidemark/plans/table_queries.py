@@ -113,6 +113,17 @@ def d26_month_end_snapshots(t: Tables) -> DataFrame:
     return joins.month_end_snapshots(o, ["k"], "d", F.lit("1995-01-01").cast("date"), F.lit("1995-12-01").cast("date"), 20)
 
 
+@query("""
+WITH o AS (SELECT DISTINCT o_custkey AS k, o_orderdate::DATE AS d FROM orders), r AS (SELECT min(d) AS lo, max(d) AS hi FROM o),
+s AS (SELECT k, last_day(m::DATE) AS month_end FROM (SELECT DISTINCT k FROM o), (SELECT unnest(generate_series(date_trunc('month', lo)::TIMESTAMP, date_trunc('month', hi)::TIMESTAMP, INTERVAL 1 MONTH)) AS m FROM r))
+SELECT s.k, month_end, max(d) AS snapshot FROM s LEFT JOIN o ON o.k = s.k AND d <= month_end AND month_end - d <= 20 GROUP BY 1, 2
+""", dates=("month_end", "snapshot"))
+def d26_month_end_snapshots_all(t: Tables) -> DataFrame:
+    o = t.orders.select(F.col("o_custkey").alias("k"), _day("o_orderdate", "d"))
+    first, last = o.agg(F.min("d"), F.max("d")).first()  # two dates
+    return joins.month_end_snapshots(o, ["k"], "d", F.lit(first), F.lit(last), 20)
+
+
 @query("""
 SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 45 OR l_quantity < 2
 """)
