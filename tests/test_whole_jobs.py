@@ -25,3 +25,26 @@ def test_month_ends_of_every_customer(spark):
     o = spark.read.parquet(f"{SF}/orders.parquet")
     months = o.select(F.months_between(F.trunc(F.max("o_orderdate"), "MM"), F.trunc(F.min("o_orderdate"), "MM")) + 1).first()[0]
     assert got.count() == o.select("o_custkey").distinct().count() * months
+
+
+def test_every_order_and_shipment_is_matched(spark):
+    o, i = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "lineitem"))
+    got = registry.QUERIES["d12_window_match_all"](spark, SF).toPandas()
+    left = got[got["left_date"].notna()]
+    assert len(left) == o.select("o_custkey", F.to_date("o_orderdate")).distinct().count()
+    shipped = i.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", F.to_date("l_shipdate").cast("string")).distinct().collect()
+    ordered = set(zip(left["k"], left["left_date"], strict=True))
+    near = {(k, str(dt.date.fromisoformat(d) + dt.timedelta(days=n))) for k, d in ordered for n in range(-3, 4)}
+    alone = got[got["status"] == "RIGHT_ONLY"]
+    assert set(zip(alone["k"], alone["right_date"], strict=True)) == {(k, d) for k, d in shipped if (k, d) not in near}
+
+
+def test_backfill_and_calendars_take_whole_tables(spark):
+    o, i = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "lineitem"))
+    at = dict(o.select("o_orderkey", "o_custkey").collect())
+    stored = {(at[r.l_orderkey], r.l_shipdate) for r in i.select("l_orderkey", "l_shipdate").collect() if r.l_orderkey in at}
+    last = max(ts for _, ts in stored)
+    want = [r.o_orderkey for r in o.collect() if r.o_orderdate < last and (r.o_custkey, r.o_orderdate) not in stored]
+    assert sorted(r.o_orderkey for r in registry.QUERIES["l4_clamp_backfill_all"](spark, SF).collect()) == sorted(want)
+    off = registry.QUERIES["i2_trading_days_all"](spark, SF).where("is_holiday").select("calendar", "d")
+    assert off.count() == i.select("l_suppkey", F.to_date("l_shipdate")).distinct().count()

@@ -292,6 +292,17 @@ def l4_clamp_backfill(t: Tables) -> DataFrame:
     return prediction.clamp_backfill(t.events.where("event_id % 2 = 0"), live, ["user_id"], "ts", F.lit(first), F.lit("2100-01-01").cast("timestamp")).select("event_id")
 
 
+@query("""
+WITH l AS (SELECT DISTINCT o_custkey AS k, l_shipdate AS ts FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT o_orderkey FROM orders WHERE o_orderdate < (SELECT max(ts) FROM l) AND NOT EXISTS (SELECT 1 FROM l WHERE l.k = o_custkey AND l.ts = o_orderdate)
+""")
+def l4_clamp_backfill_all(t: Tables) -> DataFrame:
+    points = t.orders.select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("ts"), "o_orderkey")
+    live = t.lineitem.join(points.select("k", "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).select("k", F.col("l_shipdate").alias("ts"))
+    first = points.agg(F.min("ts")).first()[0]  # one instant
+    return prediction.clamp_backfill(points, live, ["k"], "ts", F.lit(first), F.lit("2100-01-01").cast("timestamp")).select("o_orderkey")
+
+
 @query("""
 WITH r AS (SELECT n_nationkey AS slug FROM nation), m AS (SELECT c_nationkey AS slug, max((c_acctbal > 9000)::INT) AS o FROM customer WHERE c_nationkey % 6 <> 0 GROUP BY 1)
 SELECT slug, CASE WHEN o IS NULL THEN 'MISSING' WHEN o = 1 THEN 'LIVE' ELSE 'DEAD' END AS status FROM r LEFT JOIN m USING (slug)

@@ -78,6 +78,19 @@ def d12_window_match(t: Tables) -> DataFrame:
     return joins.match_within_days(o.where("o_orderkey % 11 = 0"), o.where("o_orderkey % 13 = 0"), ["k"], "d", 3)
 
 
+@query("""
+WITH l AS (SELECT DISTINCT o_custkey AS k, o_orderdate::DATE AS a FROM orders), r AS (SELECT DISTINCT o_custkey AS k, l_shipdate::DATE AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+m AS (SELECT l.k, a, b, b - a AS delta FROM l JOIN r ON l.k = r.k AND abs(b - a) <= 3), n AS (SELECT *, row_number() OVER (PARTITION BY k, a ORDER BY delta <> 0, delta) AS i FROM m)
+SELECT k, a AS left_date, b AS right_date, CASE WHEN delta = 0 THEN 'MATCH' ELSE 'DATE_MISMATCH' END AS status FROM n WHERE i = 1
+UNION ALL SELECT k, a, NULL, 'LEFT_ONLY' FROM l WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.k = l.k AND m.a = l.a)
+UNION ALL SELECT k, NULL, b, 'RIGHT_ONLY' FROM r WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.k = r.k AND m.b = r.b)
+""", dates=("left_date", "right_date"))
+def d12_window_match_all(t: Tables) -> DataFrame:
+    o = t.orders.select(F.col("o_custkey").alias("k"), _day("o_orderdate", "d"), "o_orderkey")
+    shipped = t.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("k", _day("l_shipdate", "d"))
+    return joins.match_within_days(o, shipped, ["k"], "d", 3)
+
+
 @query("""
 SELECT i.o_orderkey, i.o_custkey FROM orders i WHERE NOT EXISTS (SELECT 1 FROM orders e WHERE e.o_orderkey % 3 = 0 AND e.o_orderkey = i.o_orderkey)
 """)
@@ -267,6 +280,23 @@ def i2_trading_days(t: Tables) -> DataFrame:
     return calendars.neighbours(days).select("d", "is_weekend", "is_holiday", "is_trading", F.col("trading_no").cast("long").alias("trading_no"), "last_trading", "next_trading")
 
 
+@query("""
+WITH off AS (SELECT DISTINCT l_suppkey AS calendar, l_shipdate::DATE AS d FROM lineitem), r AS (SELECT min(d) AS lo, max(d) AS hi FROM off),
+s AS (SELECT calendar, g::DATE AS d FROM (SELECT DISTINCT calendar FROM off), (SELECT unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 DAY)) AS g FROM r)),
+x AS (SELECT s.calendar, s.d, isodow(s.d) >= 6 AS is_weekend, off.d IS NOT NULL AS is_holiday FROM s LEFT JOIN off ON s.calendar = off.calendar AND s.d = off.d)
+SELECT calendar, d, is_weekend, is_holiday, NOT is_weekend AND NOT is_holiday AS is_trading, sum((NOT is_weekend AND NOT is_holiday)::INT) OVER (PARTITION BY calendar ORDER BY d)::BIGINT AS trading_no,
+    max(CASE WHEN NOT is_weekend AND NOT is_holiday THEN d END) OVER (PARTITION BY calendar ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_trading,
+    min(CASE WHEN NOT is_weekend AND NOT is_holiday THEN d END) OVER (PARTITION BY calendar ORDER BY d ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_trading FROM x
+""", dates=("d", "last_trading", "next_trading"))
+def i2_trading_days_all(t: Tables) -> DataFrame:
+    # a calendar for each supplier, whose ship dates are its days off
+    off = t.lineitem.select(F.col("l_suppkey").alias("calendar"), _day("l_shipdate", "holiday_date"))
+    cal = off.select("calendar").distinct().withColumn("weekend", F.lit("5,6"))
+    first, last = off.agg(F.min("holiday_date"), F.max("holiday_date")).first()  # two dates
+    days = calendars.trading_days(cal, off, F.lit(first), F.lit(last))
+    return calendars.neighbours(days).select("calendar", "d", "is_weekend", "is_holiday", "is_trading", F.col("trading_no").cast("long").alias("trading_no"), "last_trading", "next_trading")
+
+
 @query("""
 WITH v AS (SELECT c_nationkey AS k, c_custkey AS vintage, c_acctbal AS x FROM customer), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY vintage DESC) AS i FROM v)
 SELECT k, vintage, round(x, 4) AS x FROM n WHERE i = 1
