@@ -73,6 +73,7 @@ def parse(source: str | None) -> Page:
     """Read a page as browsers do, as far as text is concerned: missing end tags, raw elements, character references.
 
     Inline elements are not nodes: their text joins the block around them. Any other tag, and a line break, ends a run.
+    A ``data-y`` of 0 or 1 is a label, for training only; pages at large put other values there, which say nothing.
     """
     source = source or ""
     page = Page([-1], [0], ["html"], [frozenset()], [0], [], [])
@@ -144,7 +145,7 @@ def parse(source: str | None) -> Page:
             page.depth.append(page.depth[node] + 1)
             page.tag.append(name)
             page.groups.append(frozenset(_WORD_GROUP[w] for w in words if w in _WORD_GROUP))
-            page.label.append(int(attributes["data-y"]) if "data-y" in attributes else page.label[node])
+            page.label.append(int(attributes["data-y"]) if attributes.get("data-y") in ("0", "1") else page.label[node])
             node = len(page.parent) - 1
         stack.append((name, node))
         silent += name in _SILENT
@@ -191,13 +192,13 @@ class Forest:
         bins = [np.digitize(own, [1, 40, 120, 400]), np.digitize(density, [0.05, 0.3, 0.6, 0.9]), np.digitize(share, [0.02, 0.1, 0.4, 0.8]), np.digitize(place, [0.1, 0.35, 0.65, 0.9])]
         tags = [t for p in pages for t in p.tag]
         groups = [g for p in pages for g in p.groups]
-        width = 1 + 4 + 4
+        width = 1 + 4 + len(_GROUPS)
         features = np.full((total, width), _N_FEATURES - 1, np.int64)  # the last weight stays zero
         features[:, 0] = [_TAG_AT.get(t, len(_TAGS)) for t in tags]
         for k, b in enumerate(bins):
             features[:, 1 + k] = _BASE_BINS + 5 * k + b
         for i, g in enumerate(groups):
-            for k, name in enumerate(sorted(g)[:4]):
+            for k, name in enumerate(sorted(g)):
                 features[i, 5 + k] = _BASE_WORDS + _GROUPS.index(name)
         suspect = np.array([t in _SUSPECT_TAGS or bool(g - {"content"}) for t, g in zip(tags, groups, strict=True)])
         central = np.array([t in ("article", "main") or g == {"content"} for t, g in zip(tags, groups, strict=True)])
