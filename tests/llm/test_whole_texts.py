@@ -1,6 +1,8 @@
 """Whole pages and texts: what the training-data operators must neither fail on nor leave out."""
 
-from tidemark.llm import html_main
+import numpy as np
+
+from tidemark.llm import html_main, quality
 
 
 def test_foreign_data_y_is_no_label(spark):
@@ -16,3 +18,24 @@ def test_every_word_group_is_a_feature():
     features = set(html_main.Forest.of([page]).features[2].tolist())
     assert page.groups[2] == frozenset(groups)
     assert {html_main._BASE_WORDS + k for k in range(len(groups))} <= features
+
+
+def test_training_takes_whole_texts(spark, monkeypatch):
+    texts = [" ".join(f"{k * 7919 % 999_983:06d}" for k in range(n)) for n in (9000, 40, 41, 42)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(4)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(quality, "fit", lambda rows, grades: rows)
+    whole = [quality.features(t).tolist() for t in texts]
+    assert len(whole[0]) > 4009
+    assert [r.tolist() for r in quality.train(docs, labels)] == whole
+    monkeypatch.setattr(quality, "MAX_TRAIN_SLOTS", len(whole[0]) + 9)
+    some = [r.tolist() for r in quality.train(docs, labels)]
+    assert len(some) < 4 and all(r in whole for r in some)
+
+
+def test_toxic_documents_are_rejected(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels.where("doc_id % 4 != 0"))
+    held = quality.score(docs, model).join(labels.where("doc_id % 4 = 0").withColumn("grade", quality.grade_column()), "doc_id").toPandas()
+    assert (held["grade"] == 1).sum() >= 50
+    assert np.mean(~held[held["grade"] == 1]["kept"].astype(bool)) > 0.75  # 0.80 when written

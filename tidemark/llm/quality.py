@@ -19,13 +19,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.durable import durable
+
 HASH_BITS = 21
 BINS = 12
 SHAPES = 9 * BINS
 GRADES = 3
 KEEP = 0.5
 MAX_LABELLED = 16_000
-MAX_TRAIN_WORDS = 4_000
+MAX_TRAIN_SLOTS = 64_000_000
 WORDS_KEPT = 500_000
 LEAST_ROWS = 8
 
@@ -133,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on the ``max_labelled`` labelled documents with the smallest id hashes.
 
     ``labels`` has the id, ``quality`` and ``toxic``; rows with a null there are left out, of repeated labels the
-    lowest grade counts. Only the sample's features reach the driver, at most ``MAX_TRAIN_WORDS`` distinct words a row.
+    lowest grade counts. Only the sample's features reach the driver: whole rows in the order of the id hashes, as many
+    as ``MAX_TRAIN_SLOTS`` slots hold.
     """
     graded = labels.select(F.col(id_col).alias("id"), grade_column().alias("grade")).where("id is not null and grade is not null")
     graded = graded.groupBy("id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_labelled)
@@ -141,11 +144,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [features(t)[: 9 + MAX_TRAIN_WORDS].astype(np.int32).tobytes() for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["grade"], pa.array(got, pa.binary())], ["id", "grade", "slots"])
+            got = [features(t).astype(np.int32) for t in batch["text"].to_pylist()]
+            columns = [batch["id"], batch["grade"], pa.array([len(x) for x in got], pa.int64()), pa.array([x.tobytes() for x in got], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "grade", "size", "slots"])
 
     kind = dict(sample.dtypes)["id"]
-    rows = sample.mapInArrow(featured, f"id {kind}, grade int, slots binary").toPandas().sort_values("id", kind="stable")
+    found = durable(sample.mapInArrow(featured, f"id {kind}, grade int, size long, slots binary").withColumn("at", F.xxhash64("id")))
+    sizes = found.groupBy("at").agg(F.sum("size").alias("size")).orderBy("at").toPandas()
+    fits = sizes["at"][sizes["size"].cumsum() <= MAX_TRAIN_SLOTS]
+    if len(fits) < len(sizes):
+        found = found.where(F.col("at") <= int(fits.max())) if len(fits) else found.limit(0)
+    rows = found.select("id", "grade", "slots").toPandas().sort_values("id", kind="stable")
     rows = rows.drop_duplicates("id")
     x = [np.frombuffer(s, np.int32) for s in rows["slots"]]
     return fit(x, rows["grade"].to_numpy(dtype=np.int64))
