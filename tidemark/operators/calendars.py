@@ -33,9 +33,9 @@ def trading_days(calendars: DataFrame, holidays: DataFrame, start: Column, end:
 
 def neighbours(days: DataFrame) -> DataFrame:
     """Every date with the last trading day before and the next one after it."""
-    w = Window.partitionBy("calendar").orderBy("d")
+    upto = lambda order: Window.partitionBy("calendar").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     on = F.when(F.col("is_trading"), F.col("d"))
-    return days.withColumns({"last_trading": F.last(on, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "next_trading": F.first(on, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
+    return days.withColumns({"last_trading": F.last(on, ignorenulls=True).over(upto(F.col("d"))), "next_trading": F.last(on, ignorenulls=True).over(upto(F.desc("d")))})
 
 
 def trading_days_between(spans: DataFrame, days: DataFrame, start: str, end: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parse import is_illiquid
 from tidemark.operators.joins import asof_lags
-from tidemark.operators.series import keep_one, modal_child
+from tidemark.operators.series import keep_one, modal_child, rolling_median
 
 
 @dataclass(frozen=True)
@@ -55,9 +55,9 @@ def event_statistics(df: DataFrame, event: str, ts: str, value: str, least: int
 
 def burst_ratio(df: DataFrame, keys: list[str], ts: str, volume: str, days: int = 7) -> DataFrame:
     """The volume over the trailing median of the positive volumes of so many days."""
-    trailing = Window.partitionBy(*keys).orderBy(F.unix_micros(ts)).rangeBetween(-days * 86_400_000_000, 0)
-    base = F.expr(f"percentile(CASE WHEN {volume} > 0 THEN {volume} END, 0.5)").over(trailing)
-    return df.withColumn("baseline", base).withColumn("vol_ratio", F.col(volume) / F.nullif("baseline", F.lit(0.0)))
+    positive = df.withColumn("__positive", F.when(F.col(volume) > 0, F.col(volume)))
+    out = rolling_median(positive, keys, ts, "__positive", days * 86_400_000_000, "baseline", closed=True).drop("__positive")
+    return out.withColumn("vol_ratio", F.col(volume) / F.nullif("baseline", F.lit(0.0)))
 
 
 def alerts(markets: DataFrame, event: str, market: str, ts: str, price: str, volume: str, spread: str, t: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008

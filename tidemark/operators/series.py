@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 MAD_SCALE = 1.4826
 
@@ -57,12 +61,54 @@ def interpolate(df: DataFrame, keys: list[str], ts: str, value: str, name: str =
     """H1: nulls filled linearly by time between neighbours; leading nulls stay, trailing ones take the last value."""
     known = F.when(F.col(value).isNotNull(), F.struct(F.unix_micros(ts).alias("t"), F.col(value).cast("double").alias("v")))
     back = F.last(known, ignorenulls=True).over(_w(keys, ts).rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(known, ignorenulls=True).over(_w(keys, ts).rowsBetween(0, Window.unboundedFollowing))
+    # a frame that runs to the end is added up anew for each row: the same window backwards is not
+    ahead = F.last(known, ignorenulls=True).over(_w(keys, F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0))
     out = df.withColumns({"__b": back, "__a": ahead})
     line = F.col("__b.v") + (F.col("__a.v") - F.col("__b.v")) * (F.unix_micros(ts) - F.col("__b.t")) / F.nullif(F.col("__a.t") - F.col("__b.t"), F.lit(0))
     return out.withColumn(name, F.coalesce(F.col(value).cast("double"), line, F.when(F.col("__b").isNotNull(), F.col("__b.v")))).drop("__b", "__a")
 
 
+def rolling_median(df: DataFrame, keys: list[str], ts: str, value: str, micros: int, name: str, *, closed: bool = False, seen: str | None = None) -> DataFrame:
+    """Every row with the exact median of its key's values over the ``micros`` up to it, rows at its own instant included.
+
+    The window is (t - micros, t], or [t - micros, t] if ``closed``; nulls do not count, and a window without values has a
+    null median. ``seen`` names a column for how many values it held. Rows without an instant see each other only.
+
+    A built-in percentile over a sliding frame sorts the whole frame anew for each row. Here time is cut into stretches of
+    the window, each row also goes to the next stretch as a helper, and a task moves one ordered window over a key's
+    stretch: rows times the logarithm of the window, and a long history of one key is spread over many tasks.
+    """
+    at = F.unix_micros(ts)
+    rows = df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], at.alias("__t"), F.col(value).cast("double").alias("__v"), F.floor(at / micros).alias("__s"), F.struct(*df.columns).alias("__row"), F.lit(True).alias("__own"))
+    helpers = rows.where("__v is not null and __t is not null").withColumns({"__s": F.col("__s") + 1, "__row": F.lit(None).cast(rows.schema["__row"].dataType), "__own": F.lit(False)})
+
+    def rolled(table: pa.Table) -> pa.Table:
+        table = table.sort_by("__t")
+        t = table["__t"].fill_null(0).to_numpy()
+        v = pd.Series(table["__v"].to_numpy())
+        first, last = np.searchsorted(t, t - micros, "left" if closed else "right"), np.searchsorted(t, t, "right")
+        medians = v.rolling(_Spans(first, last), min_periods=1).median().to_numpy()
+        upto = np.concatenate([[0], np.cumsum(v.notna())])
+        own = table["__own"].to_numpy()
+        columns = [table["__row"].filter(pa.array(own)), pa.array(medians[own], pa.float64(), from_pandas=True), pa.array((upto[last] - upto[first])[own], pa.int64())]
+        return pa.table(columns, ["__row", "__median", "__seen"])
+
+    schema = rows.select("__row", F.lit(0.0).alias("__median"), F.lit(0).cast("long").alias("__seen")).schema
+    out = rows.unionByName(helpers).groupBy(*[f"__k{i}" for i in range(len(keys))], "__s").applyInArrow(rolled, StructType([StructField(f.name, f.dataType) for f in schema]))
+    return out.select("__row.*", F.col("__median").alias(name), *([F.col("__seen").alias(seen)] if seen else []))
+
+
+class _Spans(pd.api.indexers.BaseIndexer):
+    """Window bounds that were worked out before."""
+
+    def __init__(self, first: np.ndarray, last: np.ndarray):
+        super().__init__()
+        self.first, self.last = first.astype(np.int64), last.astype(np.int64)
+
+    def get_window_bounds(self, num_values: int = 0, min_periods: int | None = None, center: bool | None = None, closed: str | None = None, step: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        return self.first, self.last
+
+
 def rolling_robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str, *, days: int, n_mad: float, min_obs: int) -> DataFrame:
     """values far from their trailing median, in rolling median absolute deviations.
 
@@ -72,10 +118,10 @@ def rolling_robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str,
     """
     size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     filled = interpolate(df, keys, ts, value).withColumn("__n", size).where(F.col("__n") >= min_obs)
-    trailing = Window.partitionBy(*keys).orderBy(F.unix_micros(ts)).rangeBetween(-days * 86_400_000_000 + 1, 0)
-    stats = filled.withColumns({"rolling_median": F.expr("percentile(filled, 0.5)").over(trailing), "__seen": F.count("filled").over(trailing)})
+    span = days * 86_400_000_000
+    stats = rolling_median(filled, keys, ts, "filled", span, "rolling_median", seen="__seen")
     stats = stats.withColumn("__dev", F.abs(F.col("filled") - F.col("rolling_median")))
-    stats = stats.withColumn("rolling_mad", F.expr("percentile(__dev, 0.5)").over(trailing))
+    stats = rolling_median(stats, keys, ts, "__dev", span, "rolling_mad")
     z = (F.col(value) - F.col("rolling_median")) / F.nullif(F.col("rolling_mad") * MAD_SCALE, F.lit(0.0))
     out = stats.withColumn("robust_z", F.when(F.col("__seen") >= min_obs, z))
     return out.where(F.abs("robust_z") > n_mad).drop("__n", "__seen", "__dev", "filled")

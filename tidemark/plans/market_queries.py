@@ -362,7 +362,11 @@ def m10_feed_sessions(t: Tables) -> DataFrame:
     return feed_sessions(t.events, ["user_id"], "ts", gap="6 hours").select("user_id", stamp("start"), "n")
 
 
-@query(None)
+@query("""
+WITH m AS (SELECT *, quantile_cont(value, 0.5) OVER w AS med, count(value) OVER w AS seen, count(*) OVER (PARTITION BY event_type) AS n FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND CURRENT ROW)),
+d AS (SELECT *, quantile_cont(abs(value - med), 0.5) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND CURRENT ROW) AS mad FROM m WHERE n >= 30)
+SELECT event_id, round(med, 6) AS rolling_median, round(mad, 6) AS rolling_mad, round((value - med) / nullif(mad * 1.4826, 0), 6) AS robust_z FROM d WHERE seen >= 30 AND abs((value - med) / nullif(mad * 1.4826, 0)) > 3
+""")
 def f6_rolling_robust(t: Tables) -> DataFrame:
     out = series.rolling_robust_outliers(t.events, ["event_type"], "ts", "value", days=1, n_mad=3.0, min_obs=30)
     return out.select("event_id", _r("rolling_median"), _r("rolling_mad"), _r("robust_z"))
