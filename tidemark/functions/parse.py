@@ -196,6 +196,13 @@ def parse_text_date(c: Column, formats: tuple[str, ...] = ("d MMM yyyy", "d MMMM
     return F.coalesce(*[F.try_to_date(F.trim(c), f) for f in formats])
 
 
+def hour_starts(first: Column, last: Column) -> Column:
+    """The start of every whole hour from the one that holds ``first`` to the last that has ended by ``last``."""
+    hour = F.expr("interval 1 hour")
+    a, b = F.date_trunc("hour", first), F.date_trunc("hour", last) - hour
+    return F.when(a <= b, F.sequence(a, b, hour)).otherwise(F.array().cast("array<timestamp>"))
+
+
 def month_key(c: Column) -> Column:
     """B19: "yyyy-MM"."""
     return F.date_format(c, "yyyy-MM")

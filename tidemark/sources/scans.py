@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.parse import forward_points, mid_of
+
 
 def date_range_scan(df: DataFrame, date: str, start: Column, end: Column, columns: list[str] | None = None) -> DataFrame:
     """A1: rows from ``start`` to ``end``, both included, in date order."""
@@ -21,6 +23,11 @@ def read_view(df: DataFrame, filters: dict[str, object], order_by: list[str] | N
     return df if limit is None else df.limit(limit)
 
 
+def sql_frame(spark: SparkSession, sql: str, args: dict[str, object] | None = None, **frames: DataFrame) -> DataFrame:
+    """A3: a SQL text over named frames (``{name}``) with bound parameters (``:name``)."""
+    return spark.sql(sql, args=args or {}, **frames)
+
+
 def guarded_query(spark: SparkSession, sql: str, allowed: set[str] | None = None, max_rows: int = 500) -> DataFrame:
     """A SELECT or WITH query over allowed views only, with a row cap; anything else raises ``ValueError``."""
     text = re.sub(r"--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).strip().rstrip(";")
@@ -41,6 +48,28 @@ def describe_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFr
     return spark.createDataFrame(rows, "table_name string, place int, column_name string, data_type string")
 
 
+def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
+    """A5: columns and rows of each table."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), F.lit(len(df.columns)).alias("n_columns"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def partitioned_scan(spark: SparkSession, path: str, partitions: dict[str, list], *, date: str | None = None, start: Column | None = None, end: Column | None = None, dim: DataFrame | None = None, on: list[str] | None = None, label: str | None = None) -> DataFrame:
+    """Rows of a partitioned archive by partition values and dates, with a label from a dimension ("unknown" without one).
+
+    The values select folders before any file is opened; the dates are pushed down to the files.
+    """
+    df = spark.read.parquet(path)
+    for name, values in partitions.items():
+        df = df.where(F.col(name).isin(*values))
+    if date is not None:
+        df = df.where(F.col(date).between(start, end))
+    return df if dim is None else df.join(dim.select(*on, label), on, "left").withColumn(label, F.coalesce(label, F.lit("unknown")))
+
+
 def three_header_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Files with three header rows (ticker, alias, field) and then dd/mm/yyyy dates, as (path, obs_date, column, alias, field, value).
 
@@ -56,6 +85,17 @@ def three_header_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return out.where("obs_date is not null and value is not null")
 
 
+def sheet_quotes(cells: DataFrame, bid_field: str, ask_field: str, spot: DataFrame | None = None) -> DataFrame:
+    """Bid, ask and mid of each file, date and alias of a long sheet; with ``spot`` (obs_date, spot) also the points.
+
+    Rows without a spot that day are dropped then. A quote with one side takes that side as its mid.
+    """
+    side = lambda name: F.max(F.when(F.col("field") == name, F.col("value")))
+    quotes = cells.groupBy("path", "obs_date", "alias").agg(side(bid_field).alias("bid"), side(ask_field).alias("ask"))
+    quotes = quotes.withColumn("mid", mid_of(F.col("bid"), F.col("ask"), zero_is_missing=False))
+    return quotes if spot is None else quotes.join(spot, "obs_date").withColumn("points", forward_points(F.col("mid"), F.col("spot"), 1))
+
+
 def folder_axes(path: Column) -> list[Column]:
     """(ccy, curve, curve_type) from a folder named like ``USD_SOFR_ois``."""
     folder = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
@@ -74,6 +114,12 @@ def series_response(df: DataFrame, body: str = "body", status: str = "status") -
     return tags.select("tag", F.explode(F.arrays_zip(F.col("s.x").alias("x"), F.col("s.c").alias("c"))).alias("p")).select("tag", "p.x", F.col("p.c").alias("value")).where("value is not null")
 
 
+def landed_responses(spark: SparkSession, path: str) -> DataFrame:
+    """All landed responses of a folder, in whatever batches they came, as (tag, x, value)."""
+    body = "map<string, struct<type: string, x: array<bigint>, c: array<double>>>"
+    return series_response(spark.read.schema(f"status string, body {body}").json(path))
+
+
 def json_panel(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, unreadable lines) of a JSON-lines panel."""
     rows = spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
@@ -108,6 +154,21 @@ def manifest(df: DataFrame, partition_by: list[str], date: str) -> DataFrame:
     return df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n_rows"), F.min(date).alias("first_date"), F.max(date).alias("last_date"))
 
 
+def write_pair(dim: DataFrame, fact: DataFrame, path: str, stamp: str) -> None:
+    """A dimension and its facts under one load stamp, never over an earlier pair."""
+    dim.write.mode("errorifexists").parquet(f"{path}/dim/load={stamp}")
+    fact.write.mode("errorifexists").parquet(f"{path}/fact/load={stamp}")
+
+
+def latest_pair(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The dimension and the facts of the newest load stamp for which both were written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [{s.getPath().getParent().getName() for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, f"{kind}/load=*/_SUCCESS"))} for kind in ("dim", "fact")]
+    newest = max(done[0] & done[1])
+    return spark.read.parquet(f"{path}/dim/{newest}"), spark.read.parquet(f"{path}/fact/{newest}")
+
+
 def migrate_bars(df: DataFrame, renames: dict[str, str], required: list[str], symbol: str = "symbol") -> DataFrame:
     """Columns renamed and put in order, dots stripped from symbols; a missing column raises."""
     out = df.withColumnsRenamed(renames)
