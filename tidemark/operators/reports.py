@@ -96,6 +96,29 @@ def flow_and_stock(df: DataFrame, isin: str, version: str, issued: str, base: st
     return newest.groupBy(issued).agg(F.sum(amount).alias("flow")), one.groupBy(base).agg(F.sum(amount).alias("stock"))
 
 
+def converted_subtotals(df: DataFrame, is_subtotal: Column, keys: list[str], date: str, measures: list[str], rates: DataFrame, rate: str, order: str) -> DataFrame:
+    """The sub-total rows' measures as rows (``measure, value, converted``), at one rate for each date.
+
+    A date's rate is its first that is not null in the order of a column; a date without one has a null conversion.
+    """
+    one = rates.where(F.col(rate).isNotNull()).groupBy(date).agg(F.min_by(rate, order).alias("__rate"))
+    sums = df.where(is_subtotal).groupBy(*keys).agg(*[F.sum(F.col(m).cast("double")).alias(m) for m in measures])
+    return sums.unpivot(keys, measures, "measure", "value").join(one, date, "left").withColumn("converted", F.col("value") / F.nullif("__rate", F.lit(0.0))).drop("__rate")
+
+
+def run_summary(pipeline: str, extracted: DataFrame, loaded: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """One row for the table of runs: rows extracted and loaded, rows that fail a check, the failing checks, a status.
+
+    FAILED if nothing was loaded, WARN if rows were lost or a check fails, else OK.
+    """
+    failing = [count_if(c).alias(f"c{k}") for k, c in enumerate(checks.values())]
+    counts = loaded.agg(F.count(F.lit(1)).alias("rows_loaded"), *failing).crossJoin(F.broadcast(extracted.agg(F.count(F.lit(1)).alias("rows_extracted"))))
+    each = [F.coalesce(f"c{k}", F.lit(0)) for k in range(len(checks))]
+    out = counts.withColumns({"n_failed": sum(each, F.lit(0)), "details": F.concat_ws(",", *[F.when(n > 0, F.concat(F.lit(f"{name}:"), n.cast("string"))) for name, n in zip(checks, each, strict=True)])})
+    status = F.when(F.col("rows_loaded") == 0, "FAILED").when((F.col("rows_loaded") < F.col("rows_extracted")) | (F.col("n_failed") > 0), "WARN").otherwise("OK")
+    return out.select(F.lit(pipeline).alias("pipeline"), "rows_extracted", "rows_loaded", "n_failed", "details", status.alias("status"))
+
+
 def indicator_snapshot(indicators: DataFrame, facts: DataFrame, key: str, since: Column, now: Column, stale_days: dict[str, int]) -> DataFrame:
     """For each indicator its observations, first and last date, rows new since an instant, last value, staleness."""
     belief = latest_belief(facts.select(key, "obs_date", "vintage", "value"), [key, "obs_date"], "vintage")

@@ -29,6 +29,16 @@ def keep_one(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(_w(keys, *order))).where("__n = 1").drop("__n")
 
 
+def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """every row with the number of rows of its group."""
+    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+
+
+def top_by(df: DataFrame, score: Column, n: int, *ties: str) -> DataFrame:
+    """The ``n`` rows of the highest score (a report), ties by the given columns."""
+    return df.orderBy(score.desc_nulls_last(), *ties).limit(n)
+
+
 def last_mark_of_day(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """each key's last row of every day (of equal instants the largest row)."""
     rest = [c for c in df.columns if c not in keys]

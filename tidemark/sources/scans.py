@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.parse import forward_points, mid_of
+from tidemark.functions.parse import forward_points, mid_of, yes_no_prices
 
 
 def date_range_scan(df: DataFrame, date: str, start: Column, end: Column, columns: list[str] | None = None) -> DataFrame:
@@ -114,6 +114,13 @@ def series_response(df: DataFrame, body: str = "body", status: str = "status") -
     return tags.select("tag", F.explode(F.arrays_zip(F.col("s.x").alias("x"), F.col("s.c").alias("c"))).alias("p")).select("tag", "p.x", F.col("p.c").alias("value")).where("value is not null")
 
 
+def exploded_markets(df: DataFrame, keys: list[str], markets: str, prices: str) -> DataFrame:
+    """A row for each nested market with its fields, and the yes and no price of its JSON list."""
+    one = df.select(*keys, F.explode(markets).alias("__m")).select(*keys, "__m.*")
+    yes, no = yes_no_prices(F.col(prices))
+    return one.withColumns({"yes": yes, "no": no}).drop(prices)
+
+
 def landed_responses(spark: SparkSession, path: str) -> DataFrame:
     """All landed responses of a folder, in whatever batches they came, as (tag, x, value)."""
     body = "map<string, struct<type: string, x: array<bigint>, c: array<double>>>"
