@@ -112,3 +112,8 @@ def matrix_to_long(cells: DataFrame, sheet: str, year_row: int, month_row: int,
 def newest_per(df: DataFrame, keys: list[str], date: str, id_col: str) -> DataFrame:
     """The newest document of each key, ties to the smaller id."""
     return keep_one(df, keys, F.desc(date), F.col(id_col))
+
+
+def hits_with_report(hits: DataFrame, reports: DataFrame, vendors: DataFrame, report: str, vendor: str) -> DataFrame:
+    """Search hits with their report's and its vendor's columns; a hit whose report or vendor is gone stays, with nulls."""
+    return hits.join(reports, report, "left").join(vendors, vendor, "left")

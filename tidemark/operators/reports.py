@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.calendars import weekdays_between
-from tidemark.operators.checks import count_if, coverage, duplicates, run_checks
-from tidemark.operators.series import classify_moves, frozen_share, gaps, keep_one, last_mark_of_day, latest_belief, pct_change
+from tidemark.operators.checks import count_if, coverage, duplicates, run_checks, staleness
+from tidemark.operators.joins import asof_join, series_basis
+from tidemark.operators.series import arrival_verdict, classify_moves, completion_pass, frozen_share, gaps, keep_one, last_mark_of_day, latest_belief, pct_change
 
 
 def hygiene_band(df: DataFrame, value: str, low: float, high: float, names: DataFrame, key: str) -> DataFrame:
@@ -287,3 +290,51 @@ def ranked_lag(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame
     """Rows of each key with the first, the last and the largest step between neighbours."""
     w = Window.partitionBy(*keys).orderBy(ts)
     return df.withColumn("__s", F.abs(F.col(value) - F.lag(value).over(w))).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.max("__s").alias("largest_step"))
+
+
+def basis_check(df: DataFrame, on: list[str], series: str, value: str, base: str, other: str, limit: float) -> DataFrame:
+    """K7: keys at which two series are further apart than a limit, with both values."""
+    return series_basis(df, on, series, value, base, other).where(F.abs("basis") > limit)
+
+
+def prescreen(bars: DataFrame, history: DataFrame, keys: list[str], ts: str, value: str, threshold: float, lookback_seconds: int) -> DataFrame:
+    """K9: bars that moved by a threshold (percent) from the last stored value within the look-back."""
+    joined = asof_join(bars, history, keys, ts, value, lookback_seconds, name="last")
+    return joined.withColumn("pct", (F.col(value) / F.nullif("last_value", F.lit(0.0)) - 1) * 100).where(F.abs("pct") >= threshold)
+
+
+@dataclass(frozen=True)
+class StalenessSpec:
+    """One table to watch: its key, its date and how many days behind are too many."""
+
+    name: str
+    table: DataFrame
+    key: str
+    date: str
+    limit: int
+
+
+def staleness_monitor(specs: list[StalenessSpec], days_behind) -> DataFrame:
+    """The keys of all watched tables that are too far behind, worst first, as ``spec, key, latest, days_behind``.
+
+    ``days_behind(date column)`` counts; a key without any date is not reported.
+    """
+    out = None
+    for spec in specs:
+        newest = staleness(spec.table, spec.key, [], spec.date, days_behind).where(F.col("days_behind") > spec.limit)
+        rows = newest.select(F.lit(spec.name).alias("spec"), F.col(spec.key).cast("string").alias("key"), "latest", "days_behind")
+        out = rows if out is None else out.unionByName(rows)
+    return out.orderBy(F.desc("days_behind"), "spec", "key")
+
+
+def arrival_drift(df: DataFrame, keys: list[str], day: str, hour: str, rows: str, latest: Column, *, share: float = 0.9, min_days: int = 10, on_time: float = 0.9, max_late: int = 2) -> DataFrame:
+    """Each series' usual completion pass, late days and verdict; BEHIND if its newest day is before ``latest``."""
+    done = completion_pass(df, keys, day, hour, rows, share=share)
+    verdict = arrival_verdict(done, keys, day, "completion_pass", min_days=min_days, on_time=on_time, max_late=max_late)
+    newest = df.groupBy(*keys).agg(F.max(day).alias("newest"))
+    return verdict.join(newest, keys).withColumn("verdict", F.when(F.col("newest") < latest, "BEHIND").otherwise(F.col("verdict")))
+
+
+def hour_checks(df: DataFrame, ts: str, hour: Column, checks: dict[str, Column]) -> DataFrame:
+    """The checks over the rows of one hour."""
+    return run_checks(df.where(F.date_trunc("hour", ts) == hour), checks)

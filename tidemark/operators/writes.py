@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch_path
+
 
 @dataclass(frozen=True)
 class MergeSpec:
@@ -72,11 +74,23 @@ def action_counts(df: DataFrame) -> DataFrame:
 def seed_dimension(existing: DataFrame, incoming: DataFrame, key: str, id_col: str = "id") -> DataFrame:
     """Ids of all keys: stored ones keep theirs, new ones get the next numbers in key order.
 
-    New keys of a dimension are few; they are numbered in one ordered pass.
+    New keys are sorted by range, numbered inside each partition and moved up by the rows of the partitions before, so
+    only one row for each partition meets in a single task. The order is written down first, as an exchange may deal it
+    otherwise when it is run again.
     """
+    spark = incoming.sparkSession
     fresh = incoming.select(key).where(F.col(key).isNotNull()).distinct().join(existing.select(key), key, "left_anti")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    at = F.monotonically_increasing_id()
+    path = scratch_path(spark, "keys")
+    fresh.repartitionByRange(parts, key).sortWithinPartitions(key).withColumns({"__part": F.shiftright(at, 33), "__nth": at.bitwiseAND((1 << 33) - 1)}).write.parquet(path)
+    placed = spark.read.parquet(path)
+    counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__c"))
+    before = F.sum("__c").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))  # a row for each partition
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__top"))
-    numbered = fresh.crossJoin(F.broadcast(top)).select(key, (F.col("__top") + F.row_number().over(Window.orderBy(key))).cast("long").alias(id_col), F.lit(True).alias("is_new"))
+    numbered = placed.join(F.broadcast(starts), "__part").crossJoin(F.broadcast(top))
+    numbered = numbered.select(key, (F.col("__top") + F.col("__before") + F.col("__nth") + 1).cast("long").alias(id_col), F.lit(True).alias("is_new"))
     return existing.select(key, F.col(id_col).cast("long").alias(id_col), F.lit(False).alias("is_new")).unionByName(numbered)
 
 
@@ -165,3 +179,33 @@ def forecast_rows(df: DataFrame, snapshot: Column) -> DataFrame:
 def unseen(items: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Items whose key was not seen before, one for each key."""
     return items.join(seen.select(key), key, "left_anti").dropDuplicates([key])
+
+
+def upsert_events(stored: DataFrame, incoming: DataFrame, keys: list[str], now: Column, order: list[Column], *, ticker: str = "ticker", name: str = "name", date: str = "event_date", stamp: str | None = None, values: tuple[str, ...] = ("survey", "actual"), released: tuple[str, ...] = ("actual",)) -> tuple[DataFrame, DataFrame]:
+    """(the event table after the upsert with ``_action``, the changes of actuals as ``old_actual, new_actual``).
+
+    An event is known by ``keys`` and its ticker or, without one, its name; the two never match each other. Of several
+    incoming rows of one event the first in ``order`` counts. What is not out by ``now`` brings no ``released`` values, and
+    null never overwrites. A change is an actual that came, or came out otherwise than stored.
+    """
+    keyed = lambda df: df.withColumns({"__kind": F.when(F.col(ticker).isNotNull(), "ticker").otherwise("name"), "__event": F.coalesce(ticker, name)})
+    own = [*keys, "__kind", "__event"]
+    ahead = F.coalesce(F.col(stamp) > now, F.lit(False)) if stamp else F.col(date) >= now.cast("date")
+    batch = keyed(incoming).withColumn("__n", F.row_number().over(Window.partitionBy(*own).orderBy(*order))).where("__n = 1").drop("__n")
+    batch = batch.withColumns({c: F.when(~ahead, F.col(c)) for c in released})
+    first = [c for c in stored.columns if c not in (*keys, *values)]
+    spec = MergeSpec(own, list(values), insert_only=first)
+    merged = merge_upsert(keyed(stored).withColumn("old_actual", F.col("actual")), batch, spec, now)
+    changed = F.col("_action").isin("inserted", "updated") & F.col("actual").isNotNull() & ~F.col("actual").eqNullSafe(F.col("old_actual"))
+    changes = merged.where(changed).select(*keys, ticker, name, "old_actual", F.col("actual").alias("new_actual"))
+    return merged.select(*stored.columns, "_action"), changes
+
+
+def hash_ids(existing: DataFrame, incoming: DataFrame, key: str, id_col: str = "id") -> DataFrame:
+    """Ids of all keys without a race: a new key's id is a number made from its SHA-256, so two writers give it the same.
+
+    Stored ids stay; nothing is numbered in order, so nothing waits for anything.
+    """
+    number = F.conv(F.substring(F.sha2(F.col(key), 256), 1, 15), 16, 10).cast("long")
+    fresh = incoming.select(key).where(F.col(key).isNotNull()).distinct().join(existing.select(key), key, "left_anti")
+    return existing.select(key, F.col(id_col).cast("long").alias(id_col), F.lit(False).alias("is_new")).unionByName(fresh.select(key, number.alias(id_col), F.lit(True).alias("is_new")))

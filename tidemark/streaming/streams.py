@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.operators.prediction import Thresholds
+from tidemark.operators.prediction import Thresholds, clamp_backfill
+from tidemark.sources.scans import exploded_markets
 
 
 def stream_bars(ticks: DataFrame, keys: list[str], ts: str, price: str, *, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
@@ -25,19 +26,24 @@ def stream_once(df: DataFrame, keys: list[str], ts: str, late: str = "1 hour") -
     return df.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
+def _in_order(batches: Iterator[pd.DataFrame], ts: str, value: str) -> Iterator[tuple]:
+    """One key's (time, value) of a micro-batch in time order: a key's rows may come in several batches in any order."""
+    rows = pd.concat([pdf[[ts, value]] for pdf in batches])
+    return rows.sort_values([ts, value], kind="stable").itertuples(index=False)
+
+
 def stream_changes(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """M4, M5: a row only when a key's value moved, with the value before (null at its first)."""
 
     def moved(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
-        for pdf in batches:
-            out = []
-            for at, v in pdf.sort_values(ts, kind="stable")[[ts, value]].itertuples(index=False):
-                if last is None or v != last:
-                    out.append((k[0], at, v, last))
-                    last = v
-            if out:
-                yield pd.DataFrame(out, columns=[key, ts, value, "prev_value"])
+        out = []
+        for at, v in _in_order(batches, ts, value):
+            if last is None or v != last:
+                out.append((k[0], at, v, last))
+                last = v
+        if out:
+            yield pd.DataFrame(out, columns=[key, ts, value, "prev_value"])
         if last is not None:
             state.update((float(last),))
 
@@ -50,19 +56,18 @@ def stream_alerts(df: DataFrame, key: str, ts: str, price: str, t: Thresholds =
 
     def watch(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         prior, sent_at, sent_price = state.get if state.exists else (None, None, None)
-        for pdf in batches:
-            out = []
-            for at, p in pdf.sort_values(ts, kind="stable")[[ts, price]].itertuples(index=False):
-                stamp = at.timestamp()
-                spike = prior is not None and abs(p - prior) >= t.spike
-                cold = sent_at is not None and stamp - sent_at < t.cooldown_minutes * 60 and abs(p - sent_price) < t.rearm
-                if spike:
-                    out.append((k[0], at, p, p - prior, not cold))
-                    if not cold:
-                        sent_at, sent_price = stamp, p
-                prior = p
-            if out:
-                yield pd.DataFrame(out, columns=[key, ts, price, "delta", "sent"])
+        out = []
+        for at, p in _in_order(batches, ts, price):
+            stamp = at.timestamp()
+            spike = prior is not None and abs(p - prior) >= t.spike
+            cold = sent_at is not None and stamp - sent_at < t.cooldown_minutes * 60 and abs(p - sent_price) < t.rearm
+            if spike:
+                out.append((k[0], at, p, p - prior, not cold))
+                if not cold:
+                    sent_at, sent_price = stamp, p
+            prior = p
+        if out:
+            yield pd.DataFrame(out, columns=[key, ts, price, "delta", "sent"])
         if prior is not None:
             state.update((float(prior), sent_at, sent_price))
 
@@ -92,3 +97,42 @@ def upsert_sink(table_path: str, keys: list[str], partition_by: list[str]):
         write_partitioned(batch, table_path, partition_by, keys, [*keys, *partition_by])
 
     return write
+
+
+def poll_events(df: DataFrame, keys: list[str], markets: str, prices: str, out: str, log: str):
+    """M1: a ``foreachBatch`` function for polls of nested events: one observation for each open market is appended to
+    ``out``, and one row for the poll to ``log`` with its markets, the closed ones and the events that have no open one left.
+
+    Both folders are partitioned by the batch number and a batch replaces its own, so a replay adds nothing. ``df`` only
+    lends its schema: a market's struct has ``closed`` and the JSON list of prices.
+    """
+    fields = [f.name for f in df.schema[markets].dataType.elementType if f.name not in (prices, "closed")]
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = exploded_markets(batch, keys, markets, prices)
+        is_open = ~F.coalesce("closed", F.lit(False))
+        rows.where(is_open).select(*keys, *fields, "yes", "no").write.mode("overwrite").parquet(f"{out}/batch={number}")
+        alive = rows.groupBy(*keys).agg(F.max(is_open.cast("int")).alias("alive"), F.count(F.lit(1)).alias("n"), F.sum((~is_open).cast("int")).alias("closed"))
+        counts = alive.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_markets"), F.coalesce(F.sum("closed"), F.lit(0)).alias("n_closed"), F.coalesce(F.sum(1 - F.col("alive")), F.lit(0)).alias("n_dead_events"))
+        counts.write.mode("overwrite").parquet(f"{log}/batch={number}")
+
+    return write
+
+
+def backfill_sink(path: str, live: DataFrame, keys: list[str], ts: str, start, end):
+    """M7: a ``foreachBatch`` function that appends late points: inside a window, strictly before the newest live instant, and
+    not stored yet. A batch replaces its own folder, so a replay adds nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        clamp_backfill(batch.dropDuplicates([*keys, ts]), live, keys, ts, start, end).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return write
+
+
+def drain(stream: DataFrame, spark_path: str, *, mode: str = "append", batch=None) -> DataFrame | None:
+    """Run a stream over what is there now to its end, into Parquet files under ``spark_path`` (read back) or a batch function."""
+    writer = stream.writeStream.option("checkpointLocation", f"{spark_path}/checkpoint").trigger(availableNow=True).outputMode(mode)
+    run = writer.foreachBatch(batch).start() if batch else writer.format("parquet").start(f"{spark_path}/rows")
+    run.awaitTermination()
+    return None if batch else stream.sparkSession.read.schema(stream.schema).parquet(f"{spark_path}/rows")
