@@ -54,15 +54,32 @@ def title_words(title: Column, stop: tuple[str, ...] = ("fwd", "fw", "re", "dail
 def title_twins(df: DataFrame, block: list[str], id_col: str, title: str, least: float = 0.6) -> DataFrame:
     """Pairs of one block (vendor and day) whose title words reach a Jaccard similarity, or contain each other from three words on.
 
-    Pairs meet by a shared word of a block, never as all pairs of it.
+    Titles of one word set are one node under their smallest id: each is linked with that id, and different sets are
+    compared by it, so copies cost a row each and no link between different titles is lost. Words are ordered by how rare
+    they are in the block. Sets that reach the similarity share a word among the first n - ceil(least * n) + 1 of either,
+    and a contained set has its rarest word in the other: only rows that meet so are compared, so a word that most titles
+    have brings titles together only where they hold nothing rarer.
     """
-    words = df.select(*block, id_col, title_words(F.col(title)).alias("w")).where(F.size("w") > 0)
-    left = words.select(*block, F.col(id_col).alias("a"), F.col("w").alias("wa"), F.explode("w").alias("__t"))
-    right = words.select(*block, F.col(id_col).alias("b"), F.col("w").alias("wb"), F.explode("w").alias("__t"))
-    met = left.join(right, [*block, "__t"]).where("a < b").groupBy(*block, "a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first(F.size("wa")).alias("na"), F.first(F.size("wb")).alias("nb"))
-    met = met.withColumn("jaccard", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))
-    contained = (F.col("shared") >= 3) & (F.col("shared") == F.least("na", "nb"))
-    return met.where((F.col("jaccard") >= least) | contained).select(*block, "a", "b", "shared", "jaccard")
+    words = df.select(*block, id_col, F.sort_array(title_words(F.col(title))).alias("w")).where(F.size("w") > 0)
+    sets = words.groupBy(*block, "w").agg(F.min(id_col).alias("node"))
+    copies = words.join(sets, [*block, "w"]).where(F.col(id_col) != F.col("node")).select(*block, F.col("node").alias("a"), F.col(id_col).alias("b"), F.size("w").cast("long").alias("shared"), F.lit(1.0).alias("jaccard"))
+
+    each = sets.select(*block, "node", F.explode("w").alias("__t"))
+    counts = each.groupBy(*block, "__t").agg(F.count(F.lit(1)).alias("__c"))
+    ranked = each.join(counts, [*block, "__t"]).groupBy(*block, "node").agg(F.sort_array(F.collect_list(F.struct("__c", "__t"))).alias("r"))
+    ranked = ranked.select(*block, "node", F.transform("r", lambda x: x["__t"]).alias("r"), F.size("r").alias("n"))
+    head = F.slice("r", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))
+    side = lambda name, taken: ranked.select(*block, F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.explode(taken).alias("__t"))
+    alike = side("a", head).join(side("b", head), [*block, "__t"]).where("a < b").select(*block, "a", "b")
+    inside = side("a", F.slice("r", 1, 1)).where("na >= 3").join(side("b", F.col("r")), [*block, "__t"]).where("a != b and na <= nb")
+    met = alike.union(inside.select(*block, F.least("a", "b"), F.greatest("a", "b"))).distinct()
+
+    known = sets.select(*block, "node", "w")
+    met = met.join(known.toDF(*block, "a", "wa"), [*block, "a"]).join(known.toDF(*block, "b", "wb"), [*block, "b"])
+    met = met.withColumn("shared", F.size(F.array_intersect("wa", "wb")).cast("long"))
+    met = met.withColumn("jaccard", F.col("shared") / (F.size("wa") + F.size("wb") - F.col("shared")))
+    contained = (F.col("shared") >= 3) & (F.col("shared") == F.least(F.size("wa"), F.size("wb")))
+    return met.where((F.col("jaccard") >= least) | contained).select(*block, "a", "b", "shared", "jaccard").unionByName(copies)
 
 
 def chunk(df: DataFrame, id_col: str, text: str, size: int = 1000, overlap: int = 100) -> DataFrame:

@@ -283,13 +283,13 @@ def l3_needs_backfill(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH l AS (SELECT * FROM events WHERE event_id % 3 = 0 AND ts < (SELECT min(ts) + INTERVAL 10 DAY FROM events)), n AS (SELECT * FROM events WHERE event_id % 2 = 0)
-SELECT event_id FROM n WHERE ts < (SELECT max(ts) FROM l) AND NOT EXISTS (SELECT 1 FROM l WHERE l.user_id = n.user_id AND l.ts = n.ts)
+WITH l AS (SELECT * FROM events WHERE event_type IN ('click', 'view'))
+SELECT event_id FROM events n WHERE ts < (SELECT max(ts) FROM l) AND NOT EXISTS (SELECT 1 FROM l WHERE l.user_id = n.user_id AND l.ts = n.ts)
 """)
 def l4_clamp_backfill(t: Tables) -> DataFrame:
     first = t.events.agg(F.min("ts")).first()[0]  # one instant
-    live = t.events.where((F.col("event_id") % 3 == 0) & (F.col("ts") < F.lit(first) + F.expr("interval 10 days")))
-    return prediction.clamp_backfill(t.events.where("event_id % 2 = 0"), live, ["user_id"], "ts", F.lit(first), F.lit("2100-01-01").cast("timestamp")).select("event_id")
+    live = t.events.where("event_type in ('click', 'view')")
+    return prediction.clamp_backfill(t.events, live, ["user_id"], "ts", F.lit(first), F.lit("2100-01-01").cast("timestamp")).select("event_id")
 
 
 @query("""

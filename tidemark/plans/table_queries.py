@@ -67,15 +67,15 @@ def d3_latest_rows(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH l AS (SELECT DISTINCT o_custkey % 50 AS k, o_orderdate::DATE AS a FROM orders WHERE o_orderkey % 11 = 0), r AS (SELECT DISTINCT o_custkey % 50 AS k, o_orderdate::DATE AS b FROM orders WHERE o_orderkey % 13 = 0),
+WITH l AS (SELECT DISTINCT o_custkey AS k, o_orderdate::DATE AS a FROM orders WHERE o_orderstatus = 'F'), r AS (SELECT DISTINCT o_custkey AS k, o_orderdate::DATE AS b FROM orders WHERE o_orderstatus <> 'F'),
 m AS (SELECT l.k, a, b, b - a AS delta FROM l JOIN r ON l.k = r.k AND abs(b - a) <= 3), n AS (SELECT *, row_number() OVER (PARTITION BY k, a ORDER BY delta <> 0, delta) AS i FROM m)
 SELECT k, a AS left_date, b AS right_date, CASE WHEN delta = 0 THEN 'MATCH' ELSE 'DATE_MISMATCH' END AS status FROM n WHERE i = 1
 UNION ALL SELECT k, a, NULL, 'LEFT_ONLY' FROM l WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.k = l.k AND m.a = l.a)
 UNION ALL SELECT k, NULL, b, 'RIGHT_ONLY' FROM r WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.k = r.k AND m.b = r.b)
 """, dates=("left_date", "right_date"))
 def d12_window_match(t: Tables) -> DataFrame:
-    o = t.orders.select((F.col("o_custkey") % 50).alias("k"), _day("o_orderdate", "d"), "o_orderkey")
-    return joins.match_within_days(o.where("o_orderkey % 11 = 0"), o.where("o_orderkey % 13 = 0"), ["k"], "d", 3)
+    o = t.orders.select(F.col("o_custkey").alias("k"), _day("o_orderdate", "d"), "o_orderstatus")
+    return joins.match_within_days(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus != 'F'"), ["k"], "d", 3)
 
 
 @query("""
@@ -118,12 +118,13 @@ def d18_missing_grid(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH k AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey <= 40), s AS (SELECT k, last_day(m::DATE) AS month_end FROM k, generate_series(DATE '1995-01-01', DATE '1995-12-01', INTERVAL 1 MONTH) g(m))
-SELECT s.k, month_end, (SELECT max(o_orderdate::DATE) FROM orders WHERE o_custkey = s.k AND o_orderdate::DATE <= month_end AND month_end - o_orderdate::DATE <= 20) AS snapshot FROM s
+WITH k AS (SELECT DISTINCT l_suppkey AS k FROM lineitem), s AS (SELECT k, last_day(m::DATE) AS month_end FROM k, generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH) g(m)),
+d AS (SELECT DISTINCT l_suppkey AS k, l_shipdate::DATE AS d, last_day(l_shipdate::DATE) AS month_end FROM lineitem), n AS (SELECT k, month_end, max(d) AS snapshot FROM d WHERE month_end - d <= 20 GROUP BY 1, 2)
+SELECT k, month_end, snapshot FROM s LEFT JOIN n USING (k, month_end)
 """, dates=("month_end", "snapshot"))
 def d26_month_end_snapshots(t: Tables) -> DataFrame:
-    o = t.orders.where("o_custkey <= 40").select(F.col("o_custkey").alias("k"), _day("o_orderdate", "d"))
-    return joins.month_end_snapshots(o, ["k"], "d", F.lit("1995-01-01").cast("date"), F.lit("1995-12-01").cast("date"), 20)
+    i = t.lineitem.select(F.col("l_suppkey").alias("k"), _day("l_shipdate", "d"))
+    return joins.month_end_snapshots(i, ["k"], "d", F.lit("1995-01-01").cast("date"), F.lit("2001-12-01").cast("date"), 20)
 
 
 @query("""
@@ -267,17 +268,16 @@ def h12_spine_without(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH off AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders WHERE o_orderkey % 97 = 0), s AS (SELECT g::DATE AS d FROM generate_series(DATE '1994-01-01', DATE '1996-12-31', INTERVAL 1 DAY) t(g)),
-x AS (SELECT s.d, isodow(s.d) >= 6 AS is_weekend, off.d IS NOT NULL AS is_holiday FROM s LEFT JOIN off ON s.d = off.d)
-SELECT d, is_weekend, is_holiday, NOT is_weekend AND NOT is_holiday AS is_trading, sum((NOT is_weekend AND NOT is_holiday)::INT) OVER (ORDER BY d)::BIGINT AS trading_no,
-    max(CASE WHEN NOT is_weekend AND NOT is_holiday THEN d END) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_trading,
-    min(CASE WHEN NOT is_weekend AND NOT is_holiday THEN d END) OVER (ORDER BY d ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_trading FROM x
-""", dates=("d", "last_trading", "next_trading"))
+WITH off AS (SELECT DISTINCT s_nationkey AS k, l_shipdate::DATE AS d FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linestatus = 'F' AND l_returnflag = 'R'), s AS (SELECT n_nationkey AS k, n_name AS calendar, unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS d FROM nation),
+x AS (SELECT calendar, s.d, isodow(s.d) >= 6 AS is_weekend, off.d IS NOT NULL AS is_holiday FROM s LEFT JOIN off ON s.k = off.k AND s.d = off.d)
+SELECT calendar, d, is_weekend, is_holiday, NOT is_weekend AND NOT is_holiday AS is_trading, sum((NOT is_weekend AND NOT is_holiday)::INT) OVER (PARTITION BY calendar ORDER BY d)::BIGINT AS trading_no FROM x
+""", dates=("d",))
 def i2_trading_days(t: Tables) -> DataFrame:
-    cal = t.spark.createDataFrame([("X", "5,6")], "calendar string, weekend string")
-    off = t.orders.where("o_orderkey % 97 = 0").select(F.lit("X").alias("calendar"), _day("o_orderdate", "holiday_date"))
-    days = calendars.trading_days(cal, off, F.lit("1994-01-01").cast("date"), F.lit("1996-12-31").cast("date"))
-    return calendars.neighbours(days).select("d", "is_weekend", "is_holiday", "is_trading", F.col("trading_no").cast("long").alias("trading_no"), "last_trading", "next_trading")
+    cal = t.nation.select(F.col("n_name").alias("calendar"), F.lit("5,6").alias("weekend"))
+    shipped = t.lineitem.where("l_linestatus = 'F' and l_returnflag = 'R'").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    off = shipped.select(F.col("n_name").alias("calendar"), _day("l_shipdate", "holiday_date"))
+    days = calendars.trading_days(cal, off, F.lit("1995-01-01").cast("date"), F.lit("2001-12-31").cast("date"))
+    return days.select("calendar", "d", "is_weekend", "is_holiday", "is_trading", F.col("trading_no").cast("long").alias("trading_no"))
 
 
 @query("""
@@ -461,7 +461,14 @@ def n10_html_items(t: Tables) -> DataFrame:
     return documents.html_items(t.pages, "page_id", "html", '<a href="([^"]*)">([^<]*)</a>', ["href", "label"]).withColumn("item", F.col("item").cast("long"))
 
 
-@query(None)
+@query("""
+WITH t AS (SELECT source, lang, doc_id, string_split(lower(regexp_replace(split_part(text, '.', 1), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
+u AS (SELECT source, lang, doc_id, list_sort(list_distinct(list_filter(w, lambda x: length(x) > 1 AND NOT regexp_full_match(x, '[0-9]+') AND x NOT IN ('fwd', 'fw', 're', 'daily', 'weekly', 'monthly', 'the', 'and', 'of')))) AS w FROM t),
+n AS (SELECT source, lang, w, min(doc_id) AS node FROM u WHERE len(w) > 0 GROUP BY ALL),
+p AS (SELECT x.source, x.node AS a, y.node AS b, len(list_intersect(x.w, y.w)) AS shared, len(x.w) AS na, len(y.w) AS nb FROM n x JOIN n y ON x.source = y.source AND x.lang = y.lang AND x.node < y.node)
+SELECT source, a, b, shared, round(shared / (na + nb - shared), 6) AS jaccard FROM p WHERE shared / (na + nb - shared) >= 0.6 OR shared >= 3 AND shared = least(na, nb)
+UNION ALL SELECT n.source, node, doc_id, len(n.w), 1.0 FROM u JOIN n ON u.source = n.source AND u.lang = n.lang AND u.w = n.w AND doc_id <> node
+""")
 def n5_title_twins(t: Tables) -> DataFrame:
     titles = t.documents.select("source", "lang", "doc_id", F.substring_index("text", ".", 1).alias("title"))
     return documents.title_twins(titles, ["source", "lang"], "doc_id", "title").select("source", "a", "b", "shared", _r("jaccard"))
