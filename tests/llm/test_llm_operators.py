@@ -207,6 +207,7 @@ def test_quality_held_out(spark):
 def test_quality_edges(spark, edges, empty):
     none = spark.createDataFrame([(1, None, None), (None, 1, 0)], "doc_id long, quality int, toxic int")
     assert {round(r.p_top, 3) for r in quality.classify(edges, none).collect()} == {0.5}
+    assert all(r.kept for r in quality.classify(edges, none).collect())
     assert quality.classify(empty, none).count() == 0
 
 
@@ -250,6 +251,7 @@ def test_vector_best_fit_keeps_every_capacity():
         for b in range(sequence.max() + 1):
             inside = lengths[sequence == b]
             assert inside.sum() <= 400 and len(inside) <= 5 and (inside**2).sum() <= 60_000
+    assert all(w > 0 for w in packing.WEIGHTS)
     plain, _ = packing.best_fit(lengths, (400, 400, 160_000))
     assert plain.max() + 1 <= -(-lengths.sum() // 400) + 1
 

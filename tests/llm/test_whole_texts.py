@@ -38,4 +38,5 @@ def test_toxic_documents_are_rejected(spark):
     model = quality.train(docs, labels.where("doc_id % 4 != 0"))
     held = quality.score(docs, model).join(labels.where("doc_id % 4 = 0").withColumn("grade", quality.grade_column()), "doc_id").toPandas()
     assert (held["grade"] == 1).sum() >= 50
-    assert np.mean(~held[held["grade"] == 1]["kept"].astype(bool)) > 0.75  # 0.80 when written
+    assert np.mean(~held[held["grade"] == 1]["kept"].astype(bool)) > 0.9  # 0.97 over four folds when written
+    assert np.mean(held[held["grade"] == 2]["kept"].astype(bool)) > 0.98

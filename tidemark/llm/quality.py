@@ -10,8 +10,10 @@ whole text.
 from __future__ import annotations
 
 import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,8 @@ HASH_BITS = 21
 BINS = 12
 SHAPES = 9 * BINS
 GRADES = 3
-KEEP = 0.5
+KEEP = 0.7
+DENSE = 125
 MAX_LABELLED = 16_000
 MAX_TRAIN_SLOTS = 64_000_000
 WORDS_KEPT = 500_000
@@ -50,22 +53,30 @@ _SLOTS = _Slots()
 
 
 def features(text: str | None) -> np.ndarray:
-    """The slots that the text has: nine measures of shape, each in one of ``BINS`` bins, then the slots of the distinct
-    lower-cased words' first six and first four bytes, so that one stem's forms share evidence.
+    """The slots that the text has: nine measures of shape, each in one of ``BINS`` bins, then the slots of the lower-cased
+    words' first six and first four bytes, so that one stem's forms share evidence, and once more of the stems that make
+    up a ``DENSE``-th of the words (and come twice at least): a word that many texts hold once tells less than its density.
 
     A null text is an empty one.
     """
     raw = (text or "").encode("utf-8", "replace")
     words = raw.lower().split()
     n, m = max(1, len(raw)), max(1, len(words))
-    distinct = set(words)
-    bare = {w.strip(b".,;:!?\"'()")[:6] for w in distinct}
-    bare |= {w[:4] + b"*" for w in bare}
+    counts = Counter(words)
+    stems: dict[bytes, int] = {}
+    for word, times in counts.items():
+        stem = word.strip(b".,;:!?\"'()")[:6]
+        stems[stem] = stems.get(stem, 0) + times
+    for stem, times in list(stems.items()):
+        short = stem[:4] + b"*"
+        stems[short] = stems.get(short, 0) + times
+    least = max(2, -(-m // DENSE))
+    dense = [stem + b"#" for stem, times in stems.items() if times >= least]
     lines = raw.split(b"\n")
     upper, digits, space, odd = ((len(raw) - len(raw.translate(None, kind))) / n for kind in (_UPPER, _DIGITS, _SPACE, _ODD))
-    shape = np.array([np.log1p(m) / 10, len(distinct) / m, upper, odd, digits, space * 2, len(set(lines)) / len(lines), n / m / 24, np.log1p(len(lines)) / 8])
+    shape = np.array([np.log1p(m) / 10, len(counts) / m, upper, odd, digits, space * 2, len(set(lines)) / len(lines), n / m / 24, np.log1p(len(lines)) / 8])
     bins = np.arange(len(shape)) * BINS + np.clip(shape * BINS, 0, BINS - 1).astype(np.int64)
-    slots = np.unique(np.fromiter(map(_SLOTS.__getitem__, bare), np.int64, len(bare)))
+    slots = np.unique(np.fromiter(map(_SLOTS.__getitem__, chain(stems, dense)), np.int64, len(stems) + len(dense)))
     return np.concatenate([bins, slots])
 
 
@@ -80,12 +91,16 @@ class Ordinal:
         """P(grade >= k) for k from 1 on, a column each."""
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
 
+    def least_kept(self, keep: float) -> float:
+        """The probability of the top grade from which a document stays; a model that knows nothing rejects nothing."""
+        return keep if self.weights.any() else 0.0
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 150, rate: float = 0.2, lasso: float = 3e-4) -> Ordinal:
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate: float = 0.2, lasso: float = 6e-4) -> Ordinal:
     """Maximum likelihood of the cumulative-link model by Adam over the whole batch, rows weighted by the root of the inverse grade count.
 
-    Grades that the sample lacks cost nothing; without any row the model is zero and keeps everything at probability
-    one half.
+    Grades that the sample lacks cost nothing; without any row the model is zero: every probability is one half and
+    nothing is rejected.
     """
     size = SHAPES + (1 << HASH_BITS)
     w, base, gaps = np.zeros(size), 0.0, np.zeros(GRADES - 2)
@@ -168,10 +183,11 @@ def keep_rows(docs: DataFrame, model: Ordinal, text_col: str = "text", *, keep:
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, thresholds = shared.value
+        fitted = Ordinal(*shared.value)
+        least = fitted.least_kept(keep)
         for batch in batches:
-            total = np.array([weights[features(t)].sum() for t in batch[text_col].to_pylist()])
-            yield batch.filter(pa.array(Ordinal(weights, thresholds).tails(total)[:, -1] >= keep))
+            total = np.array([fitted.weights[features(t)].sum() for t in batch[text_col].to_pylist()])
+            yield batch.filter(pa.array(fitted.tails(total)[:, -1] >= least))
 
     return docs.mapInArrow(kept, docs.schema)
 
@@ -182,14 +198,12 @@ def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, thresholds = shared.value
+        fitted = Ordinal(*shared.value)
+        least = fitted.least_kept(keep)
         for batch in batches:
-            total = np.zeros(batch.num_rows)
-            for i, text in enumerate(batch["text"].to_pylist()):
-                total[i] = weights[features(text)].sum()
-            tails = Ordinal(weights, thresholds).tails(total)
+            tails = fitted.tails(np.array([fitted.weights[features(t)].sum() for t in batch["text"].to_pylist()]))
             expected, top = tails.sum(axis=1), tails[:, -1]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(expected), pa.array(top), pa.array(top >= keep)], ["doc_id", "expected_grade", "p_top", "kept"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(expected), pa.array(top), pa.array(top >= least)], ["doc_id", "expected_grade", "p_top", "kept"])
 
     return rows.mapInArrow(scored, f"doc_id {dict(rows.dtypes)['doc_id']}, expected_grade double, p_top double, kept boolean")
 
