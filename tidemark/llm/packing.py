@@ -4,6 +4,10 @@ Every piece is a vector of tokens, documents (one) and attention cost (length sq
 in each dimension. Pieces are taken longest first; each goes to the open sequence that fits it in every dimension and
 has the best score: the largest dot-product of the piece with the residual capacity under inverse weights
 ("dot_product"), or the smallest weighted norm of what would be left ("residual_norm", the default).
+
+All three dimensions weigh in the score. By default the limits on documents and attention cost bind no earlier than the
+tokens do, as every tighter limit costs sequences; on given tables the number of sequences is then the least possible or one
+more for each group.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from tidemark.llm.piece_table import PieceTable
 CAPACITY = 4096
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 40_000
+WEIGHTS = (1.0, 0.5, 0.5)
 MARK = "\x01"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -104,7 +109,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     return rows.mapInArrow(pieces, PIECE_SCHEMA + (", ids array<int>" if with_ids else ""))
 
 
-def best_fit(lengths: np.ndarray, capacities: tuple[float, float, float], weights: tuple[float, float, float] = (1.0, 0.0, 0.0), rule: str = "residual_norm") -> tuple[np.ndarray, np.ndarray]:
+def best_fit(lengths: np.ndarray, capacities: tuple[float, float, float], weights: tuple[float, float, float] = WEIGHTS, rule: str = "residual_norm") -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and token offset of each piece, for pieces given in the order in which they are to be placed.
 
     ``capacities`` and ``weights`` stand for tokens, documents and attention cost. Ties go to the oldest sequence. A
@@ -140,7 +145,7 @@ def best_fit(lengths: np.ndarray, capacities: tuple[float, float, float], weight
     return sequence, offset
 
 
-def pack(pieces: DataFrame, *, capacity: int = CAPACITY, max_docs: int | None = None, max_attention: float | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0), rule: str = "residual_norm", group_tokens: int = GROUP_TOKENS, group_pieces: int = GROUP_PIECES, seed: int = 9) -> DataFrame:
+def pack(pieces: DataFrame, *, capacity: int = CAPACITY, max_docs: int | None = None, max_attention: float | None = None, weights: tuple[float, float, float] = WEIGHTS, rule: str = "residual_norm", group_tokens: int = GROUP_TOKENS, group_pieces: int = GROUP_PIECES, seed: int = 9) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a durable table of pieces.
 
     Pieces are dealt by a seeded hash into groups of about ``group_tokens`` tokens, each packed in one task, so the
