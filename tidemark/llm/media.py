@@ -10,11 +10,13 @@ how alike they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.durable import durable
@@ -25,6 +27,8 @@ FILTERS = 16
 QUERY_BLOCK, ROW_BLOCK = 128, 1024
 MOST_ERRORS = 0.3
 LEAST_OVERLAP = 8
+RECORDINGS_AT_ONCE = 64
+BATCH_BYTES = 8 << 20
 MEDIA_TYPE = "struct<rate:int,pcm:binary>"
 
 
@@ -97,15 +101,20 @@ def codes(pcm: bytes | None, rate: int | None) -> np.ndarray:
 
 
 def fingerprints(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """``id, codes`` (array of 32-bit integers) for every row with an id; null media have no codes."""
+    """``id, codes`` (array of 32-bit integers) for every row with an id; null media have no codes.
+
+    Run it inside ``few_recordings`` on tables of long recordings, so that no batch of them outgrows a task.
+    """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(f"{media_col}.rate").alias("rate"), F.col(f"{media_col}.pcm").alias("pcm")).where("id is not null")
 
-    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rates = [None if pd.isna(r) else int(r) for r in pdf["rate"]]
-            yield pd.DataFrame({"id": pdf["id"], "codes": [codes(p, r).view(np.int32) for p, r in zip(pdf["pcm"], rates, strict=True)]})
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [codes(p.as_py(), r.as_py()).view(np.int32) for p, r in zip(batch["pcm"], batch["rate"], strict=True)]
+            offsets = np.concatenate([[0], np.cumsum([len(c) for c in found])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+            yield pa.RecordBatch.from_arrays([batch["id"], lists], ["id", "codes"])
 
-    return rows.mapInPandas(coded, "id long, codes array<int>")
+    return rows.mapInArrow(coded, "id long, codes array<int>")
 
 
 def align_block(asked: list[np.ndarray], there: list[np.ndarray]) -> pd.DataFrame:
@@ -177,28 +186,38 @@ def tones(df: DataFrame, id_col: str, vec_col: str, *, rate: int = 4000, first:
     """``id, media``: each vector played as a melody, a stand-in for recordings where a table has none; null vectors have null media."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
 
-    def played(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 64):
-                part = pdf.iloc[at : at + 64]
-                pcm = [play(v, rate, first=first, last=last) for v in part["vec"]]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "media": [None if p is None else {"rate": rate, "pcm": p} for p in pcm]})
-
-    return rows.mapInPandas(played, f"id long, media {MEDIA_TYPE}")
+    def played(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, RECORDINGS_AT_ONCE):
+                batch = whole.slice(at, RECORDINGS_AT_ONCE)
+                pcm = [play(v, rate, first=first, last=last) for v in batch["vec"].to_pylist()]
+                rates = pa.array([rate] * len(pcm), pa.int32())
+                media = pa.StructArray.from_arrays([rates, pa.array(pcm, pa.binary())], ["rate", "pcm"], mask=pa.array([p is None for p in pcm]))
+                yield pa.RecordBatch.from_arrays([batch["id"], media], ["id", "media"])
 
+    return rows.mapInArrow(played, f"id long, media {MEDIA_TYPE}")
 
-def melody_fingerprints(df: DataFrame, id_col: str, vec_col: str, *, rate: int = 4000, first: int = 0, last: int | None = None) -> DataFrame:
-    """The fingerprints of ``tones`` made as each vector is played, so that no batch of recordings is ever held."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where("id is not null")
 
-    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "codes": [codes(play(v, rate, first=first, last=last), rate).view(np.int32) for v in pdf["vec"]]})
-
-    return rows.mapInPandas(coded, "id long, codes array<int>")
+@contextmanager
+def few_recordings(spark: SparkSession) -> Iterator[None]:
+    """Recordings go to Python a few at a time while a table of them is read: a batch is bounded in bytes and in rows."""
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(RECORDINGS_AT_ONCE), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    before = {name: spark.conf.get(name) for name in bounds}
+    try:
+        for name, value in bounds.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def align_melodies(df: DataFrame, id_col: str, vec_col: str, asks: Column, **options) -> DataFrame:
-    """Clips from the middle of the rows that ``asks`` picks, cut off the beat, aligned against all rows' melodies."""
-    clips = melody_fingerprints(df.where(asks), id_col, vec_col, first=8192 + 37, last=24576)
-    return search(clips, melody_fingerprints(df, id_col, vec_col), **options)
+    """Clips from the middle of the rows that ``asks`` picks, cut off the beat, aligned against all rows' melodies.
+
+    The media column is made and fingerprinted in one pass; only the codes are written.
+    """
+    with few_recordings(df.sparkSession):
+        clips = durable(fingerprints(tones(df.where(asks), id_col, vec_col, first=8192 + 37, last=24576), "id", "media"))
+        whole = durable(fingerprints(tones(df, id_col, vec_col), "id", "media"))
+    return search(clips, whole, **options)
