@@ -30,7 +30,7 @@ GRADES = 3
 KEEP = 0.7
 DENSE = 125
 MAX_LABELLED = 16_000
-MAX_TRAIN_SLOTS = 64_000_000
+MAX_TRAIN_SLOTS = 24_000_000
 WORDS_KEPT = 500_000
 LEAST_ROWS = 8
 
@@ -100,35 +100,43 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate:
     """Maximum likelihood of the cumulative-link model by Adam over the whole batch, rows weighted by the root of the inverse grade count.
 
     Grades that the sample lacks cost nothing; without any row the model is zero: every probability is one half and
-    nothing is rejected.
+    nothing is rejected. The slots are held by row and by slot as 32-bit numbers, and sums run over their stretches.
     """
     size = SHAPES + (1 << HASH_BITS)
     w, base, gaps = np.zeros(size), 0.0, np.zeros(GRADES - 2)
     if not len(rows):
         return Ordinal(w, np.zeros(GRADES - 1))
-    slots = np.concatenate(rows)
-    of = np.repeat(np.arange(len(rows), dtype=np.int32), [len(s) for s in rows])
     counts = np.bincount(grades, minlength=GRADES)
     weight = np.sqrt(len(grades) / (np.count_nonzero(counts) * np.maximum(counts, 1)))[grades]
-    used, slots, seen = np.unique(slots, return_inverse=True, return_counts=True)
-    known = (seen >= LEAST_ROWS)[slots]  # words of a few rows only learn those rows by heart
-    of, slots = of[known], slots[known].astype(np.int32)
+    seen = np.zeros(size, np.int32)
+    for r in rows:
+        seen[r] += 1  # a row has a slot once
+    used = np.flatnonzero(seen >= LEAST_ROWS)  # words of a few rows only learn those rows by heart
+    place = np.full(size, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    rows = [p[p >= 0] for p in (place[r] for r in rows)]
+    lengths = np.array([len(r) for r in rows])
+    slots = np.concatenate(rows)
+    order = np.argsort(slots, kind="stable").astype(np.int32)
+    of = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)[order]
+    by_row, by_slot = _Stretches(lengths), _Stretches(seen[used])
+    del order, rows, place
     v = np.zeros(len(used))
     moment, second = np.zeros(len(used) + GRADES - 1), np.zeros(len(used) + GRADES - 1)
     for t in range(1, epochs + 1):
         thresholds = base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        score = np.bincount(of, v[slots], len(rows))
-        cum = np.concatenate([np.ones((len(rows), 1)), 1 / (1 + np.exp(-np.clip(score[:, None] - thresholds, -40, 40))), np.zeros((len(rows), 1))], axis=1)
-        at = np.arange(len(rows))
+        score = by_row.sums(v.astype(np.float32)[slots])
+        cum = np.concatenate([np.ones((len(score), 1)), 1 / (1 + np.exp(-np.clip(score[:, None] - thresholds, -40, 40))), np.zeros((len(score), 1))], axis=1)
+        at = np.arange(len(score))
         upper, lower = cum[at, grades], cum[at, grades + 1]
         p = np.maximum(upper - lower, 1e-12)
         du, dl = upper * (1 - upper) / p, lower * (1 - lower) / p
-        d_score = -weight * (du - dl) / len(rows)
+        d_score = -weight * (du - dl) / len(score)
         d_threshold = np.zeros(GRADES + 1)
-        np.add.at(d_threshold, grades, weight * du / len(rows))
-        np.add.at(d_threshold, grades + 1, -weight * dl / len(rows))
+        np.add.at(d_threshold, grades, weight * du / len(score))
+        np.add.at(d_threshold, grades + 1, -weight * dl / len(score))
         d_threshold = d_threshold[1:GRADES]
-        grad = np.concatenate([np.bincount(slots, d_score[of], len(used)), [d_threshold.sum()], np.cumsum(d_threshold[::-1])[::-1][1:] * np.exp(gaps)])
+        grad = np.concatenate([by_slot.sums(d_score.astype(np.float32)[of]), [d_threshold.sum()], np.cumsum(d_threshold[::-1])[::-1][1:] * np.exp(gaps)])
         moment, second = 0.9 * moment + 0.1 * grad, 0.99 * second + 0.01 * grad**2
         scale = rate / (np.sqrt(second / (1 - 0.99**t)) + 1e-4)
         step = scale * moment / (1 - 0.9**t)
@@ -141,6 +149,21 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate:
     return Ordinal(w, base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
 
 
+class _Stretches:
+    """Sums over neighbouring stretches of an array; an empty stretch has zero."""
+
+    def __init__(self, lengths: np.ndarray):
+        self.full = np.flatnonzero(lengths)
+        self.starts = (np.cumsum(lengths) - lengths)[self.full]
+        self.n = len(lengths)
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        if len(self.full):
+            out[self.full] = np.add.reduceat(values, self.starts)
+        return out
+
+
 def grade_column() -> F.Column:
     """The grade of a label row: 0 low quality, 1 readable but toxic, 2 readable and clean; null where a label is null."""
     return F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
