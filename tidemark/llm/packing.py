@@ -33,31 +33,67 @@ GROUP_PIECES = 40_000
 WEIGHTS = (1.0, 0.5, 0.5)
 MARK = "\x01"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_WORD_END = "</w>"
+_SIMPLE = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch  # printable ASCII and the letters of Latin-1
+#: The tokenizer's own pattern, for lower-case words of the characters above.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+").findall
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordEncoder:
-    """Ids of whole texts by a Hugging Face tokenizer file, one call for each new word and a table for the rest.
+    """Ids of whole texts by a Hugging Face tokenizer file, one call for each new word and tables for the rest.
 
     The tokenizer drops white space, and its normaliser and pre-tokenizer never look across it, so a text's ids are
     its words' ids in order. The four information separators are white space to ``str.split`` but not to the
     tokenizer: texts that hold one are cut at plain white space only.
+
+    New words of printable ASCII and Latin-1 letters, which normal forms leave alone, are lower-cased and cut here as the
+    tokenizer's pattern cuts them, so that "Word" and "word," share a piece; a copy of the tokenizer that only merges
+    gives the pieces' ids, and the word-end mark of its tokens tells where a piece ends. All other words go through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         (self.mark_id,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.merger = Tokenizer.from_file(path)
+        self.merger.encode_special_tokens = True
+        bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merger.normalizer, self.merger.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_only])
+        vocabulary = self.merger.get_vocab(with_added_tokens=True)
+        self.ends_piece = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_piece[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.table = PieceTable(self._encode_words)
+        self.pieces = PieceTable(self._encode_pieces)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.table.encode([[w for w in re.split("[ \\t\\r\\n]+", t) if w] if _SEPARATORS.search(t) else t.split() for t in texts])
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, joined, and their counts. Words go in one text with a mark between them: a call for each costs more."""
+        return self.pieces.encode_joined([_PIECES(w.lower()) if _SIMPLE(w) else [w] for w in words])
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, joined, and their counts."""
+        simple = np.fromiter((_SIMPLE(p) is not None for p in pieces), bool, len(pieces))
+        lengths = np.zeros(len(pieces), np.int64)
+        merged, lengths[simple] = self._merge([p for p, s in zip(pieces, simple, strict=True) if s])
+        others, lengths[~simple] = self._tokenize([p for p, s in zip(pieces, simple, strict=True) if not s])
+        of_simple = np.repeat(simple, lengths)
+        ids = np.empty(len(of_simple), np.int64)
+        ids[of_simple], ids[~of_simple] = merged, others
+        return ids, lengths
+
+    def _merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = self.merger.encode_batch_fast([" ".join(pieces[k : k + 500]) for k in range(0, len(pieces), 500)], add_special_tokens=False)
+        ids = np.array([i for e in encoded for i in e.ids], np.int64)
+        return ids, np.diff(np.flatnonzero(self.ends_piece[ids]), prepend=-1)
+
+    def _tokenize(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words go in one text with a mark between them: a call for each costs more."""
         marked = [MARK in w for w in words]
         plain = [w for w, m in zip(words, marked, strict=True) if not m]
         chunks = [plain[k : k + 500] for k in range(0, len(plain), 500)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -36,6 +37,17 @@ class PieceTable:
 
     def encode(self, split: list[list[str]]) -> list[np.ndarray]:
         """For each list of pieces, the ids of all its pieces in order."""
+        numbers = self._numbers(split)
+        return [gather(self.flat, self.starts, n)[0] for n in numbers]
+
+    def encode_joined(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all lists, joined, and how many each list has."""
+        (numbers,) = self._numbers([list(chain.from_iterable(split))])
+        ids, ends = gather(self.flat, self.starts, numbers)
+        upto = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
+        return ids, np.diff(upto)
+
+    def _numbers(self, split: list[list[str]]) -> list[np.ndarray]:
         if len(self.known) > self.limit:
             self._clear()
         number = self.known.__getitem__
@@ -45,7 +57,7 @@ class PieceTable:
             self.known.fresh = []
             self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        return [gather(self.flat, self.starts, n)[0] for n in numbers]
+        return numbers
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
