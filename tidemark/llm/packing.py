@@ -31,6 +31,7 @@ CAPACITY = 4096
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 40_000
 WEIGHTS = (1.0, 0.5, 0.5)
+WORDS_KEPT = 500_000
 MARK = "\x01"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WORD_END = "</w>"
@@ -67,8 +68,8 @@ class WordEncoder:
         vocabulary = self.merger.get_vocab(with_added_tokens=True)
         self.ends_piece = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_piece[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
-        self.table = PieceTable(self._encode_words)
-        self.pieces = PieceTable(self._encode_pieces)
+        self.table = PieceTable(self._encode_words, WORDS_KEPT)
+        self.pieces = PieceTable(self._encode_pieces, WORDS_KEPT)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.table.encode([[w for w in re.split("[ \\t\\r\\n]+", t) if w] if _SEPARATORS.search(t) else t.split() for t in texts])

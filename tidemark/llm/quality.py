@@ -31,7 +31,8 @@ KEEP = 0.7
 DENSE = 125
 MAX_LABELLED = 16_000
 MAX_TRAIN_SLOTS = 24_000_000
-WORDS_KEPT = 500_000
+WORDS_KEPT = 150_000
+ROWS_AT_ONCE = 500
 LEAST_ROWS = 8
 
 
@@ -198,6 +199,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(x, rows["grade"].to_numpy(dtype=np.int64))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to ``ROWS_AT_ONCE`` rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def keep_rows(docs: DataFrame, model: Ordinal, text_col: str = "text", *, keep: float = KEEP) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose probability of the top grade reaches ``keep``.
 
@@ -208,7 +216,7 @@ def keep_rows(docs: DataFrame, model: Ordinal, text_col: str = "text", *, keep:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Ordinal(*shared.value)
         least = fitted.least_kept(keep)
-        for batch in batches:
+        for batch in _slices(batches):
             total = np.array([fitted.weights[features(t)].sum() for t in batch[text_col].to_pylist()])
             yield batch.filter(pa.array(fitted.tails(total)[:, -1] >= least))
 
@@ -223,7 +231,7 @@ def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Ordinal(*shared.value)
         least = fitted.least_kept(keep)
-        for batch in batches:
+        for batch in _slices(batches):
             tails = fitted.tails(np.array([fitted.weights[features(t)].sum() for t in batch["text"].to_pylist()]))
             expected, top = tails.sum(axis=1), tails[:, -1]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(expected), pa.array(top), pa.array(top >= least)], ["doc_id", "expected_grade", "p_top", "kept"])
