@@ -131,6 +131,7 @@ def signatures(docs: DataFrame, words_each: int, rows_each: int) -> DataFrame:
                 sets = [shingle_hashes(t, words_each) for t in batch["text"].to_pylist()]
                 got = [signer.sign(s) if len(s) else none for s, _ in sets]
                 yield pa.RecordBatch.from_arrays([batch["id"], pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary()), _lists([b for b, _ in got]), _lists([s for _, s in got])], ["id", "n", "key", "bands", "sketch"])
+        _WORDS.clear()  # the worker lives on: other operators' tasks need the memory
 
     return docs.mapInArrow(signed, "id long, n long, key binary, bands array<long>, sketch array<long>")
 
@@ -144,6 +145,7 @@ def shingle_sets(docs: DataFrame, words_each: int) -> DataFrame:
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 sets = [shingle_hashes(t, words_each) for t in batch["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch["id"], pa.array([k for _, k in sets], pa.binary()), _lists([s.view(np.int64) for s, _ in sets])], ["id", "key", "shingles"])
+        _WORDS.clear()
 
     return docs.mapInArrow(listed, "id long, key binary, shingles array<long>")
 

@@ -31,7 +31,7 @@ CAPACITY = 4096
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 40_000
 WEIGHTS = (1.0, 0.5, 0.5)
-WORDS_KEPT = 500_000
+WORDS_KEPT = 250_000
 MARK = "\x01"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WORD_END = "</w>"

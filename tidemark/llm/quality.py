@@ -200,10 +200,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut to ``ROWS_AT_ONCE`` rows, so that few texts are Python strings at a time."""
+    """Batches cut to ``ROWS_AT_ONCE`` rows, so that few texts are Python strings at a time; the word table goes at the end."""
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS_AT_ONCE):
             yield batch.slice(at, ROWS_AT_ONCE)
+    _SLOTS.clear()  # the worker lives on: other operators' tasks need the memory
 
 
 def keep_rows(docs: DataFrame, model: Ordinal, text_col: str = "text", *, keep: float = KEEP) -> DataFrame:
