@@ -40,3 +40,13 @@ def test_toxic_documents_are_rejected(spark):
     assert (held["grade"] == 1).sum() >= 50
     assert np.mean(~held[held["grade"] == 1]["kept"].astype(bool)) > 0.9  # 0.97 over four folds when written
     assert np.mean(held[held["grade"] == 2]["kept"].astype(bool)) > 0.98
+
+
+def test_rows_that_share_an_id_count_once(spark, monkeypatch):
+    rows = [(0, "one two three")] * 200 + [(0, "one two three four"), (1, "five six"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(3)], "doc_id long, quality int, toxic int")
+    wanted = [quality.features(t).tolist() for t in ("one two three", "five six", None)]
+    monkeypatch.setattr(quality, "fit", lambda rows, grades: rows)
+    monkeypatch.setattr(quality, "MAX_TRAIN_SLOTS", sum(map(len, wanted)))
+    assert [r.tolist() for r in quality.train(docs, labels)] == wanted

@@ -174,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on the ``max_labelled`` labelled documents with the smallest id hashes.
 
     ``labels`` has the id, ``quality`` and ``toxic``; rows with a null there are left out, of repeated labels the
-    lowest grade counts. Only the sample's features reach the driver: whole rows in the order of the id hashes, as many
+    lowest grade counts, of rows that share an id the text with the fewest slots (of equals the smallest). Only the sample's features reach the driver: whole rows in the order of the id hashes, as many
     as ``MAX_TRAIN_SLOTS`` slots hold.
     """
     graded = labels.select(F.col(id_col).alias("id"), grade_column().alias("grade")).where("id is not null and grade is not null")
@@ -188,13 +188,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(columns, ["id", "grade", "size", "slots"])
 
     kind = dict(sample.dtypes)["id"]
-    found = durable(sample.mapInArrow(featured, f"id {kind}, grade int, size long, slots binary").withColumn("at", F.xxhash64("id")))
+    found = sample.mapInArrow(featured, f"id {kind}, grade int, size long, slots binary")
+    found = found.groupBy("id").agg(F.min(F.struct("size", "grade", "slots")).alias("row")).select("id", "row.*")
+    found = durable(found.withColumn("at", F.xxhash64("id")))
     sizes = found.groupBy("at").agg(F.sum("size").alias("size")).orderBy("at").toPandas()
     fits = sizes["at"][sizes["size"].cumsum() <= MAX_TRAIN_SLOTS]
     if len(fits) < len(sizes):
         found = found.where(F.col("at") <= int(fits.max())) if len(fits) else found.limit(0)
-    rows = found.select("id", "grade", "slots").toPandas().sort_values("id", kind="stable")
-    rows = rows.drop_duplicates("id")
+    rows = found.select("id", "grade", "slots").toPandas().sort_values("id")
     x = [np.frombuffer(s, np.int32) for s in rows["slots"]]
     return fit(x, rows["grade"].to_numpy(dtype=np.int64))
 
