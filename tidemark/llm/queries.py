@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat, html_main, media, neardup, packing, quality, secrets, sharding
+from tidemark.llm import ann, bpe, chat, html_main, media, neardup, packing, piece_bpe, quality, resample, runs, secrets, sharding
 from tidemark.session import ship
 
 
@@ -56,5 +56,20 @@ def op10_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op3_tree_html, op4_perspective_chat, op5_chroma_alignment, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle)}
+def op11_crc_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents of 20 words or more, drawn towards the features of ``benchmark``; all documents are returned."""
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document's words, after every tenth document has had a repetition planted by its id."""
+    return runs.digest(_table(spark, sf_dir, "documents"), rewrite=runs.planted)
+
+
+def op13_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with begin and end ids and decoded again."""
+    return piece_bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_ann, op2_trigram_secrets, op3_tree_html, op4_perspective_chat, op5_chroma_alignment, op6_odd_sketch_dedup, op7_ordinal_quality, op8_byte_bpe, op9_vector_packing, op10_external_shuffle, op11_crc_resample, op12_grammar_runs, op13_piece_backtracking)}
 ORACLE_SQL: dict[str, str] = {"op2_trigram_secrets": secrets.ORACLE_SQL, "op4_perspective_chat": chat.ORACLE_SQL, "op6_odd_sketch_dedup": neardup.ORACLE_SQL}
