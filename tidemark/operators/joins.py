@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.series import carried
+
 
 def lookup(fact: DataFrame, dim: DataFrame, on: list[str], *, required: bool = False) -> DataFrame:
     """Left join to a dimension with an ``unmapped`` flag; with ``required`` an unmapped row fails the job."""
@@ -46,13 +48,29 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], ts: str, value:
     return both.select("__row.*", F.when(fresh, F.col("__last.ts")).alias(f"{name}_ts"), F.when(fresh, F.col("__last.value")).alias(f"{name}_value"))
 
 
-def asof_lags(df: DataFrame, on: list[str], ts: str, value: str, lags_hours: list[int], lookback_seconds: int = 7 * 86_400) -> DataFrame:
-    """For each row the key's value as of so many hours earlier (at that instant included), a column for each lag."""
-    for hours in lags_hours:
-        moved = df.withColumn("__at", F.col(ts)).withColumn(ts, F.timestamp_micros(F.unix_micros(ts) - hours * 3_600_000_000))
-        source = df.select(*on, ts, value)
-        df = asof_join(moved, source, on, ts, value, lookback_seconds, strict=False, name="__lag").withColumn(ts, F.col("__at")).drop("__at", "__lag_ts").withColumnRenamed("__lag_value", f"{value}_{hours}h")
-    return df
+def asof_lags(df: DataFrame, on: list[str], ts: str, value: str, lags_hours: list[int], lookback_seconds: int | None = 7 * 86_400, *, stretch_seconds: int = 7 * 86_400) -> DataFrame:
+    """For each row the key's value as of so many hours earlier (at that instant included), a column for each lag.
+
+    All lags take one pass: every value also stands at its instant plus each lag, marked with the lag, and a row takes the
+    last of each mark. Without a ``lookback_seconds`` a value holds however old it is. Rows are spread over tasks by
+    stretches of time; of values at one instant the largest counts; null values, keys and times match nothing.
+    """
+    hour = 3_600_000_000
+    columns = df.columns
+    row, point = df.select(F.struct(*columns)).schema[0].dataType, F.struct(F.unix_micros(ts).alias("at"), F.col(value).alias("value"))
+    lefts = df.select(*on, ts, F.lit(None).cast("int").alias("__lag"), F.lit(None).cast(df.select(point).schema[0].dataType).alias("__point"), F.struct(*columns).alias("__row"))
+    marks = F.explode(F.array(*[F.lit(h) for h in lags_hours]))
+    rights = df.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).select(*on, ts, marks.alias("__lag"), point.alias("__point"), F.lit(None).cast(row).alias("__row"))
+    rights = rights.withColumn(ts, F.timestamp_micros(F.unix_micros(ts) + F.col("__lag") * hour))
+    last = {f"__l{h}": F.when(F.col("__lag") == h, F.col("__point")) for h in lags_hours}
+    both = carried(lefts.unionByName(rights), on, ts, last, micros=stretch_seconds * 1_000_000, order=(F.col("__row").isNotNull(), F.col("__point"))).where("__row is not null")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+
+    def fresh(h: int) -> Column:
+        age = F.unix_micros(ts) - h * hour - F.col(f"__l{h}.at")
+        return known if lookback_seconds is None else known & (age <= lookback_seconds * 1_000_000)
+
+    return both.select("__row.*", *[F.when(fresh(h), F.col(f"__l{h}.value")).alias(f"{value}_{h}h") for h in lags_hours])
 
 
 def previous_snapshot(df: DataFrame, key: list[str], ts: str) -> DataFrame:

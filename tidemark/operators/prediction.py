@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parse import is_illiquid
 from tidemark.operators.joins import asof_lags
-from tidemark.operators.series import keep_one, modal_child, rolling_median
+from tidemark.operators.series import DAY, keep_one, modal_child, rolling_median
+
+
+BASELINE_DAYS = 7
 
 
 @dataclass(frozen=True)
@@ -63,51 +66,66 @@ def burst_ratio(df: DataFrame, keys: list[str], ts: str, volume: str, days: int
 def alerts(markets: DataFrame, event: str, market: str, ts: str, price: str, volume: str, spread: str, t: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
     """L1: for each event and snapshot the alert classes of its modal market and why they are held back, before cooldown.
 
-    MODAL_FLIP: the modal market changed and leads by the flip margin; SPIKE: a jump against the snapshot before; DRIFT: a
-    move over the look-back with volume; VOL_BURST: volume over its baseline. ILLIQUID holds back unless the move is at
-    the override; RESOLVED holds back what is pinned at both snapshots.
+    MODAL_FLIP: the modal market changed and moved by the flip margin; SPIKE: a jump against the snapshot before; DRIFT: a
+    move against the last snapshot that is at least the look-back old, however old, with volume; VOL_BURST: volume over
+    the median of that market's positive volumes in the trailing week. The first snapshot of an event has a jump of zero.
+    ILLIQUID holds back unless the jump or the move over the look-back reaches the override; else RESOLVED holds back
+    what is pinned at this and the last snapshot.
     """
-    modal = modal_child(markets, [event, ts], market, price).select(event, ts, market, price, volume, spread)
+    based = rolling_median(markets.withColumn("__positive", F.when(F.col(volume) > 0, F.col(volume))), [event, market], ts, "__positive", BASELINE_DAYS * DAY, "baseline", closed=True)
+    modal = modal_child(based, [event, ts], market, price).select(event, ts, market, price, volume, spread, (F.col(volume) / F.col("baseline")).alias("vol_ratio"))
+    modal = modal.where(F.col(price).isNotNull())
     w = Window.partitionBy(event).orderBy(ts)
     modal = modal.withColumns({"prior_market": F.lag(market).over(w), "prior_price": F.lag(price).over(w)})
-    modal = asof_lags(modal, [event], ts, price, [t.drift_hours], 86_400)
-    modal = burst_ratio(modal, [event], ts, volume)
-    jump, drift = F.col(price) - F.col("prior_price"), F.col(price) - F.col(f"{price}_{t.drift_hours}h")
+    modal = asof_lags(modal, [event], ts, price, [t.drift_hours], None)
+    jump, drift = F.coalesce(F.col(price) - F.col("prior_price"), F.lit(0.0)), F.col(price) - F.col(f"{price}_{t.drift_hours}h")
     flip = F.col("prior_market").isNotNull() & (F.col("prior_market") != F.col(market)) & (F.abs(jump) >= t.flip)
     classes = F.array(
         F.when(flip, F.lit("MODAL_FLIP")),
         F.when(F.abs(jump) >= t.spike, F.lit("SPIKE")),
-        F.when((F.abs(drift) >= t.drift) & (F.col(volume) >= t.drift_volume), F.lit("DRIFT")),
+        F.when((F.abs(drift) >= t.drift) & (F.coalesce(volume, F.lit(0.0)) >= t.drift_volume), F.lit("DRIFT")),
         F.when(F.col("vol_ratio") >= t.burst, F.lit("VOL_BURST")),
     )
     pinned = lambda c: (c <= t.resolved_band) | (c >= 1 - t.resolved_band)
-    held = F.when(pinned(F.col(price)) & pinned(F.col("prior_price")), "RESOLVED").when(is_illiquid(F.col(spread), F.col(price), t.illiquid_abs, t.illiquid_rel) & (F.abs(jump) < t.override), "ILLIQUID")
-    out = modal.withColumns({"classes": F.filter(classes, lambda c: c.isNotNull()), "delta": jump, "held": held})
+    move = F.greatest(F.abs(jump), F.coalesce(F.abs(drift), F.lit(0.0)))
+    illiquid = F.coalesce(is_illiquid(F.col(spread), F.col(price), t.illiquid_abs, t.illiquid_rel), F.lit(False))
+    held = F.when(illiquid & (move < t.override), "ILLIQUID").when(pinned(F.col(price)) & pinned(F.col("prior_price")), "RESOLVED")
+    out = modal.withColumns({"classes": F.filter(classes, lambda c: c.isNotNull()), "delta": jump, "drift": drift, "illiquid": illiquid, "held": held})
     return out.where(F.size("classes") > 0)
 
 
+def may_send(at: float, price: float, held: str | None, classes: list[str], last_at: float | None, last_price: float | None, t: Thresholds) -> str | None:
+    """Why an alert is held back after all (None: it goes out), from the time in seconds and the price of the last one sent."""
+    if held is None and last_at is not None and at - last_at < t.cooldown_minutes * 60 and abs(price - last_price) < t.rearm:
+        return "COOLDOWN"
+    return "DRIFT_ONLY" if held is None and list(classes) == ["DRIFT"] else held
+
+
 def cool_down(found: DataFrame, event: str, ts: str, price: str, t: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
-    """L1: which alerts go out: none within the cooldown of the event's last one, unless its price moved to re-arm.
+    """L1: the alerts with their final ``held`` and ``sent``: none within the cooldown of the event's last one, unless its price moved to re-arm.
 
-    A held alert, or one that is a drift alone, changes no state. The state depends on what was sent before, so each
+    A held alert, or one that is a drift alone (DRIFT_ONLY), changes no state. The state depends on what was sent before, so each
     event's alerts (already few) are walked through in order.
     """
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts, kind="stable")
-        last_at, last_price, sent = None, None, []
+        last_at, last_price, final = None, None, []
         for at, p, held, classes in zip(pdf[ts], pdf[price], pdf["held"], pdf["classes"], strict=True):
-            cold = last_at is not None and (at - last_at).total_seconds() < t.cooldown_minutes * 60 and abs(p - last_price) < t.rearm
-            go = held is None and not cold
-            sent.append(go)
-            if go and list(classes) != ["DRIFT"]:
-                last_at, last_price = at, p
-        return pdf.assign(sent=sent)
+            final.append(may_send(at.timestamp(), p, held, list(classes), last_at, last_price, t))
+            if final[-1] is None:
+                last_at, last_price = at.timestamp(), p
+        return pdf.assign(held=final, sent=[h is None for h in final])
 
     schema = found.withColumn("sent", F.lit(True)).schema
     return found.groupBy(event).applyInPandas(walk, schema)
 
 
+def alert_log(found: DataFrame) -> DataFrame:
+    """L1, M3: a row for each alert and class, as the log keeps them."""
+    return found.withColumn("alert_class", F.explode("classes")).drop("classes")
+
+
 def snapshot_section(date: Column, today: Column, recent_days: int = 5) -> Column:
     """L2: "upcoming", "recent" or "dropped" by an event's date."""
     return F.when(date >= today, "upcoming").when(F.datediff(today, date) <= recent_days, "recent").otherwise("dropped")

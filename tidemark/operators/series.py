@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -67,13 +70,39 @@ def market_gaps(df: DataFrame, keys: list[str], ts: str, is_open, least_open_hou
     return found.withColumn("open_hours", F.size(F.filter("inside", is_open))).drop("inside").where(F.col("open_hours") >= least_open_hours)
 
 
-def interpolate(df: DataFrame, keys: list[str], ts: str, value: str, name: str = "filled") -> DataFrame:
-    """H1: nulls filled linearly by time between neighbours; leading nulls stay, trailing ones take the last value."""
+DAY = 86_400_000_000
+
+
+def carried(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], *, backwards: bool = False, micros: int = DAY, order: tuple[Column, ...] = ()) -> DataFrame:
+    """Every row with the last non-null of each value up to it in its key, however long ago (``backwards``: the next from it on).
+
+    Time is cut into stretches of ``micros``: windows run inside a key's stretch, each stretch hands over one row with its
+    last values, and only these rows are walked through for a whole key. So the history of one key is spread over many
+    tasks. ``order`` settles rows at one instant; rows without an instant come before all others (``backwards``: after).
+    """
+    way = (lambda c: F.desc_nulls_last(c)) if backwards else (lambda c: F.asc_nulls_first(c))
+    stretch = "__stretch"
+    rows = df.withColumns({f"__c_{name}": value for name, value in values.items()} | {stretch: F.floor(F.unix_micros(ts) / micros)})
+    inside = Window.partitionBy(*keys, stretch).orderBy(way(ts), *order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    place = F.struct(F.unix_micros(ts) * (-1 if backwards else 1), "__nth")
+    numbered = rows.withColumn("__nth", F.row_number().over(inside)).withColumns({f"__i_{name}": F.last(f"__c_{name}", ignorenulls=True).over(upto) for name in values})
+    ends = numbered.groupBy(*keys, stretch).agg(*[F.max_by(f"__i_{name}", place).alias(f"__e_{name}") for name in values])
+    before = Window.partitionBy(*keys).orderBy(way(stretch)).rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(stretch).alias("__s"), *[F.last(f"__e_{name}", ignorenulls=True).over(before).alias(f"__h_{name}") for name in values])
+    met = [numbered[k].eqNullSafe(handed[f"__k{i}"]) for i, k in enumerate(keys)]
+    out = numbered.join(handed, reduce(lambda x, y: x & y, met, numbered[stretch].eqNullSafe(handed["__s"])))
+    return out.select(*df.columns, *[F.coalesce(f"__i_{name}", f"__h_{name}").alias(name) for name in values])
+
+
+def interpolate(df: DataFrame, keys: list[str], ts: str, value: str, name: str = "filled", *, micros: int = DAY) -> DataFrame:
+    """H1: nulls filled linearly by time between neighbours; leading nulls stay, trailing ones take the last value.
+
+    Neighbours are carried over stretches of ``micros``, so a key may have any history; see ``carried``.
+    """
     known = F.when(F.col(value).isNotNull(), F.struct(F.unix_micros(ts).alias("t"), F.col(value).cast("double").alias("v")))
-    back = F.last(known, ignorenulls=True).over(_w(keys, ts).rowsBetween(Window.unboundedPreceding, 0))
-    # a frame that runs to the end is added up anew for each row: the same window backwards is not
-    ahead = F.last(known, ignorenulls=True).over(_w(keys, F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0))
-    out = df.withColumns({"__b": back, "__a": ahead})
+    out = carried(df, keys, ts, {"__b": known}, micros=micros, order=(F.col(value),))
+    out = carried(out, keys, ts, {"__a": known}, backwards=True, micros=micros, order=(F.col(value),))
     line = F.col("__b.v") + (F.col("__a.v") - F.col("__b.v")) * (F.unix_micros(ts) - F.col("__b.t")) / F.nullif(F.col("__a.t") - F.col("__b.t"), F.lit(0))
     return out.withColumn(name, F.coalesce(F.col(value).cast("double"), line, F.when(F.col("__b").isNotNull(), F.col("__b.v")))).drop("__b", "__a")
 
@@ -85,29 +114,58 @@ def rolling_median(df: DataFrame, keys: list[str], ts: str, value: str, micros:
     null median. ``seen`` names a column for how many values it held. Rows without an instant see each other only.
 
     A built-in percentile over a sliding frame sorts the whole frame anew for each row. Here time is cut into stretches of
-    the window, each row also goes to the next stretch as a helper, and a task moves one ordered window over a key's
-    stretch: rows times the logarithm of the window, and a long history of one key is spread over many tasks.
+    the window, each row also goes to the next stretch as a helper, and a task moves one ordered window over its sorted
+    stretches: rows times the logarithm of the window. A long history of one key is spread over many tasks, many short
+    ones share a batch, and a task holds one stretch of a key and one batch at most.
     """
-    at = F.unix_micros(ts)
-    rows = df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], at.alias("__t"), F.col(value).cast("double").alias("__v"), F.floor(at / micros).alias("__s"), F.struct(*df.columns).alias("__row"), F.lit(True).alias("__own"))
+    at, ids = F.unix_micros(ts), [f"__k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(i) for k, i in zip(keys, ids, strict=True)], at.alias("__t"), F.col(value).cast("double").alias("__v"), F.floor(at / micros).alias("__s"), F.struct(*df.columns).alias("__row"), F.lit(True).alias("__own"))
     helpers = rows.where("__v is not null and __t is not null").withColumns({"__s": F.col("__s") + 1, "__row": F.lit(None).cast(rows.schema["__row"].dataType), "__own": F.lit(False)})
+    dealt = rows.unionByName(helpers).repartition(*ids, "__s").sortWithinPartitions(*ids, "__s", "__t")
 
-    def rolled(table: pa.Table) -> pa.Table:
-        table = table.sort_by("__t")
-        t = table["__t"].fill_null(0).to_numpy()
+    def rolled(table: pa.Table, change: np.ndarray) -> pa.RecordBatch:
+        group = np.cumsum(change)
+        inside = table["__t"].fill_null(0).to_numpy() - table["__s"].fill_null(0).to_numpy() * micros
+        t = group * (4 * micros) + inside  # windows end inside their group
         v = pd.Series(table["__v"].to_numpy())
         first, last = np.searchsorted(t, t - micros, "left" if closed else "right"), np.searchsorted(t, t, "right")
         medians = v.rolling(_Spans(first, last), min_periods=1).median().to_numpy()
         upto = np.concatenate([[0], np.cumsum(v.notna())])
         own = table["__own"].to_numpy()
         columns = [table["__row"].filter(pa.array(own)), pa.array(medians[own], pa.float64(), from_pandas=True), pa.array((upto[last] - upto[first])[own], pa.int64())]
-        return pa.table(columns, ["__row", "__median", "__seen"])
+        return pa.table(columns, ["__row", "__median", "__seen"]).combine_chunks()
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            edge = pa.Table.from_batches(held[-2:])
+            if not _changes(edge, [*ids, "__s"])[1:].any():
+                continue  # still the same stretch
+            table = pa.Table.from_batches(held)
+            change = _changes(table, [*ids, "__s"])
+            end = int(np.flatnonzero(change)[-1])
+            yield from rolled(table.slice(0, end), change[:end]).to_batches()
+            held = table.slice(end).to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from rolled(table, _changes(table, [*ids, "__s"])).to_batches()
 
     schema = rows.select("__row", F.lit(0.0).alias("__median"), F.lit(0).cast("long").alias("__seen")).schema
-    out = rows.unionByName(helpers).groupBy(*[f"__k{i}" for i in range(len(keys))], "__s").applyInArrow(rolled, StructType([StructField(f.name, f.dataType) for f in schema]))
+    out = dealt.mapInArrow(moved, StructType([StructField(f.name, f.dataType) for f in schema]))
     return out.select("__row.*", F.col("__median").alias(name), *([F.col("__seen").alias(seen)] if seen else []))
 
 
+def _changes(table: pa.Table, columns: list[str]) -> np.ndarray:
+    """Which rows differ from the one before in any of the columns; the first does."""
+    changed = np.zeros(table.num_rows, bool)
+    for name in columns:
+        codes = table[name].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        changed[1:] |= codes[1:] != codes[:-1]
+    changed[:1] = True
+    return changed
+
+
 class _Spans(pd.api.indexers.BaseIndexer):
     """Window bounds that were worked out before."""
 
@@ -126,15 +184,15 @@ def rolling_robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str,
     median of each row's distance to its own median. Groups with fewer than ``min_obs`` rows, nulls included, are skipped,
     and so are rows with fewer in their window.
     """
-    size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    filled = interpolate(df, keys, ts, value).withColumn("__n", size).where(F.col("__n") >= min_obs)
-    span = days * 86_400_000_000
+    enough = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_obs).drop("__n")
+    span = days * DAY
+    filled = interpolate(df.join(enough, keys, "left_semi"), keys, ts, value, micros=span)
     stats = rolling_median(filled, keys, ts, "filled", span, "rolling_median", seen="__seen")
     stats = stats.withColumn("__dev", F.abs(F.col("filled") - F.col("rolling_median")))
     stats = rolling_median(stats, keys, ts, "__dev", span, "rolling_mad")
     z = (F.col(value) - F.col("rolling_median")) / F.nullif(F.col("rolling_mad") * MAD_SCALE, F.lit(0.0))
     out = stats.withColumn("robust_z", F.when(F.col("__seen") >= min_obs, z))
-    return out.where(F.abs("robust_z") > n_mad).drop("__n", "__seen", "__dev", "filled")
+    return out.where(F.abs("robust_z") > n_mad).drop("__seen", "__dev", "filled")
 
 
 def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, name: str, *, bins: int = 256) -> DataFrame:

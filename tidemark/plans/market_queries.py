@@ -372,8 +372,36 @@ def f6_rolling_robust(t: Tables) -> DataFrame:
     return out.select("event_id", _r("rolling_median"), _r("rolling_mad"), _r("robust_z"))
 
 
-@query(None)
+ALERTS_SQL = """
+m AS (SELECT event_type AS event, user_id AS market, date_trunc('hour', ts) AS ts, least(value / 100, 1.0) AS price, value * 1000 AS volume, (0.02 + 0.2 * (event_id % 7 = 0)::INT + 0.4 * (event_id % 11 = 0)::INT)::DOUBLE AS spread
+    FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id, date_trunc('hour', ts) ORDER BY least(value / 100, 1.0) DESC, spread) = 1),
+b AS (SELECT *, quantile_cont(CASE WHEN volume > 0 THEN volume END, 0.5) OVER (PARTITION BY event, market ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS baseline FROM m),
+o AS (SELECT event, ts, market, price, volume / baseline AS vol_ratio, volume, spread FROM b WHERE price IS NOT NULL QUALIFY row_number() OVER (PARTITION BY event, ts ORDER BY price DESC, market) = 1),
+l AS (SELECT *, lag(market) OVER w AS prior_market, lag(price) OVER w AS prior_price FROM o WINDOW w AS (PARTITION BY event ORDER BY ts)),
+d AS (SELECT l.*, coalesce(l.price - prior_price, 0) AS delta, l.price - a.price AS drift FROM l ASOF LEFT JOIN o a ON l.event = a.event AND l.ts - INTERVAL 6 HOUR >= a.ts),
+c AS (SELECT *, list_filter([CASE WHEN prior_market <> market AND abs(delta) >= 0.02 THEN 'MODAL_FLIP' END, CASE WHEN abs(delta) >= 0.1 THEN 'SPIKE' END, CASE WHEN abs(drift) >= 0.25 AND volume >= 10000 THEN 'DRIFT' END, CASE WHEN vol_ratio >= 5 THEN 'VOL_BURST' END], lambda x: x IS NOT NULL) AS classes,
+    CASE WHEN (spread > 0.3 OR spread / greatest(least(price, 1 - price), 0.05) > 0.5) AND greatest(abs(delta), coalesce(abs(drift), 0)) < 0.3 THEN 'ILLIQUID' WHEN (price <= 0.03 OR price >= 0.97) AND (prior_price <= 0.03 OR prior_price >= 0.97) THEN 'RESOLVED' END AS held FROM d),
+f AS (SELECT * FROM c WHERE len(classes) > 0)"""
+WALK_SQL = """
+s AS (SELECT event, 0::BIGINT AS k, NULL::TIMESTAMP AS last_at, NULL::DOUBLE AS last_price, NULL::VARCHAR AS held FROM f GROUP BY 1
+UNION ALL SELECT event, k, CASE WHEN h IS NULL THEN ts ELSE last_at END, CASE WHEN h IS NULL THEN price ELSE last_price END, h FROM (
+    SELECT n.event, n.k, n.ts, n.price, s.last_at, s.last_price, CASE WHEN n.held IS NOT NULL THEN n.held WHEN n.ts - s.last_at < INTERVAL 30 MINUTE AND abs(n.price - s.last_price) < 0.05 THEN 'COOLDOWN' WHEN n.classes = ['DRIFT'] THEN 'DRIFT_ONLY' END AS h
+    FROM s JOIN n ON n.event = s.event AND n.k = s.k + 1))"""
+
+
+def alert_markets(t: Tables) -> DataFrame:
+    """Hourly snapshots of markets from the events: users are markets, types events; the dearest row of an hour counts."""
+    spread = F.lit(0.02) + F.when(F.col("event_id") % 7 == 0, 0.2).otherwise(0.0) + F.when(F.col("event_id") % 11 == 0, 0.4).otherwise(0.0)
+    markets = t.events.select(F.col("event_type").alias("event"), F.col("user_id").alias("market"), F.date_trunc("hour", "ts").alias("ts"), F.least(F.col("value") / 100, F.lit(1.0)).alias("price"), (F.col("value") * 1000).alias("volume"), spread.alias("spread"))
+    return markets.groupBy("event", "market", "ts").agg(F.max_by(F.struct("price", "volume", "spread"), F.struct("price", -F.col("spread"))).alias("r")).select("event", "market", "ts", "r.*")
+
+
+@query(f"""
+WITH RECURSIVE {ALERTS_SQL},
+n AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY ts) AS k FROM f),
+{WALK_SQL}
+SELECT n.event, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(price, 6) AS price, array_to_string(classes, ',') AS classes, s.held, s.held IS NULL AS sent FROM n JOIN s ON n.event = s.event AND n.k = s.k
+""")
 def l1_alerts(t: Tables) -> DataFrame:
-    markets = t.events.select(F.col("event_type").alias("event"), F.col("user_id").alias("market"), F.date_trunc("hour", "ts").alias("ts"), F.least(F.col("value") / 100, F.lit(1.0)).alias("price"), (F.col("value") * 1000).alias("volume"), F.lit(0.02).alias("spread"))
-    found = prediction.alerts(markets, "event", "market", "ts", "price", "volume", "spread")
+    found = prediction.alerts(alert_markets(t), "event", "market", "ts", "price", "volume", "spread")
     return prediction.cool_down(found, "event", "ts", "price").select("event", stamp("ts"), _r("price"), F.array_join("classes", ",").alias("classes"), "held", "sent")

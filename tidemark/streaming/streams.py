@@ -1,15 +1,11 @@
-"""Streaming twins: bars, change filters, replay-safe appends, alerts with state, silent feeds."""
+"""Streaming twins: bars that late ticks correct, replay-safe appends, baselines, silent feeds. State by key is in ``stateful``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.operators.prediction import Thresholds, clamp_backfill
+from tidemark.operators.prediction import clamp_backfill
 from tidemark.sources.scans import exploded_markets
 
 
@@ -26,56 +22,6 @@ def stream_once(df: DataFrame, keys: list[str], ts: str, late: str = "1 hour") -
     return df.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
-def _in_order(batches: Iterator[pd.DataFrame], ts: str, value: str) -> Iterator[tuple]:
-    """One key's (time, value) of a micro-batch in time order: a key's rows may come in several batches in any order."""
-    rows = pd.concat([pdf[[ts, value]] for pdf in batches])
-    return rows.sort_values([ts, value], kind="stable").itertuples(index=False)
-
-
-def stream_changes(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """M4, M5: a row only when a key's value moved, with the value before (null at its first)."""
-
-    def moved(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        out = []
-        for at, v in _in_order(batches, ts, value):
-            if last is None or v != last:
-                out.append((k[0], at, v, last))
-                last = v
-        if out:
-            yield pd.DataFrame(out, columns=[key, ts, value, "prev_value"])
-        if last is not None:
-            state.update((float(last),))
-
-    kind = dict(df.dtypes)[key]
-    return df.select(key, ts, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull()).groupBy(key).applyInPandasWithState(moved, f"{key} {kind}, {ts} timestamp, {value} double, prev_value double", "last double", "append", GroupStateTimeout.NoTimeout)
-
-
-def stream_alerts(df: DataFrame, key: str, ts: str, price: str, t: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
-    """M3: spikes against the snapshot before, with cooldown and re-arm kept in state for each key."""
-
-    def watch(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        prior, sent_at, sent_price = state.get if state.exists else (None, None, None)
-        out = []
-        for at, p in _in_order(batches, ts, price):
-            stamp = at.timestamp()
-            spike = prior is not None and abs(p - prior) >= t.spike
-            cold = sent_at is not None and stamp - sent_at < t.cooldown_minutes * 60 and abs(p - sent_price) < t.rearm
-            if spike:
-                out.append((k[0], at, p, p - prior, not cold))
-                if not cold:
-                    sent_at, sent_price = stamp, p
-            prior = p
-        if out:
-            yield pd.DataFrame(out, columns=[key, ts, price, "delta", "sent"])
-        if prior is not None:
-            state.update((float(prior), sent_at, sent_price))
-
-    kind = dict(df.dtypes)[key]
-    rows = df.select(key, ts, F.col(price).cast("double").alias(price)).where(F.col(price).isNotNull())
-    return rows.groupBy(key).applyInPandasWithState(watch, f"{key} {kind}, {ts} timestamp, {price} double, delta double, sent boolean", "prior double, sent_at double, sent_price double", "append", GroupStateTimeout.NoTimeout)
-
-
 def stream_baseline(df: DataFrame, keys: list[str], ts: str, volume: str, *, width: str = "7 days", slide: str = "1 day", late: str = "1 hour") -> DataFrame:
     """M9: mean positive volume over sliding windows."""
     windows = df.where(F.col(volume) > 0).withWatermark(ts, late).groupBy(*keys, F.window(ts, width, slide))
@@ -89,16 +35,73 @@ def feed_sessions(df: DataFrame, keys: list[str], ts: str, *, gap: str = "1 hour
     return sessions.select(*keys, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
 
 
-def upsert_sink(table_path: str, keys: list[str], partition_by: list[str]):
-    """M8: a ``foreachBatch`` function that upserts each micro-batch into a partitioned archive; a replay changes nothing."""
+def upsert_sink(table_path: str, keys: list[str], partition_by: list[str], order: list[str] | None = None):
+    """M8: a ``foreachBatch`` function that upserts each micro-batch into a partitioned archive; a replay changes nothing.
+
+    The last arrival of a key wins: a later micro-batch over an earlier one, inside one the row of the largest ``order`` columns.
+    """
     from tidemark.sources.scans import write_partitioned
 
     def write(batch: DataFrame, _: int) -> None:
-        write_partitioned(batch, table_path, partition_by, keys, [*keys, *partition_by])
+        write_partitioned(batch, table_path, partition_by, keys, [*keys, *partition_by], order)
 
     return write
 
 
+#: What a bar needs of its ticks, in a form that merges.
+_PARTIAL = {"opened": F.min, "closed": F.max, "high_px": F.max, "low_px": F.min, "total": F.sum, "n_ticks": F.sum, "n_late": F.sum}
+
+
+def bars_sink(path: str, keys: list[str], ts: str, price: str, *, width: str = "1 hour", late_minutes: int = 10):
+    """M2, M8: a ``foreachBatch`` function that keeps bars that late ticks can still correct.
+
+    Each micro-batch leaves its ticks' part of every bar under ``path/bars`` (``merged_bars`` puts the parts together), so a late
+    tick corrects its bar without reading the bar's hour again. Ticks older than the newest tick of the batches before by more
+    than ``late_minutes``, which a watermark would refuse, are kept one by one under ``path/late``. Every folder is named by the batch
+    and written anew when it is replayed, so a replay changes nothing. Ticks without a price or an instant do not count.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        ticks = batch.where(F.col(price).isNotNull() & F.col(ts).isNotNull())
+        marks = spark.read.schema("newest timestamp, batch long").parquet(f"{path}/marks") if number else spark.createDataFrame([], "newest timestamp, batch long")
+        newest = marks.where(F.col("batch") < number).agg(F.max("newest").alias("m")).first()["m"]  # a row for each batch
+        is_late = F.lit(False) if newest is None else F.col(ts) < F.lit(newest) - F.expr(f"interval {int(late_minutes)} minutes")
+        point = F.struct(F.col(ts).alias("at"), F.col(price).cast("double").alias("px"))
+        known = ticks.withColumn("__late", is_late)
+        bars = known.groupBy(*keys, F.window(ts, width).alias("w")).agg(F.min(point).alias("opened"), F.max(point).alias("closed"), F.max(price).cast("double").alias("high_px"), F.min(price).cast("double").alias("low_px"), F.sum(F.col(price).cast("double")).alias("total"), F.count(F.lit(1)).alias("n_ticks"), F.count_if("__late").alias("n_late"))
+        bars.select(*keys, F.col("w.start").alias("bar_ts"), *_PARTIAL).write.mode("overwrite").parquet(f"{path}/bars/batch={number}")
+        known.where("__late").drop("__late").write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+        ticks.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(f"{path}/marks/batch={number}")
+
+    return write
+
+
+def merged_bars(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """M8: the bars of ``bars_sink`` as they stand now: open, high, low, close, mean, ticks and how many of these came late."""
+    by = [*keys, "bar_ts"]
+    one = parts.groupBy(*by).agg(*[f(name).alias(name) for name, f in _PARTIAL.items()])
+    return one.select(*by, F.col("opened.px").alias("open_px"), "high_px", "low_px", F.col("closed.px").alias("close_px"), (F.col("total") / F.col("n_ticks")).alias("mean_px"), "n_ticks", "n_late")
+
+
+def compact_bars(spark: SparkSession, path: str, keys: list[str], upto: int) -> None:
+    """M8: fold the parts of the batches up to ``upto`` into that one's folder, for streams that have run long.
+
+    The folded parts are written beside the table first. Run it while the stream is stopped; batches up to ``upto`` cannot be replayed after it.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bars")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = spark.read.parquet(f"{path}/bars").where(F.col("batch") <= upto)
+    by = [*keys, "bar_ts"]
+    folded = f"{path}/folded-{upto}"
+    parts.groupBy(*by).agg(*[f(name).alias(name) for name, f in _PARTIAL.items()]).write.mode("overwrite").parquet(folded)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("batch=") and int(name[6:]) <= upto:
+            fs.delete(status.getPath(), True)
+    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(folded), spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bars/batch={upto}"))
+
+
 def poll_events(df: DataFrame, keys: list[str], markets: str, prices: str, out: str, log: str):
     """M1: a ``foreachBatch`` function for polls of nested events: one observation for each open market is appended to
     ``out``, and one row for the poll to ``log`` with its markets, the closed ones and the events that have no open one left.
