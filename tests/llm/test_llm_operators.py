@@ -266,3 +266,25 @@ def test_sharding(spark, edges, empty):
     assert sharding.shard_documents(empty).count() == 0
     again = sharding.shard_documents(edges, shards=4).toPandas()
     assert sorted(map(str, again[["doc_id", "shard", "slot"]].to_numpy().tolist())) == sorted(map(str, got[["doc_id", "shard", "slot"]].to_numpy().tolist()))
+
+
+def test_texts_of_one_id_link_their_classes(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(3, a), (5, a), (5, b), (9, b), (12, c), (7, c), (7, d), (8, None), (20, d), (30, "x y z")]
+    got = {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words_each=3, percent=85).collect()}
+    assert got == {(3, 3, True), (5, 3, False), (9, 3, False), (7, 7, True), (12, 7, False), (20, 7, False), (8, 8, True), (30, 30, True)}
+
+
+def test_packing_ids_are_the_library_s(spark):
+    tokenizer = Tokenizer.from_file(WORDS)
+    rng = np.random.default_rng(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "word", "Word's", " ", "\n", "\x1c", "É", "漢字", "12,3", "\x01", "<|", "don't"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(600)]
+    encoder = packing.WordEncoder(WORDS)
+    assert encoder.cut is not None
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    encoder.cut = None
+    encoder.forget()
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.durable import durable
+from tidemark.llm.slices import give_back
 
 PERMUTATIONS = 252
 SKETCH_BITS = 1024
@@ -131,7 +132,8 @@ def signatures(docs: DataFrame, words_each: int, rows_each: int) -> DataFrame:
                 sets = [shingle_hashes(t, words_each) for t in batch["text"].to_pylist()]
                 got = [signer.sign(s) if len(s) else none for s, _ in sets]
                 yield pa.RecordBatch.from_arrays([batch["id"], pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary()), _lists([b for b, _ in got]), _lists([s for _, s in got])], ["id", "n", "key", "bands", "sketch"])
-        _WORDS.clear()  # the worker lives on: other operators' tasks need the memory
+        _WORDS.clear()
+        give_back()
 
     return docs.mapInArrow(signed, "id long, n long, key binary, bands array<long>, sketch array<long>")
 
@@ -146,6 +148,7 @@ def shingle_sets(docs: DataFrame, words_each: int) -> DataFrame:
                 sets = [shingle_hashes(t, words_each) for t in batch["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch["id"], pa.array([k for _, k in sets], pa.binary()), _lists([s.view(np.int64) for s, _ in sets])], ["id", "key", "shingles"])
         _WORDS.clear()
+        give_back()
 
     return docs.mapInArrow(listed, "id long, key binary, shingles array<long>")
 
@@ -209,7 +212,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     odd = F.aggregate(F.zip_with("va", "vb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     tested = durable(star.where(alike & (odd <= cutoff)).select("a", "ka", "b", "kb"))
-    labels = components(_verified(tested, docs, words_each, percent))
+    labels = components(_verified(tested, docs, words_each, percent).union(_links_of_ids(real, nodes)))
 
     members = durable(_mixed_members(buckets, labels))
     few = members.where(F.col("n_all") <= SMALL_BUCKET).join(nodes, "id")
@@ -231,6 +234,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return linked.union(alone).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
+def _links_of_ids(real: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between an id with several texts and the representatives of these texts; none where ids are unique."""
+    several = real.groupBy("id").agg(F.min("key").alias("one"), F.max("key").alias("other")).where("one != other").select("id")
+    texts = real.join(several, "id", "left_semi").select("id", "key").distinct()
+    return texts.join(nodes.select("key", F.col("id").alias("rep")), "key").where("rep != id").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
+
+
 def _mixed_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """``bucket, id, comp, core, n_core, n_all`` of the buckets that hold several components; ``core`` is the largest."""
     placed = buckets.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("comp"))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.durable import durable
 from tidemark.llm.piece_table import PieceTable
+from tidemark.llm.slices import give_back
 
 CAPACITY = 4096
 GROUP_TOKENS = 8_000_000
@@ -36,8 +37,6 @@ MARK = "\x01"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WORD_END = "</w>"
 _SIMPLE = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch  # printable ASCII and the letters of Latin-1
-#: The tokenizer's own pattern, for lower-case words of the characters above.
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+").findall
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -48,10 +47,13 @@ class WordEncoder:
     its words' ids in order. The four information separators are white space to ``str.split`` but not to the
     tokenizer: texts that hold one are cut at plain white space only.
 
-    New words of printable ASCII and Latin-1 letters, which normal forms leave alone, are lower-cased and cut here as the
-    tokenizer's pattern cuts them, so that "Word" and "word," share a piece; a copy of the tokenizer that only merges
-    gives the pieces' ids, and the word-end mark of its tokens tells where a piece ends. All other words go through the
-    whole tokenizer.
+    Marks such as an end-of-text token stand for their ids wherever they occur, as the library has it by default; words
+    that hold one go through the whole tokenizer alone.
+
+    If the file cuts lower-cased words by a pattern and no more, new words of printable ASCII and Latin-1 letters, which
+    normal forms leave alone, are cut here by that pattern, so that "Word" and "word," share a piece; a copy of the tokenizer that
+    only merges gives the pieces' ids, and the word-end mark of its tokens tells where a piece ends. All other words go
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -59,8 +61,12 @@ class WordEncoder:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         (self.mark_id,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(re.search(r"\s", token) for token in added):
+            raise ValueError("marks that hold white space are not known")
+        self.marked = re.compile("|".join(map(re.escape, [MARK, *added]))).search
+        self.cut = _word_pattern(path)
         self.merger = Tokenizer.from_file(path)
         self.merger.encode_special_tokens = True
         bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -74,12 +80,19 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.table.encode([[w for w in re.split("[ \\t\\r\\n]+", t) if w] if _SEPARATORS.search(t) else t.split() for t in texts])
 
+    def forget(self) -> None:
+        """Drop the tables of known words and pieces; they fill again from the next texts."""
+        self.table.clear()
+        self.pieces.clear()
+
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.pieces.encode_joined([_PIECES(w.lower()) if _SIMPLE(w) else [w] for w in words])
+        if self.cut is None:
+            return self._tokenize(words)
+        return self.pieces.encode_joined([self.cut(w.lower()) if _SIMPLE(w) and not self.marked(w) else [w] for w in words])
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, joined, and their counts."""
-        simple = np.fromiter((_SIMPLE(p) is not None for p in pieces), bool, len(pieces))
+        simple = np.fromiter((_SIMPLE(p) is not None and not self.marked(p) for p in pieces), bool, len(pieces))
         lengths = np.zeros(len(pieces), np.int64)
         merged, lengths[simple] = self._merge([p for p, s in zip(pieces, simple, strict=True) if s])
         others, lengths[~simple] = self._tokenize([p for p, s in zip(pieces, simple, strict=True) if not s])
@@ -95,7 +108,7 @@ class WordEncoder:
 
     def _tokenize(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words go in one text with a mark between them: a call for each costs more."""
-        marked = [MARK in w for w in words]
+        marked = [self.marked(w) is not None for w in words]
         plain = [w for w, m in zip(words, marked, strict=True) if not m]
         chunks = [plain[k : k + 500] for k in range(0, len(plain), 500)]
         encoded = self.tokenizer.encode_batch_fast([f" {MARK} ".join([*c, ""]) for c in chunks], add_special_tokens=False)
@@ -111,6 +124,23 @@ class WordEncoder:
         return np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
 
 
+def _word_pattern(path: str):
+    """How the tokenizer file cuts a word of lower-case letters, digits and signs, or None if it does more than cut by a pattern."""
+    import regex
+
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    normal, before = described.get("normalizer") or {}, described.get("pre_tokenizer") or {}
+    normals, steps = normal.get("normalizers", [normal]), before.get("pretokenizers", [before])
+    split, kinds = steps[0], {n.get("type") for n in normals}
+    cuts = split.get("type") == "Split" and "Regex" in split.get("pattern", {}) and split.get("behavior") == "Removed" and split.get("invert")
+    bytes_only = [s.get("type") for s in steps[1:]] == ["ByteLevel"] and not steps[1].get("use_regex")
+    space_only = all(n["pattern"] == {"Regex": "\\s+"} for n in normals if n.get("type") == "Replace")
+    if not (cuts and bytes_only and space_only and "Lowercase" in kinds and kinds <= {"NFC", "Replace", "Lowercase"} and described["model"].get("end_of_word_suffix") == _WORD_END):
+        return None
+    return regex.compile(split["pattern"]["Regex"]).findall
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -142,6 +172,8 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                     columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        encoder.forget()
+        give_back()
 
     return rows.mapInArrow(pieces, PIECE_SCHEMA + (", ids array<int>" if with_ids else ""))
 

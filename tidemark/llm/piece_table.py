@@ -28,9 +28,9 @@ class PieceTable:
 
     def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000):
         self.encode_new, self.limit = encode_new, limit
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.known = _Numbers()
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(1, np.int64)
@@ -49,7 +49,7 @@ class PieceTable:
 
     def _numbers(self, split: list[list[str]]) -> list[np.ndarray]:
         if len(self.known) > self.limit:
-            self._clear()
+            self.clear()
         number = self.known.__getitem__
         numbers = [np.fromiter(map(number, pieces), np.int64, len(pieces)) for pieces in split]
         if self.known.fresh:

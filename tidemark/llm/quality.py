@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.durable import durable
+from tidemark.llm.slices import give_back
 
 HASH_BITS = 21
 BINS = 12
@@ -205,7 +206,8 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS_AT_ONCE):
             yield batch.slice(at, ROWS_AT_ONCE)
-    _SLOTS.clear()  # the worker lives on: other operators' tasks need the memory
+    _SLOTS.clear()
+    give_back()
 
 
 def keep_rows(docs: DataFrame, model: Ordinal, text_col: str = "text", *, keep: float = KEEP) -> DataFrame:

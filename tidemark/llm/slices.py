@@ -1,8 +1,11 @@
-"""Cutting Arrow batches into slices of bounded text, so that a Python task's memory does not hang on the batch size."""
+"""Bounds on the memory of Python tasks: slices of bounded text, and memory given back at the end."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,19 @@ SLICE_ROWS = 1000
 SLICE_BYTES = 4 << 20
 
 
+@cache
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system at a task's end: the worker lives on, and what it keeps counts beside other operators' tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim() is not None:
+        _trim()(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of at most ``rows`` rows and about ``size`` bytes in ``column``; a longer text is a slice by itself."""
     for batch in batches:
