@@ -32,10 +32,11 @@ CAPACITY = 4096
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 40_000
 WEIGHTS = (1.0, 0.5, 0.5)
-WORDS_KEPT = 250_000
+WORDS_KEPT = 500_000
 MARK = "\x01"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WORD_END = "</w>"
+LOWER = "a-zß-öø-ÿ"
 _SIMPLE = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch  # printable ASCII and the letters of Latin-1
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -66,6 +67,8 @@ class WordEncoder:
         if any(re.search(r"\s", token) for token in added):
             raise ValueError("marks that hold white space are not known")
         self.marked = re.compile("|".join(map(re.escape, [MARK, *added]))).search
+        firsts = {token[0] for token in added}
+        self.first = firsts.pop() if len(firsts) == 1 else ""
         self.cut = _word_pattern(path)
         self.merger = Tokenizer.from_file(path)
         self.merger.encode_special_tokens = True
@@ -88,11 +91,14 @@ class WordEncoder:
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.cut is None:
             return self._tokenize(words)
-        return self.pieces.encode_joined([self.cut(w.lower()) if _SIMPLE(w) and not self.marked(w) else [w] for w in words])
+        return self.pieces.encode_joined([self.cut(w.lower()) if self._simple(w) else [w] for w in words])
+
+    def _simple(self, word: str) -> bool:
+        return _SIMPLE(word) is not None and not (self.first in word and self.marked(word))
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, joined, and their counts."""
-        simple = np.fromiter((_SIMPLE(p) is not None and not self.marked(p) for p in pieces), bool, len(pieces))
+        simple = np.fromiter(map(self._simple, pieces), bool, len(pieces))
         lengths = np.zeros(len(pieces), np.int64)
         merged, lengths[simple] = self._merge([p for p, s in zip(pieces, simple, strict=True) if s])
         others, lengths[~simple] = self._tokenize([p for p, s in zip(pieces, simple, strict=True) if not s])
@@ -138,7 +144,14 @@ def _word_pattern(path: str):
     space_only = all(n["pattern"] == {"Regex": "\\s+"} for n in normals if n.get("type") == "Replace")
     if not (cuts and bytes_only and space_only and "Lowercase" in kinds and kinds <= {"NFC", "Replace", "Lowercase"} and described["model"].get("end_of_word_suffix") == _WORD_END):
         return None
-    return regex.compile(split["pattern"]["Regex"]).findall
+    pattern = split["pattern"]["Regex"]
+    whole = regex.compile(pattern).findall
+    try:  # the same for the characters of simple words, in the faster module
+        plain = re.compile(pattern.replace(r"\p{L}", LOWER).replace(r"\p{N}", "0-9")).findall
+    except re.error:
+        return whole
+    tried = "aßé09'-.,<|sltrevdm"
+    return plain if all(plain(x + y + z) == whole(x + y + z) for x in tried for y in tried for z in tried) else whole
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -172,7 +185,6 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                     columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
-        encoder.forget()
         give_back()
 
     return rows.mapInArrow(pieces, PIECE_SCHEMA + (", ids array<int>" if with_ids else ""))
