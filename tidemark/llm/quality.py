@@ -32,6 +32,7 @@ KEEP = 0.7
 DENSE = 125
 MAX_LABELLED = 16_000
 MAX_TRAIN_SLOTS = 24_000_000
+SLOTS_AT_ONCE = 2_000_000
 WORDS_KEPT = 150_000
 ROWS_AT_ONCE = 500
 LEAST_ROWS = 8
@@ -98,11 +99,34 @@ class Ordinal:
         return keep if self.weights.any() else 0.0
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate: float = 0.2, lasso: float = 6e-4) -> Ordinal:
+class Rows:
+    """Rows of slots in one array: iterates over the rows, and can be emptied when they have been read for the last time."""
+
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray):
+        self.flat, self.ends, self.starts = flat, np.cumsum(lengths), np.cumsum(lengths) - lengths
+        self.order = np.arange(len(lengths))
+
+    def sort(self, order: np.ndarray) -> None:
+        """Iterate in another order; nothing is moved."""
+        self.order = order
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        for k in self.order.tolist():
+            yield self.flat[self.starts[k] : self.ends[k]]
+
+    def clear(self) -> None:
+        self.flat = self.flat[:0].copy()
+
+
+def fit(rows: Rows | list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate: float = 0.2, lasso: float = 6e-4) -> Ordinal:
     """Maximum likelihood of the cumulative-link model by Adam over the whole batch, rows weighted by the root of the inverse grade count.
 
     Grades that the sample lacks cost nothing; without any row the model is zero: every probability is one half and
-    nothing is rejected. The slots are held by row and by slot as 32-bit numbers, and sums run over their stretches.
+    nothing is rejected. The slots are held by row and by slot as 32-bit numbers, and sums run over their stretches;
+    ``rows`` is emptied once its slots have been taken over.
     """
     size = SHAPES + (1 << HASH_BITS)
     w, base, gaps = np.zeros(size), 0.0, np.zeros(GRADES - 2)
@@ -116,18 +140,23 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate:
     used = np.flatnonzero(seen >= LEAST_ROWS)  # words of a few rows only learn those rows by heart
     place = np.full(size, -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
-    rows = [p[p >= 0] for p in (place[r] for r in rows)]
-    lengths = np.array([len(r) for r in rows])
-    slots = np.concatenate(rows)
-    order = np.argsort(slots, kind="stable").astype(np.int32)
-    of = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)[order]
+    lengths = np.fromiter((np.count_nonzero(place[r] >= 0) for r in rows), np.int64, len(rows))
+    slots, at = np.empty(lengths.sum(), np.int32), 0
+    for r in rows:
+        p = place[r]
+        p = p[p >= 0]
+        slots[at : at + len(p)] = p
+        at += len(p)
+    rows.clear()
+    of = _rows_by_slot(slots, lengths, len(used))
     by_row, by_slot = _Stretches(lengths), _Stretches(seen[used])
-    del order, rows, place
+    del place, seen
+    give_back()
     v = np.zeros(len(used))
     moment, second = np.zeros(len(used) + GRADES - 1), np.zeros(len(used) + GRADES - 1)
     for t in range(1, epochs + 1):
         thresholds = base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        score = by_row.sums(v.astype(np.float32)[slots])
+        score = by_row.sums(v.astype(np.float32), slots)
         cum = np.concatenate([np.ones((len(score), 1)), 1 / (1 + np.exp(-np.clip(score[:, None] - thresholds, -40, 40))), np.zeros((len(score), 1))], axis=1)
         at = np.arange(len(score))
         upper, lower = cum[at, grades], cum[at, grades + 1]
@@ -138,7 +167,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate:
         np.add.at(d_threshold, grades, weight * du / len(score))
         np.add.at(d_threshold, grades + 1, -weight * dl / len(score))
         d_threshold = d_threshold[1:GRADES]
-        grad = np.concatenate([by_slot.sums(d_score.astype(np.float32)[of]), [d_threshold.sum()], np.cumsum(d_threshold[::-1])[::-1][1:] * np.exp(gaps)])
+        grad = np.concatenate([by_slot.sums(d_score.astype(np.float32), of), [d_threshold.sum()], np.cumsum(d_threshold[::-1])[::-1][1:] * np.exp(gaps)])
         moment, second = 0.9 * moment + 0.1 * grad, 0.99 * second + 0.01 * grad**2
         scale = rate / (np.sqrt(second / (1 - 0.99**t)) + 1e-4)
         step = scale * moment / (1 - 0.9**t)
@@ -151,18 +180,36 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = 300, rate:
     return Ordinal(w, base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
 
 
+def _rows_by_slot(slots: np.ndarray, lengths: np.ndarray, size: int, parts: int = 16) -> np.ndarray:
+    """The row of every entry, in the order of the slots; some slots at a time, so that no sort of all entries is held."""
+    ends = np.cumsum(lengths)
+    out, at = np.empty(len(slots), np.int32), 0
+    for part in range(parts):
+        low, high = size * part // parts, size * (part + 1) // parts
+        here = np.flatnonzero((slots >= low) & (slots < high))
+        here = here[np.argsort(slots[here], kind="stable")]
+        out[at : at + len(here)] = np.searchsorted(ends, here, side="right")
+        at += len(here)
+    return out
+
+
 class _Stretches:
     """Sums over neighbouring stretches of an array; an empty stretch has zero."""
 
     def __init__(self, lengths: np.ndarray):
         self.full = np.flatnonzero(lengths)
         self.starts = (np.cumsum(lengths) - lengths)[self.full]
+        self.ends = np.cumsum(lengths)[self.full]
         self.n = len(lengths)
 
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.n)
-        if len(self.full):
-            out[self.full] = np.add.reduceat(values, self.starts)
+    def sums(self, values: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Of ``values[index]``, of which some millions are there at a time."""
+        out, low = np.zeros(self.n), 0
+        while low < len(self.full):
+            first = self.starts[low]
+            high = max(low + 1, int(np.searchsorted(self.ends, first + SLOTS_AT_ONCE, side="right")))
+            out[self.full[low:high]] = np.add.reduceat(values[index[first : self.ends[high - 1]]], self.starts[low:high] - first)
+            low = high
         return out
 
 
@@ -193,12 +240,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = found.groupBy("id").agg(F.min(F.struct("size", "grade", "slots")).alias("row")).select("id", "row.*")
     found = durable(found.withColumn("at", F.xxhash64("id")))
     sizes = found.groupBy("at").agg(F.sum("size").alias("size")).orderBy("at").toPandas()
-    fits = sizes["at"][sizes["size"].cumsum() <= MAX_TRAIN_SLOTS]
-    if len(fits) < len(sizes):
-        found = found.where(F.col("at") <= int(fits.max())) if len(fits) else found.limit(0)
-    rows = found.select("id", "grade", "slots").toPandas().sort_values("id")
-    x = [np.frombuffer(s, np.int32) for s in rows["slots"]]
-    return fit(x, rows["grade"].to_numpy(dtype=np.int64))
+    upto = sizes["size"].cumsum().to_numpy()
+    at, whole = sizes["at"].to_numpy(), int(np.searchsorted(upto, MAX_TRAIN_SLOTS, side="right"))
+    ids, grades, lengths, flat = [], [], [], np.empty(upto[whole - 1] if whole else 0, np.int32)
+    filled = low = 0
+    while low < whole:  # some millions of slots at a time, so that neither side of the driver holds them twice
+        high = max(low + 1, int(np.searchsorted(upto[:whole], (upto[low - 1] if low else 0) + SLOTS_AT_ONCE, side="right")))
+        table = found.where(F.col("at").between(int(at[low]), int(at[high - 1]))).select("id", "grade", "slots").toArrow()
+        ids.append(table["id"].to_numpy())
+        grades.append(table["grade"].to_numpy())
+        for chunk in table["slots"].chunks:
+            for row in chunk:
+                slots = np.frombuffer(row.as_buffer(), np.int32)
+                flat[filled : filled + len(slots)] = slots
+                lengths.append(len(slots))
+                filled += len(slots)
+        del table
+        low = high
+    rows, known = Rows(flat, np.array(lengths, np.int64)), np.concatenate([*grades, np.zeros(0, np.int64)]).astype(np.int64)
+    del flat
+    rows.sort(np.argsort(np.concatenate([*ids, np.zeros(0, np.int64)]), kind="stable"))
+    give_back()
+    return fit(rows, known[rows.order])
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
