@@ -1,0 +1,121 @@
+"""Recall where windows bind, alignments against brute force, and pages that are all open tags, quotes or nesting."""
+
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import ann, html_main, media
+
+MB = 1_000_000
+SHAPES = {
+    "open tags": "<div " * (MB // 5),
+    "open quotes": "<a href='" * (MB // 9),
+    "closed in quotes only": "<a href='>'" * (MB // 11),
+    "odd quotes": "<p " + "a=\"b' " * (MB // 7) + ">",
+    "nesting": "<div>" * (MB // 5),
+    "inline nesting": "<b>" * (MB // 6) + "<p>" * (MB // 6),
+    "foreign ends": "<div>" * (MB // 11) + "</p>" * (MB // 8),
+    "one long attribute": "<div " + "a" * MB + ">x",
+    "many names": "<div " + "a " * (MB // 2) + ">x",
+    "comments": "<!--" * (MB // 4),
+    "declarations": "<!" * (MB // 2),
+    "angles": "<" * MB,
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_a_bad_page_of_a_megabyte_takes_seconds(shape):
+    model = html_main.default_model()
+    began = time.process_time()
+    html_main.main_texts([SHAPES[shape]], model)
+    assert time.process_time() - began < 15  # under 4 when written
+
+
+def test_scanner_reads_tags_as_before():
+    page = html_main.parse("<article><p title='a > b'>one <b>two</b><p class=x>three &amp; <a href=\"/y\">four</a><br>five<!-- no --> six</article><div <p>seven")
+    assert [run for _, run in page.runs] == ["one two", "three & four", "five six", "seven"]
+    assert html_main.parse("a <b").runs == [(0, "a <b")] and html_main.parse("x<!-- <p>").runs == [(0, "x")]
+
+
+def test_deep_elements_hang_beside_each_other():
+    page = html_main.parse("<div>" * 2000 + "deep")
+    assert max(page.depth) <= html_main.DEEPEST + 1 and page.runs[-1][1] == "deep" and len(page.parent) == 2001
+
+
+@pytest.fixture(scope="module", params=["uniform", "clustered"])
+def vectors(request):
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(3000, 24))
+    if request.param == "clustered":
+        v = rng.normal(size=(60, 24))[rng.integers(0, 60, 3000)] + 0.15 * v
+    return request.param, v
+
+
+def test_recall_where_windows_bind(spark, vectors):
+    kind, v = vectors
+    share = 0.1 if kind == "uniform" else 0.02
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(v.tolist())], "vec_id long, embedding array<double>").withColumns({c: F.lit("x") for c in ("id", "vec", "node", "asks", "curve", "key", "at")})
+    got = ann.search(df, is_query=F.col("id") % 50 == 0, window_share=share).collect()
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = unit[::50] @ unit.T
+    near[np.arange(60), np.arange(0, 3000, 50)] = -2
+    want = {(50 * q, i) for q in range(60) for i in np.argsort(-near[q])[:5].tolist()}
+    found = {(r.query_id, r.vec_id) for r in got}
+    assert len(found) == 300
+    assert len(found & want) / 300 >= 0.9
+
+
+def _brute(asked, there, k=5):
+    rows = []
+    for q, (a, a_on) in asked.items():
+        met = []
+        for r, (b, b_on) in there.items():
+            votes = {}
+            for i in np.flatnonzero(a_on):
+                for j in np.flatnonzero(b_on & (b == a[i])):
+                    votes[j - i] = votes.get(j - i, 0) + 1
+            if not votes:
+                continue
+            offset, n = min(votes.items(), key=lambda x: (-x[1], x[0]))
+            at = [i for i in range(len(a)) if 0 <= i + offset < len(b) and a_on[i] and b_on[i + offset]]
+            wrong = sum(int(a[i] ^ b[i + offset]).bit_count() for i in at) / (32 * len(at))
+            if wrong <= media.MOST_ERRORS and len(at) >= media.LEAST_OVERLAP:
+                met.append((wrong, r, offset, n, len(at)))
+        rows += [(q, place, r, offset, n, m, round(wrong, 9)) for place, (wrong, r, offset, n, m) in enumerate(sorted(met)[:k], 1)]
+    return sorted(rows)
+
+
+def _media(spark, rows):
+    return spark.createDataFrame([(k, None if pcm is None else {"rate": 4000, "pcm": pcm}) for k, pcm in rows], f"id long, media {media.MEDIA_TYPE}").withColumns({c: F.lit("x") for c in ("codes", "node", "at", "offset", "place", "votes")})
+
+
+def test_alignment_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    melody = [rng.normal(0, 0.12, 40).tolist() for _ in range(12)]
+    melody += [melody[0][:20] + [None] * 6 + melody[0][20:], melody[1][:]]
+    whole = [(k, media.play(m)) for k, m in enumerate(melody)] + [(50, None), (51, b""), (52, b"\0\0" * 30_000), (53, b"\0")]
+    noisy = lambda pcm: (np.frombuffer(pcm, "<i2") + rng.normal(0, 300, len(pcm) // 2)).astype("<i2").tobytes()
+    asked = [(k, noisy(media.play(m, first=4096 + 37, last=16384))) for k, m in enumerate(melody)] + [(60, None), (61, media.play(rng.normal(0, 0.2, 30).tolist()))]
+    sign = lambda rows: {k: media.codes(p, 4000) for k, p in rows}
+    want = _brute(sign(asked), sign(whole))
+    got = media.search(media.fingerprints(_media(spark, asked), "id", "media"), media.fingerprints(_media(spark, whole + whole[:2]), "id", "media")).collect()
+    assert sorted((r.query_id, r["rank"], r.id, r.offset, r.votes, r.overlap, round(r.bit_errors, 9)) for r in got) == want
+    assert sum(place == 1 and q == r for q, place, r, *_ in want) >= 13
+
+
+def test_a_clip_after_a_pause_keeps_its_offset(spark):
+    melody = media.play(np.random.default_rng(1).normal(0, 0.2, 80).tolist())
+    paused = b"\0\0" * 10_000 + melody[20_000:]
+    clip = melody[2 * 20_480 : 2 * 32_000]
+    prints = lambda pcm: media.fingerprints(_media(spark, [(1, pcm)]), "id", "media")
+    for pcm in (melody, paused):
+        (row,) = media.search(prints(clip), prints(pcm)).collect()
+        assert (row.offset, row.bit_errors) == (40, 0.0)
+
+
+def test_alignment_of_empty_tables(spark):
+    none = media.fingerprints(_media(spark, [(1, None)]).limit(0), "id", "media")
+    some = media.fingerprints(_media(spark, [(1, media.play([0.1, -0.2, 0.3] * 9))]), "id", "media")
+    assert media.search(none, some).count() == media.search(some, none).count() == 0

@@ -137,7 +137,7 @@ def test_audio_alignment(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id < 60")
     got = media.align_melodies(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0).where("rank = 1").collect()
     assert {(r.query_id, r.id, r.offset) for r in got} == {(0, 0, 16), (20, 20, 16), (40, 40, 16)}
-    assert len(media.codes(None, 4000)) == 0 and len(media.codes(b"\0\0" * 40_000, 4000)) == 0
+    assert len(media.codes(None, 4000)[0]) == 0 and not media.codes(b"\0\0" * 40_000, 4000)[1].any()
     odd = spark.createDataFrame([(1, None), (2, [0.1, None, float("nan")] * 20)], "vec_id long, embedding array<double>")
     assert {r.id: len(r.codes) > 0 for r in media.fingerprints(media.tones(odd, "vec_id", "embedding"), "id", "media").collect()} == {1: False, 2: True}
 

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.durable import durable
 
 CURVES, AXES, BITS = 8, 4, 15
-WINDOW_SHARE, LEAST_WINDOW = 0.1, 2048
+WINDOW_SHARE = 0.1
+#: A window holds at least so many rows for each neighbour asked for.
+ROWS_EACH = 8
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 2048
 FIT_ROWS = 4096
 
@@ -63,11 +65,11 @@ def usable_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.size("vec") == (size[0]["d"] if size else 0))
 
 
-def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", *, is_query: Column | None = None, k: int = 5, curves: int = CURVES, axes: int = AXES, window_share: float = WINDOW_SHARE, least_window: int = LEAST_WINDOW, seed: int = 1) -> DataFrame:
+def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", *, is_query: Column | None = None, k: int = 5, curves: int = CURVES, axes: int = AXES, window_share: float = WINDOW_SHARE, seed: int = 1) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` nearest others by cosine, ties to the smaller id.
 
     ``is_query`` is a condition on ``id`` (all rows, if none). Equal vectors are one node on the curves, so any number of
-    copies costs one place in a window; the k + 1 smallest ids of a node stand for it, which loses no answer. Fewer than
+    copies costs one place in a window of ``window_share`` of all nodes on either side; the k + 1 smallest ids of a node stand for it, which loses no answer. Fewer than
     ``k`` others give fewer rows. The projection is fitted on the ``FIT_ROWS`` nodes with the smallest id hashes.
     """
     rows = usable_vectors(df, id_col, vec_col).withColumn("asks", is_query if is_query is not None else F.lit(True))
@@ -107,7 +109,7 @@ def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", *,
     starts = parts.select("curve", "part", (F.coalesce(before, F.lit(0)) - F.col("low")).alias("start"))  # a row for each partition
     ranked = ordered.join(F.broadcast(starts), ["curve", "part"]).withColumn("at", F.col("pos") + F.col("start"))
 
-    window = max(least_window, int(np.ceil(window_share * n)))
+    window = max(ROWS_EACH * k, int(np.ceil(window_share * n)))
     chunks = max(1, -(-min(asking, int(asking * (2 * window + BLOCK_ROWS) / max(1, n)) + 1) // BLOCK_QUERIES))
     last = F.lit(max(0, n - 1))
     block = lambda x: F.floor(x / BLOCK_ROWS).cast("long")

@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 
 PAGES_AT_ONCE = 256
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+_START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_MARKS = re.compile(r"""["'>]""")
+_ATTRIBUTE = re.compile(r"""(?<![^\s=/"'>])([^\s=/"'>]++)\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]+)""")
+#: Browsers, too, hang elements that are nested deeper than this beside each other.
+DEEPEST = 512
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _SILENT = frozenset("script style template noscript title textarea select option iframe svg object canvas head".split())
@@ -69,15 +72,59 @@ class Page:
     linked: list[int] = field(default_factory=list)
 
 
+class _TagEnds:
+    """Where tags end: at the first ">" outside quotes or, if quotes never close, at the first one at all.
+
+    Each end is looked up in a table of all quotes and ">" of the page, made once from its end to its start when a tag with a quote
+    comes up, so no part of a page is read again for each tag.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.places, self.ends, self.last = source, None, [], 0
+
+    def after(self, at: int) -> int:
+        """The place of the ">" that ends a tag whose name ends at ``at``, or -1."""
+        plain = self.source.find(">", at)
+        if plain < 0 or not _quoted(self.source, at, plain):
+            return plain
+        if self.places is None:
+            self._tabulate()
+        while self.last < len(self.places) and self.places[self.last] < at:
+            self.last += 1
+        end = self.ends[self.last] if self.last < len(self.places) else -1
+        return plain if end < 0 else end
+
+    def _tabulate(self) -> None:
+        found = [(m.start(), m[0]) for m in _MARKS.finditer(self.source)]
+        self.places = [place for place, _ in found]
+        self.ends = [-1] * (len(found) + 1)
+        following = {'"': -1, "'": -1}
+        for k in range(len(found) - 1, -1, -1):
+            place, mark = found[k]
+            if mark == ">":
+                self.ends[k] = place
+            else:
+                close, following[mark] = following[mark], k
+                self.ends[k] = self.ends[close + 1] if close >= 0 else -1
+
+
+def _quoted(source: str, start: int, end: int) -> bool:
+    return source.find('"', start, end) >= 0 or source.find("'", start, end) >= 0
+
+
 def parse(source: str | None) -> Page:
     """Read a page as browsers do, as far as text is concerned: missing end tags, raw elements, character references.
 
     Inline elements are not nodes: their text joins the block around them. Any other tag, and a line break, ends a run.
     A ``data-y`` of 0 or 1 is a label, for training only; pages at large put other values there, which say nothing.
+    Time grows with the length of the page, whatever is left open in it.
     """
     source = source or ""
     page = Page([-1], [0], ["html"], [frozenset()], [0], [], [])
     stack: list[tuple[str, int]] = [("html", 0)]
+    blocks: list[int] = []  # places in the stack of elements that are not inline
+    opened: dict[str, int] = {}
+    ends = _TagEnds(source)
     text: list[str] = []
     silent = links = linked = 0
     at = 0
@@ -103,51 +150,66 @@ def parse(source: str | None) -> Page:
     def pop() -> None:
         nonlocal silent, links
         name, _ = stack.pop()
+        opened[name] -= 1
+        if blocks and blocks[-1] == len(stack):
+            blocks.pop()
         silent -= name in _SILENT
         links -= name == "a"
 
     while True:
-        found = _TAG.search(source, at)
-        say(source[at : found.start()] if found else source[at:])
-        if not found:
-            break
-        at = found.end()
-        name = (found[2] or found[5] or "").lower()
-        if not name:
+        found = _START.search(source, at)
+        if found and not found[2]:
+            say(source[at : found.start()])
+            if found[0] == "<!--":
+                end = source.find("-->", found.end())
+                at = len(source) if end < 0 else end + 3
+            else:
+                end = source.find(">", found.end())
+                at = len(source) if end < 0 else end + 1
+                if end < 0:
+                    say(source[found.start() :])
             continue
-        closing = found[1] or found[4]
+        end = ends.after(found.end()) if found else -1
+        if end < 0:  # no tag ends any more: what is left is text up to a comment
+            comment = source.find("<!--", at)
+            say(source[at : comment if comment >= 0 else len(source)])
+            break
+        say(source[at : found.start()])
+        at, name, attributes = end + 1, found[2].lower(), source[found.end() : end]
         inline = name in _INLINE
         if not inline:
             flush()
-        if closing:
-            if any(open_name == name for open_name, _ in stack[1:]):
+        if found[1]:
+            if opened.get(name):
                 while stack[-1][0] != name:
                     pop()
                 pop()
             continue
         if not inline:
             # an open paragraph, item or cell ends here, with the inline elements in it
-            for k in range(len(stack) - 1, 0, -1):
-                if name in _ENDED_BY.get(stack[k][0], ()):
-                    while len(stack) > k:
-                        pop()
-                elif stack[k][0] not in _INLINE:
-                    break
-        if name in _VOID or (found[3] or found[6] or "").endswith("/") and inline:
+            while blocks and name in _ENDED_BY.get(stack[blocks[-1]][0], ()):
+                down = blocks[-1]
+                while len(stack) > down:
+                    pop()
+        if name in _VOID or attributes.endswith("/") and inline:
             continue
         node = stack[-1][1]
         if name == "html":
             continue
         if not inline and name not in _SILENT:
-            attributes = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(found[3] or found[6] or "")}
-            words = re.split(r"[^a-z]+", f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}")
-            page.parent.append(node)
-            page.depth.append(page.depth[node] + 1)
+            given = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
+            words = re.split(r"[^a-z]+", f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}")
+            above = node if page.depth[node] < DEEPEST else page.parent[node]
+            page.parent.append(above)
+            page.depth.append(page.depth[above] + 1)
             page.tag.append(name)
             page.groups.append(frozenset(_WORD_GROUP[w] for w in words if w in _WORD_GROUP))
-            page.label.append(int(attributes["data-y"]) if attributes.get("data-y") in ("0", "1") else page.label[node])
+            page.label.append(int(given["data-y"]) if given.get("data-y") in ("0", "1") else page.label[node])
             node = len(page.parent) - 1
+        if not inline:
+            blocks.append(len(stack))
         stack.append((name, node))
+        opened[name] = opened.get(name, 0) + 1
         silent += name in _SILENT
         links += name == "a"
         if name in _RAW:
@@ -181,8 +243,7 @@ class Forest:
                 own[s + node] += len(run)
                 linked[s + node] += of_links
         below, links_below = own.copy(), linked.copy()
-        for d in range(int(depth.max()), 0, -1):
-            at = np.flatnonzero(depth == d)
+        for at in reversed(_levels(depth)[1:]):
             np.add.at(below, parent[at], below[at])
             np.add.at(links_below, parent[at], links_below[at])
         page_of = np.repeat(np.arange(len(pages)), sizes)
@@ -207,6 +268,12 @@ class Forest:
         return Forest(parent, depth, kind, features, np.array([y for p in pages for y in p.label]), starts)
 
 
+def _levels(depth: np.ndarray) -> list[np.ndarray]:
+    """The nodes of each depth, in order."""
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.cumsum(np.bincount(depth))[:-1])
+
+
 @dataclass
 class TreeModel:
     """Unary weights for the state "content" and log potentials [kind of child, parent's state, child's state]."""
@@ -220,7 +287,7 @@ class TreeModel:
         unary = np.zeros((n, 2))
         unary[:, 1] = self.weights[forest.features].sum(axis=1)
         pair = self.pairs[forest.kind]
-        levels = [np.flatnonzero(forest.depth == d) for d in range(int(forest.depth.max()) + 1)]
+        levels = _levels(forest.depth)
         up = unary.copy()  # own potential and all messages from below
         message = np.zeros((n, 2))  # to the parent
         for at in reversed(levels[1:]):

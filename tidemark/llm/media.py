@@ -2,9 +2,9 @@
 
 A media column is a struct of ``rate`` (samples a second) and ``pcm`` (little-endian 16-bit mono). Frames of a recording are
 folded into twelve pitch classes; rectangle filters, read off an integral image of that pitch-time picture, are
-quantised to two bits each, and sixteen of them make a 32-bit code for each frame. Two recordings align at the offset
-at which most of their codes agree (the peak of an offset histogram); the share of differing bits over the overlap there tells
-how alike they are.
+quantised to two bits each, and sixteen of them make a 32-bit code for each frame. Frames in silence keep their place but
+have no code. Recordings meet in a join on codes, never as all pairs: every agreement votes for an offset, two recordings
+align at the peak of their offset histogram, and the share of differing bits over the overlap there tells how alike they are.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +23,8 @@ from tidemark.llm.durable import durable
 FRAME, HOP, CLASSES = 1024, 512, 12
 SPAN = 8
 FILTERS = 16
-QUERY_BLOCK, ROW_BLOCK = 128, 1024
+FRAMES_AT_ONCE = 4096
+SALTS = 8
 MOST_ERRORS = 0.3
 LEAST_OVERLAP = 8
 RECORDINGS_AT_ONCE = 64
@@ -36,13 +36,14 @@ def chroma(pcm: np.ndarray, rate: int) -> np.ndarray:
     """Pitch-class energies of every frame, each frame scaled to one; silent frames are zero."""
     if len(pcm) < FRAME or rate <= 0:
         return np.zeros((0, CLASSES))
-    frames = np.lib.stride_tricks.sliding_window_view(pcm.astype(np.float32), FRAME)[::HOP] * np.hanning(FRAME).astype(np.float32)
-    power = np.abs(np.fft.rfft(frames, axis=1)) ** 2
+    frames = np.lib.stride_tricks.sliding_window_view(pcm, FRAME)[::HOP]
     frequency = np.fft.rfftfreq(FRAME, 1 / rate)
     heard = (frequency >= 80) & (frequency <= min(3500, rate / 2))
-    pitch = np.round(12 * np.log2(frequency[heard] / 440)).astype(int) % CLASSES
-    folded = power[:, heard] @ np.eye(CLASSES)[pitch]
-    return folded / np.maximum(folded.sum(axis=1, keepdims=True), 1e-3)
+    pitch = np.eye(CLASSES)[np.round(12 * np.log2(frequency[heard] / 440)).astype(int) % CLASSES]
+    window = np.hanning(FRAME).astype(np.float32)
+    folded = [(np.abs(np.fft.rfft(frames[k : k + FRAMES_AT_ONCE].astype(np.float32) * window, axis=1)) ** 2)[:, heard] @ pitch for k in range(0, len(frames), FRAMES_AT_ONCE)]
+    picture = np.concatenate(folded)
+    return picture / np.maximum(picture.sum(axis=1, keepdims=True), 1e-3)
 
 
 @lru_cache(maxsize=1)
@@ -86,22 +87,24 @@ def _thresholds() -> np.ndarray:
     return np.quantile(_responses(noise / noise.sum(axis=1, keepdims=True)), [0.25, 0.5, 0.75], axis=0)
 
 
-def codes(pcm: bytes | None, rate: int | None) -> np.ndarray:
-    """32-bit codes of a recording; none for nulls, fewer than ``SPAN`` frames, or stretches of silence."""
+def codes(pcm: bytes | None, rate: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """A recording's 32-bit codes, one for each frame, and which of them sound; none for nulls or fewer than ``SPAN`` frames.
+
+    A code looks at ``SPAN`` frames; where all of them are silent it does not sound.
+    """
     samples = np.frombuffer((pcm or b"")[: len(pcm or b"") // 2 * 2], "<i2")
-    picture = chroma(samples / 32768, rate or 0)
+    picture = chroma(samples / np.float32(32768), rate or 0)
     response = _responses(picture)
     low, mid, high = _thresholds()
     level = (response > low).astype(np.uint32) + (response > mid) + (response > high)
     gray = (level ^ (level >> 1)).astype(np.uint32)
     packed = (gray << (2 * np.arange(FILTERS, dtype=np.uint32))).sum(axis=1).astype(np.uint32)
-    energy = picture.sum(axis=1)
-    sounding = np.array([energy[k : k + SPAN].any() for k in range(len(packed))], bool)
-    return packed[sounding] if len(packed) else packed
+    heard = np.concatenate([[0], np.cumsum(picture.sum(axis=1) > 0)])
+    return packed, heard[SPAN : SPAN + len(packed)] > heard[: len(packed)]
 
 
 def fingerprints(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """``id, codes`` (array of 32-bit integers) for every row with an id; null media have no codes.
+    """``id, codes`` for every row with an id: a 32-bit integer for each frame, null in silence; null media have no codes.
 
     Run it inside ``few_recordings`` on tables of long recordings, so that no batch of them outgrows a task.
     """
@@ -109,63 +112,49 @@ def fingerprints(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [codes(p.as_py(), r.as_py()).view(np.int32) for p, r in zip(batch["pcm"], batch["rate"], strict=True)]
-            offsets = np.concatenate([[0], np.cumsum([len(c) for c in found])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+            found = [codes(p.as_py(), r.as_py()) for p, r in zip(batch["pcm"], batch["rate"], strict=True)]
+            offsets = np.concatenate([[0], np.cumsum([len(c) for c, _ in found])]).astype(np.int32)
+            flat, sounds = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, kind) for k, kind in ((0, np.uint32), (1, bool)))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32), mask=~sounds))
             yield pa.RecordBatch.from_arrays([batch["id"], lists], ["id", "codes"])
 
     return rows.mapInArrow(coded, "id long, codes array<int>")
 
 
-def align_block(asked: list[np.ndarray], there: list[np.ndarray]) -> pd.DataFrame:
-    """``q, r, offset, votes, overlap, errors`` of every pair with an agreeing code: positions in the lists, the best
-    offset (ties to the smallest), the frames that overlap there and the share of bits that differ."""
-    flat = lambda x: (np.concatenate([*x, np.zeros(0, np.int32)]), np.repeat(np.arange(len(x)), [len(c) for c in x]), np.concatenate([*[np.arange(len(c)) for c in x], np.zeros(0, int)]).astype(int))
-    qc, qi, qp = flat(asked)
-    rc, ri, rp = flat(there)
-    order = np.argsort(qc, kind="stable")
-    lo, hi = np.searchsorted(qc[order], rc, "left"), np.searchsorted(qc[order], rc, "right")
-    n = hi - lo
-    row = np.repeat(np.arange(len(rc)), n)
-    hit = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[row]]
-    votes = pd.DataFrame({"q": qi[hit], "r": ri[row], "offset": rp[row] - qp[hit]}).value_counts(sort=False).rename("votes").reset_index()
-    votes = votes.sort_values(["q", "r", "votes", "offset"], ascending=[True, True, False, True]).drop_duplicates(["q", "r"])
-    overlap, errors = [], []
-    for q, r, offset in zip(votes["q"], votes["r"], votes["offset"], strict=True):
-        a, b = asked[q][max(0, -offset) :], there[r][max(0, offset) :]
-        m = min(len(a), len(b))
-        overlap.append(m)
-        errors.append(float(np.bitwise_count((a[:m] ^ b[:m]).view(np.uint32)).sum()) / (32 * m))
-    return votes.assign(overlap=np.array(overlap, np.int64), errors=np.array(errors, float))
+def _postings(df: DataFrame, name: str) -> DataFrame:
+    """``name, code, at``: every frame that sounds."""
+    return df.select(name, F.posexplode("codes").alias("at", "code")).where("code is not null")
 
 
 def search(asked: DataFrame, there: DataFrame, *, k: int = 5, most_errors: float = MOST_ERRORS, least_overlap: int = LEAST_OVERLAP) -> DataFrame:
     """``query_id, rank, id, offset, votes, overlap, bit_errors``: for every fingerprint of ``asked`` the ``k`` recordings of
     ``there`` that align with the fewest bit errors, ties to the smaller id.
 
-    Alignments over fewer than ``least_overlap`` frames or with more than ``most_errors`` of the bits differing do not
-    count. Equal fingerprints are compared once: the ``k`` smallest ids stand for each, which loses no answer. Queries
-    meet the recordings in blocks, so matches never become rows; a repeated id counts once, with its smallest codes.
+    Two fingerprints are compared if a code of one occurs in the other, at the offset (of the recording's frames to the query's) at which most codes agree, ties
+    to the smallest. Frames count where both sound. Alignments over fewer than ``least_overlap`` frames or with more than
+    ``most_errors`` of the bits differing do not count.
+
+    Equal fingerprints are compared once: the ``k`` smallest ids stand for each, which loses no answer; a repeated id
+    counts once, with its smallest codes. Recordings without a frame that sounds, and an empty table, find and are
+    nothing. Postings meet by code; a code's recordings are dealt over ``SALTS`` tasks, as one code may be in many.
     """
-    one = lambda df: df.groupBy("id").agg(F.min("codes").alias("codes")).where("size(codes) > 0")
+    one = lambda df: df.groupBy("id").agg(F.min("codes").alias("codes")).where(F.exists("codes", lambda c: c.isNotNull()))
     each = durable(one(there))
     first = F.row_number().over(Window.partitionBy("codes").orderBy("id"))
     ids = durable(each.withColumn("place", first).where(F.col("place") <= k).withColumn("node", F.min("id").over(Window.partitionBy("codes"))))
     nodes = ids.where("id = node").select("node", "codes")
-    queries = durable(one(asked))
-    n_q, n_r = max(1, -(-queries.count() // QUERY_BLOCK)), max(1, -(-nodes.count() // ROW_BLOCK))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select(F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int").alias("i"), every(n_r).alias("j"), F.col("id").alias("query_id"), "codes")
-    right = nodes.select(every(n_q).alias("i"), F.pmod(F.xxhash64("node"), F.lit(n_r)).cast("int").alias("j"), "node", "codes")
-
-    def aligned(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        got = align_block([np.asarray(c, np.int32) for c in q["codes"]], [np.asarray(c, np.int32) for c in r["codes"]])
-        got = got[(got["errors"] <= most_errors) & (got["overlap"] >= least_overlap)]
-        got = got.assign(query_id=q["query_id"].to_numpy()[got["q"]], node=r["node"].to_numpy()[got["r"]], bit_errors=got["errors"])
-        got = got.sort_values(["query_id", "bit_errors", "node"]).groupby("query_id").head(k)
-        return got[["query_id", "node", "offset", "votes", "overlap", "bit_errors"]]
-
-    met = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(aligned, "query_id long, node long, offset long, votes long, overlap long, bit_errors double")
+    queries = durable(one(asked)).withColumnRenamed("id", "query_id")
+    left = _postings(queries, "query_id").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    right = _postings(nodes, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).withColumnRenamed("at", "there")
+    votes = left.join(right, ["code", "salt"]).groupBy("query_id", "node", (F.col("there") - F.col("at")).alias("offset")).agg(F.count(F.lit(1)).alias("votes"))
+    peaks = durable(votes.groupBy("query_id", "node").agg(F.max(F.struct("votes", (-F.col("offset")).alias("back"))).alias("p")).select("query_id", "node", (-F.col("p.back")).cast("long").alias("offset"), "p.votes"))
+    met = peaks.join(queries.withColumnRenamed("codes", "asked"), "query_id").join(nodes.withColumnRenamed("codes", "found"), "node")
+    start = lambda shift: F.greatest(shift, F.lit(0)).cast("int")
+    rest = lambda c, shift: F.slice(c, start(shift) + 1, F.greatest(F.size(c) - start(shift), F.lit(0)))
+    differing = F.filter(F.zip_with(rest("asked", -F.col("offset")), rest("found", F.col("offset")), lambda x, y: F.bit_count(x.bitwiseXOR(y).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), lambda d: d.isNotNull())
+    met = met.withColumn("differing", differing).withColumn("overlap", F.size("differing").cast("long"))
+    met = met.withColumn("bit_errors", F.aggregate("differing", F.lit(0), lambda x, y: x + y) / (32 * F.col("overlap")))
+    met = met.where((F.col("bit_errors") <= most_errors) & (F.col("overlap") >= least_overlap)).select("query_id", "node", "offset", "votes", "overlap", "bit_errors")
     best = lambda by: F.row_number().over(Window.partitionBy("query_id").orderBy("bit_errors", by))
     met = met.withColumn("place", best("node")).where(F.col("place") <= k).drop("place")
     full = met.join(ids.select("node", "id"), "node")
@@ -215,7 +204,8 @@ def few_recordings(spark: SparkSession) -> Iterator[None]:
 def align_melodies(df: DataFrame, id_col: str, vec_col: str, asks: Column, **options) -> DataFrame:
     """Clips from the middle of the rows that ``asks`` picks, cut off the beat, aligned against all rows' melodies.
 
-    The media column is made and fingerprinted in one pass; only the codes are written.
+    The media column is made and fingerprinted in one pass; only the codes are written. Rows without an id take no part;
+    null and empty vectors, and those without a finite component, are silent; ties and repeated ids as in ``search``.
     """
     with few_recordings(df.sparkSession):
         clips = durable(fingerprints(tones(df.where(asks), id_col, vec_col, first=8192 + 37, last=24576), "id", "media"))
