@@ -1,46 +1,129 @@
-"""Streams over files, run to the end, against their batch twins."""
+"""Streams over files that land in several slices, each run anew from the checkpoint, against their batch twins."""
 
 import datetime as dt
+import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.streaming import streams
+from tidemark.operators import prediction
+from tidemark.streaming import stateful, streams
 
 SCHEMA = "k string, ts timestamp, v double"
 T0 = dt.datetime(2024, 1, 1)
 
 
-def _stream(spark, tmp_path, rows):
-    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
-    return spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
-
-
-def _run(df, tmp_path, name, mode="append"):
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    assert q.awaitTermination(120)
-    return df.sparkSession.table(name)
-
-
-def test_change_filter_emits_moves_only(spark, tmp_path):
-    rows = [("a", T0 + dt.timedelta(minutes=m), v) for m, v in enumerate([1.0, 1.0, 2.0, 2.0, 1.0])]
-    out = _run(streams.stream_changes(_stream(spark, tmp_path, rows), "k", "ts", "v"), tmp_path, "changes")
-    assert [(r.v, r.prev_value) for r in out.orderBy("ts").collect()] == [(1.0, None), (2.0, 1.0), (1.0, 2.0)]
-
-
-def test_alerts_cool_down(spark, tmp_path):
-    rows = [("a", T0 + dt.timedelta(minutes=m), p) for m, p in ((0, 0.3), (1, 0.5), (2, 0.41), (3, 0.52), (50, 0.9))]
-    out = _run(streams.stream_alerts(_stream(spark, tmp_path, rows), "k", "ts", "v"), tmp_path, "alerts")
-    assert [(round(r.delta, 2), r.sent) for r in out.orderBy("ts").collect()] == [(0.2, True), (0.11, False), (0.38, True)]
+def at(minutes):
+    return T0 + dt.timedelta(minutes=minutes)
+
+
+def _slices(spark, tmp_path, slices, make, schema=SCHEMA, **options):
+    """Land each slice, run the stream over what is there, and return the sink's rows at the end."""
+    out = None
+    for k, rows in enumerate(slices):
+        spark.createDataFrame(rows, schema).repartition(2).write.parquet(str(tmp_path / "in" / str(k)))
+        source = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        out = streams.drain(make(source), str(tmp_path / "out"), **options)
+    return out
+
+
+def test_moves_carry_over_batches_and_restarts(spark, tmp_path):
+    values = [1.0, 1.0, 2.0, 2.0, 1.0, 1.0, 3.0, 3.0, 3.0, 1.0]
+    rows = [("a", at(10 * m), v) for m, v in enumerate(values)] + [("z", at(10 * m), 5.0) for m in range(12)]
+    rows.sort(key=lambda r: r[1])
+    out = _slices(spark, tmp_path, [rows[:8], rows[8:14], rows[14:]], lambda s: stateful.stream_changes(s, "k", "ts", "v"))
+    got = [(r.k, r.v, r.prev_value) for r in out.orderBy("ts", "k").collect()]
+    assert got == [("a", 1.0, None), ("z", 5.0, None), ("a", 2.0, 1.0), ("a", 1.0, 2.0), ("a", 3.0, 1.0), ("a", 1.0, 3.0)]
+
+
+def test_rows_of_one_batch_are_taken_in_time_order_and_late_ones_go(spark, tmp_path):
+    first = [("a", at(5), 2.0), ("a", at(0), 1.0), ("a", at(9), 2.0), ("b", at(120), 7.0)]
+    second = [("a", at(8), 99.0), ("a", at(130), 3.0), ("b", at(300), 7.0)]
+    out = _slices(spark, tmp_path, [first, second], lambda s: stateful.stream_changes(s, "k", "ts", "v"))
+    assert [(r.k, r.v, r.prev_value) for r in out.orderBy("ts").collect()] == [("a", 1.0, None), ("a", 2.0, 1.0), ("b", 7.0, None), ("a", 3.0, 2.0)]
+
+
+def test_trades_start_from_a_snapshot_and_forget_the_silent(spark, tmp_path):
+    seed = spark.createDataFrame([("a", 4.0), ("a", 5.0), ("b", 1.0), ("c", None)], "k string, v double")
+    slices = [[("a", at(0), 5.0), ("a", at(10), 6.0), ("c", at(11), 2.0)], [("z", at(24 * 60), 1.0)], [("a", at(24 * 60 + 30), 6.0), ("z", at(48 * 60), 1.0)]]
+    out = _slices(spark, tmp_path, slices, lambda s: stateful.stream_changes(s, "k", "ts", "v", keep_hours=6, seed=seed))
+    got = [(r.k, r.v, r.prev_value) for r in out.orderBy("ts").collect()]
+    assert got == [("a", 6.0, 5.0), ("c", 2.0, None), ("z", 1.0, None), ("a", 6.0, None)]  # a was forgotten, and counts as new
+
+
+def _polls(hole):
+    rng, rows = random.Random(3), []
+    for event in "abc":
+        prices = {m: rng.random() for m in ("m1", "m2", "m3")}
+        for k in range(100):
+            for m in prices:
+                if rng.random() < 0.15:
+                    prices[m] = rng.random()
+                if rng.random() < 0.1:
+                    prices[m] = rng.choice([0.01, 0.99])
+                rows.append((event, m, at(20 * k + (hole if k > 60 else 0)), round(prices[m], 4), round(rng.random() ** 4 * 60_000, 1), rng.choice([0.02, 0.1, 0.5])))
+    return sorted(rows, key=lambda r: r[2])
+
+
+@pytest.mark.parametrize("hole", [0, 9 * 24 * 60])
+def test_alert_stream_equals_the_batch_walk(spark, tmp_path, hole):
+    schema = "event string, market string, ts timestamp, price double, volume double, spread double"
+    rows = _polls(hole)
+    batch = spark.createDataFrame(rows, schema)
+    marked = batch.withColumn("modal", F.row_number().over(Window.partitionBy("event", "ts").orderBy(F.desc("price"), "market")) == 1)
+    done = [tuple(r) for r in marked.orderBy("ts").collect()]
+    n = len(done) // 4
+    out = _slices(spark, tmp_path, [done[k * n : (k + 1) * n if k < 3 else None] for k in range(4)], lambda s: stateful.stream_alerts(s, "event", "market", "ts", "price", "volume", "spread", "modal"), schema + ", modal boolean")
+    found = prediction.cool_down(prediction.alerts(batch, "event", "market", "ts", "price", "volume", "spread"), "event", "ts", "price")
+    flat = lambda df: {(r.event, r.ts, r.market, r.price, ",".join(r.classes), r.held, r.sent, round(r.delta, 9)) for r in df.collect()}
+    want = flat(found.where(F.col("ts") <= F.lit(rows[-1][2] - dt.timedelta(minutes=10))))
+    assert flat(out) == want
+    held = {r[5] for r in want}
+    assert {None, "ILLIQUID", "RESOLVED", "COOLDOWN"} <= held
+    assert prediction.alert_log(out).count() == sum(len(r[4].split(",")) for r in want)
+
+
+def _bars(rows):
+    out = {}
+    for k, ts, v in rows:
+        out.setdefault((k, ts.replace(minute=0)), []).append((ts, v))
+    return {key: (min(x)[1], max(v for _, v in x), min(v for _, v in x), max(x)[1], len(x)) for key, x in out.items()}
+
+
+def test_late_ticks_correct_their_bars(spark, tmp_path):
+    rows = [("a", at(7 * m), float((m * 37) % 11)) for m in range(60)]
+    late = [("a", at(3), -5.0), ("a", at(61), 50.0)]
+    path = str(tmp_path / "bars")
+    sink = streams.bars_sink(path, ["k"], "ts", "v")
+    _slices(spark, tmp_path, [rows[:25], rows[25:40], rows[40:] + late], lambda s: s, batch=sink)
+    read = lambda: {(r.k, r.bar_ts): (r.open_px, r.high_px, r.low_px, r.close_px, r.n_ticks) for r in streams.merged_bars(spark.read.parquet(f"{path}/bars"), ["k"]).collect()}
+    assert read() == _bars(rows + late)
+    assert {(r.ts, r.v) for r in spark.read.parquet(f"{path}/late").collect()} == {(ts, v) for _, ts, v in late}
+    sink(spark.createDataFrame(rows[40:] + late, SCHEMA), 2)  # the last batch is replayed
+    assert read() == _bars(rows + late)
+    streams.compact_bars(spark, path, ["k"], 1)
+    assert read() == _bars(rows + late)
+    assert {r.batch for r in spark.read.parquet(f"{path}/bars").select("batch").distinct().collect()} == {1, 2}
+
+
+def test_upsert_takes_the_last_arrival(spark, tmp_path):
+    schema = "k string, p string, v double, n int"
+    path = str(tmp_path / "table")
+    slices = [[("a", "x", 9.0, 1), ("a", "x", 1.0, 2), ("b", "y", 5.0, 1)], [("a", "x", 0.5, 3)], [("c", "y", 2.0, 1)]]
+    _slices(spark, tmp_path, slices, lambda s: s, schema, batch=streams.upsert_sink(path, ["k"], ["p"], ["n"]))
+    assert {(r.k, r.p, r.v) for r in spark.read.parquet(path).collect()} == {("a", "x", 0.5), ("b", "y", 5.0), ("c", "y", 2.0)}
+    assert [p.name for p in tmp_path.glob("table__staged*")] == []
 
 
 def test_bars_match_batch(spark, tmp_path):
-    rows = [("a", T0 + dt.timedelta(minutes=7 * m), float(m % 9)) for m in range(60)]
-    out = _run(streams.stream_bars(_stream(spark, tmp_path, rows), ["k"], "ts", "v"), tmp_path, "bars", "complete")
-    batch = spark.createDataFrame(rows, SCHEMA).groupBy("k", F.window("ts", "1 hour")).agg(F.max("v").alias("m"), F.count("*").alias("n"))
-    assert sorted((r.high_px, r.n_ticks) for r in out.collect()) == sorted((r.m, r.n) for r in batch.collect())
+    rows = [("a", at(7 * m), float(m % 9)) for m in range(60)]
+    out = _slices(spark, tmp_path, [rows[:20], rows[20:40], rows[40:]], lambda s: streams.stream_bars(s, ["k"], "ts", "v"))
+    want = {key: bar for key, bar in _bars(rows).items() if key[1] + dt.timedelta(minutes=60) <= rows[-1][1] - dt.timedelta(minutes=10)}
+    assert {(r.k, r.bar_ts): (r.open_px, r.high_px, r.low_px, r.close_px, r.n_ticks) for r in out.collect()} == want
 
 
 def test_replay_appends_once(spark, tmp_path):
     rows = [("a", T0, 1.0), ("a", T0, 1.0), ("b", T0, 1.0)]
-    out = _run(streams.stream_once(_stream(spark, tmp_path, rows), ["k", "ts"], "ts"), tmp_path, "once")
-    assert out.count() == 2
+    out = _slices(spark, tmp_path, [rows, rows, [*rows, ("c", at(5), 1.0)]], lambda s: streams.stream_once(s, ["k", "ts"], "ts"))
+    assert out.count() == 3

@@ -461,14 +461,34 @@ def n10_html_items(t: Tables) -> DataFrame:
     return documents.html_items(t.pages, "page_id", "html", '<a href="([^"]*)">([^<]*)</a>', ["href", "label"]).withColumn("item", F.col("item").cast("long"))
 
 
-@query("""
-WITH t AS (SELECT source, lang, doc_id, string_split(lower(regexp_replace(split_part(text, '.', 1), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
-u AS (SELECT source, lang, doc_id, list_sort(list_distinct(list_filter(w, lambda x: length(x) > 1 AND NOT regexp_full_match(x, '[0-9]+') AND x NOT IN ('fwd', 'fw', 're', 'daily', 'weekly', 'monthly', 'the', 'and', 'of')))) AS w FROM t),
-n AS (SELECT source, lang, w, min(doc_id) AS node FROM u WHERE len(w) > 0 GROUP BY ALL),
-p AS (SELECT x.source, x.node AS a, y.node AS b, len(list_intersect(x.w, y.w)) AS shared, len(x.w) AS na, len(y.w) AS nb FROM n x JOIN n y ON x.source = y.source AND x.lang = y.lang AND x.node < y.node)
+@query(r"""
+WITH t AS (SELECT source, lang, doc_id, regexp_extract(lower(split_part(text, '.', 1)), '(?:#|\b(?:issue|no|nr|vol|volume|edition|number|part)\b\.?\s*#?)\s*(\d+)', 1) AS serial, string_split(lower(regexp_replace(split_part(text, '.', 1), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
+u AS (SELECT source, lang, doc_id, serial, list_sort(list_distinct(list_filter(w, lambda x: length(x) > 1 AND NOT regexp_full_match(x, '[0-9]+') AND x NOT IN ('fwd', 'fw', 're', 'daily', 'weekly', 'monthly', 'the', 'and', 'of')))) AS w FROM t),
+n AS (SELECT source, lang, w, serial, min(doc_id) AS node FROM u WHERE len(w) > 0 GROUP BY ALL),
+p AS (SELECT x.source, x.node AS a, y.node AS b, len(list_intersect(x.w, y.w)) AS shared, len(x.w) AS na, len(y.w) AS nb FROM n x JOIN n y ON x.source = y.source AND x.lang = y.lang AND x.node < y.node AND (x.serial = y.serial OR x.serial = '' OR y.serial = ''))
 SELECT source, a, b, shared, round(shared / (na + nb - shared), 6) AS jaccard FROM p WHERE shared / (na + nb - shared) >= 0.6 OR shared >= 3 AND shared = least(na, nb)
-UNION ALL SELECT n.source, node, doc_id, len(n.w), 1.0 FROM u JOIN n ON u.source = n.source AND u.lang = n.lang AND u.w = n.w AND doc_id <> node
+UNION ALL SELECT n.source, node, doc_id, len(n.w), 1.0 FROM u JOIN n ON u.source = n.source AND u.lang = n.lang AND u.w = n.w AND u.serial = n.serial AND doc_id <> node
 """)
 def n5_title_twins(t: Tables) -> DataFrame:
     titles = t.documents.select("source", "lang", "doc_id", F.substring_index("text", ".", 1).alias("title"))
     return documents.title_twins(titles, ["source", "lang"], "doc_id", "title").select("source", "a", "b", "shared", _r("jaccard"))
+
+
+@query(rf"""
+WITH t AS (SELECT source, doc_id AS id, DATE '2024-01-01' + (doc_id % 60)::INT AS d, split_part(text, '.', 1) AS title FROM documents WHERE text IS NOT NULL),
+b AS (SELECT 1 AS side, source, id, d, 'Desk Notes: ' || title AS title FROM t UNION ALL SELECT 2, source, id, d, title FROM t),
+c AS (SELECT *, regexp_extract(title, '(?s)^.*?(?:\s*[:|]\s+|\s+[-–—]\s+)(.*)$', 1) AS core, regexp_extract(lower(title), '(?:#|\b(?:issue|no|nr|vol|volume|edition|number|part)\b\.?\s*#?)\s*(\d+)', 1) AS serial FROM b),
+f AS (SELECT *, ' ' || trim(regexp_replace(lower(title), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' AS spelt, list_filter(list_distinct(string_split(lower(regexp_replace(title, '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')), lambda x: length(x) > 1 AND NOT regexp_full_match(x, '[0-9]+') AND x NOT IN {documents.TITLE_STOP}) AS w,
+    CASE WHEN core <> '' THEN list_filter(list_distinct(string_split(lower(regexp_replace(core, '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')), lambda x: length(x) > 1 AND NOT regexp_full_match(x, '[0-9]+') AND x NOT IN {documents.TITLE_STOP}) END AS k FROM c),
+p AS (SELECT x.id, y.id AS twin, abs(x.d - y.d) AS away, len(list_intersect(x.w, y.w)) AS n, len(x.w) AS nx, len(y.w) AS ny, x.serial AS sx, y.serial AS sy, length(y.spelt) - 2 >= 12 AND contains(x.spelt, y.spelt) AS verbatim,
+    CASE WHEN x.k IS NOT NULL AND y.k IS NOT NULL THEN x.k WHEN x.k IS NOT NULL THEN x.k WHEN y.k IS NOT NULL THEN x.w END AS kx, CASE WHEN x.k IS NOT NULL AND y.k IS NOT NULL THEN y.k WHEN x.k IS NOT NULL THEN y.w WHEN y.k IS NOT NULL THEN y.k END AS ky
+    FROM f x JOIN f y ON x.side = 1 AND y.side = 2 AND x.source = y.source AND x.id <> y.id AND abs(x.d - y.d) <= 3 WHERE len(y.w) > 0 AND len(x.w) > 0),
+s AS (SELECT *, len(list_intersect(kx, ky)) AS nk FROM p),
+r AS (SELECT id, twin, away, CASE WHEN sx <> sy AND sx <> '' AND sy <> '' THEN 0 WHEN verbatim OR n >= 3 AND n = ny THEN 1 ELSE greatest(CASE WHEN n >= 3 THEN n / (nx + ny - n) ELSE 0 END, CASE WHEN nk >= 3 THEN nk / (len(kx) + len(ky) - nk) ELSE 0 END) END AS score FROM s)
+SELECT id, twin, round(score, 6) AS score FROM r WHERE score >= 0.7 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, away, twin) = 1
+""")
+def n5_title_matches(t: Tables) -> DataFrame:
+    """Every document as a note with a masthead before its title, matched with the titles of all documents of its source."""
+    titles = t.documents.select("source", "doc_id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 60).cast("int")).alias("d"), F.substring_index("text", ".", 1).alias("title"))
+    notes = titles.withColumn("title", F.concat(F.lit("Desk Notes: "), "title"))
+    return documents.title_matches(notes, titles, ["source"], "doc_id", "d", "title").select("id", "twin", _r("score"))
