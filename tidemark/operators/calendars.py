@@ -62,12 +62,18 @@ def weekdays_between(start: Column, end: Column) -> Column:
 
 
 def business_days_behind(df: DataFrame, latest: str, reference: Column, holidays: DataFrame | None = None) -> DataFrame:
-    """Weekdays from ``latest`` to a reference date, less the weekday holidays in between if given (signed)."""
+    """Weekdays from ``latest`` to a reference date, less the weekday holidays in between if given (signed).
+
+    Holidays are numbered in the order of their dates, so those in between are the difference of two numbers; the numbering walks
+    through a row for each day that occurs.
+    """
     out = df.withColumn("days_behind", weekdays_between(F.col(latest), reference))
     if holidays is None:
         return out
     off = holidays.where(F.weekday("holiday_date") < 5).select("holiday_date").distinct()
-    hits = df.select(latest).distinct().join(F.broadcast(off), (F.col("holiday_date") > F.col(latest)) & (F.col("holiday_date") <= reference)).groupBy(latest).agg(F.count(F.lit(1)).alias("__h"))
+    dates = df.select(F.col(latest).alias("d"), F.lit(0).alias("n")).union(off.select("holiday_date", F.when(F.col("holiday_date") <= reference, 1).otherwise(0))).groupBy("d").agg(F.max("n").alias("n"))
+    after = F.sum("n").over(Window.orderBy(F.desc_nulls_last("d")).rowsBetween(Window.unboundedPreceding, -1))
+    hits = dates.select(F.col("d").alias(latest), F.coalesce(after, F.lit(0)).alias("__h"))
     return out.join(hits, latest, "left").withColumn("days_behind", F.col("days_behind") - F.coalesce("__h", F.lit(0)).cast("int")).drop("__h")
 
 

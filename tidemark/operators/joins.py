@@ -108,13 +108,21 @@ def match_within_days(left: DataFrame, right: DataFrame, on: list[str], date: st
 def match_by_words(left: DataFrame, right: DataFrame, on: list[str], date: str, words: str, days: int = 3, least_shared: int = 2) -> DataFrame:
     """For each left row the right row of the key within ``days`` that shares at least so many words.
 
-    Ties go to the nearest date, then more shared words, then the earlier date. ``words`` is an array column. The join
-    runs on (key, word), so only rows that share a word meet.
+    Ties go to the nearest date, then more shared words, then the earlier date. ``words`` is an array column; null dates match nothing. The
+    join runs on the key, a stretch of days and a word, so only rows that are near in time and share a word meet. A left row is looked up by all its
+    words but the ``least_shared - 1`` that most right rows of its key have: who shares enough words shares one of the others.
     """
-    l = left.select(*on, F.col(date).alias("left_date"), F.col(words).alias("left_words")).distinct()  # noqa: E741
-    r = right.select(*on, F.col(date).alias("right_date"), F.col(words).alias("right_words")).distinct()
-    met = l.withColumn("__w", F.explode(F.array_distinct("left_words"))).join(r.withColumn("__w", F.explode(F.array_distinct("right_words"))), [*on, "__w"])
-    met = met.where(F.abs(F.datediff("left_date", "right_date")) <= days).groupBy(*on, "left_date", "left_words", "right_date", "right_words").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least_shared)
+    day, width = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date")), 2 * days + 1
+    l = left.select(*on, F.col(date).alias("left_date"), F.array_distinct(words).alias("left_words"), F.col(words).alias("__lw")).distinct()  # noqa: E741
+    r = right.select(*on, F.col(date).alias("right_date"), F.array_distinct(words).alias("right_words"), F.col(words).alias("__rw")).distinct()
+    each = r.withColumn("__w", F.explode("right_words")).withColumn("__b", F.floor(day("right_date") / width))
+    counts = each.groupBy(*on, "__w").agg(F.count(F.lit(1)).alias("__c"))
+    rare = l.withColumn("__w", F.explode("left_words")).join(counts, [*on, "__w"]).groupBy(*on, "left_date", "left_words", "__lw").agg(F.sort_array(F.collect_list(F.struct("__c", "__w"))).alias("__r"))  # the words of one row
+    looked = rare.where(F.size("__r") >= least_shared).select(*on, "left_date", "left_words", "__lw", F.explode(F.slice("__r", F.lit(1), F.size("__r") - (least_shared - 1))).alias("__x"))
+    looked = looked.select(*on, "left_date", "left_words", "__lw", F.col("__x.__w").alias("__w"), F.explode(F.sequence(F.floor((day("left_date") - days) / width), F.floor((day("left_date") + days) / width))).alias("__b"))
+    met = looked.join(each, [*on, "__w", "__b"]).where(F.abs(F.datediff("left_date", "right_date")) <= days).select(*on, "left_date", "left_words", "__lw", "right_date", "right_words", "__rw").distinct()
+    met = met.withColumn("shared", F.size(F.array_intersect("left_words", "right_words")).cast("long")).where(F.col("shared") >= least_shared)
+    met = met.select(*on, "left_date", F.col("__lw").alias("left_words"), "right_date", F.col("__rw").alias("right_words"), "shared")
     order = Window.partitionBy(*on, "left_date", "left_words").orderBy(F.abs(F.datediff("left_date", "right_date")), F.desc("shared"), "right_date", "right_words")
     return met.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
 

@@ -307,21 +307,17 @@ def month_value(df: DataFrame, keys: list[str], reported: str, release: str, val
 
 
 def curve_at(nodes: DataFrame, keys: list[str], tenor: str, value: str, targets: list[float]) -> DataFrame:
-    """H2: a curve at fixed horizons: flat before the first node, linear between nodes, null beyond the last, four places."""
-    out = []
-    for t in targets:
-        low, high = F.col(tenor) <= t, F.col(tenor) >= t
-        sides = nodes.groupBy(*keys).agg(
-            F.max(F.when(low, F.struct(F.col(tenor).alias("t"), F.col(value).alias("v")))).alias("b"),
-            F.min(F.when(high, F.struct(F.col(tenor).alias("t"), F.col(value).alias("v")))).alias("a"),
-        )
-        line = F.col("b.v") + (F.col("a.v") - F.col("b.v")) * (t - F.col("b.t")) / F.nullif(F.col("a.t") - F.col("b.t"), F.lit(0.0))
-        at = F.when(F.col("a").isNull(), None).when(F.col("b").isNull(), F.col("a.v")).when(F.col("a.t") == F.col("b.t"), F.col("a.v")).otherwise(line)
-        out.append(sides.select(*keys, F.lit(float(t)).alias("horizon"), F.round(at, 4).alias("level")))
-    union = out[0]
-    for other in out[1:]:
-        union = union.unionByName(other)
-    return union
+    """H2: a curve at fixed horizons: flat before the first node, linear between nodes, null beyond the last, four places. All horizons take one aggregation."""
+    point = F.struct(F.col(tenor).alias("t"), F.col(value).alias("v"))
+    sides = nodes.groupBy(*keys).agg(*[side for k, t in enumerate(targets) for side in (F.max(F.when(F.col(tenor) <= t, point)).alias(f"b{k}"), F.min(F.when(F.col(tenor) >= t, point)).alias(f"a{k}"))])
+
+    def at(k: int, t: float) -> Column:
+        b, a = F.col(f"b{k}"), F.col(f"a{k}")
+        line = b["v"] + (a["v"] - b["v"]) * (t - b["t"]) / F.nullif(a["t"] - b["t"], F.lit(0.0))
+        return F.when(a.isNull(), None).when(b.isNull(), a["v"]).when(a["t"] == b["t"], a["v"]).otherwise(line)
+
+    levels = F.array(*[F.struct(F.lit(float(t)).alias("horizon"), F.round(at(k, t), 4).alias("level")) for k, t in enumerate(targets)])
+    return sides.select(*keys, F.explode(levels).alias("p")).select(*keys, "p.horizon", "p.level")
 
 
 def compare_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -51,4 +51,4 @@ def stamp(c: str) -> F.Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
 
 
-from tidemark.plans import calendar_queries, market_queries, more_queries, report_queries, series_queries, source_queries, stream_queries, table_queries  # noqa: E402,F401  registers the queries
+from tidemark.plans import calendar_queries, landed_queries, market_queries, more_queries, report_queries, series_queries, source_queries, stream_queries, table_queries  # noqa: E402,F401  registers the queries
