@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import joins
@@ -48,3 +49,9 @@ def test_backfill_and_calendars_take_whole_tables(spark):
     assert sorted(r.o_orderkey for r in registry.QUERIES["l4_clamp_backfill_all"](spark, SF).collect()) == sorted(want)
     off = registry.QUERIES["i2_trading_days_all"](spark, SF).where("is_holiday").select("calendar", "d")
     assert off.count() == i.select("l_suppkey", F.to_date("l_shipdate")).distinct().count()
+
+
+def test_rules_that_every_task_gets_are_counted_first(spark):
+    assert joins.bounded(spark.range(3), 3).count() == 3
+    with pytest.raises(ValueError, match="more than 3"):
+        joins.bounded(spark.range(4), 3)

@@ -11,7 +11,7 @@ def holiday_set(holidays: DataFrame, priority: list[str], trusted: DataFrame | N
     rank = F.array_position(F.array(*map(F.lit, priority)), F.col("vendor"))
     ranked = holidays.withColumn("__rank", F.when(rank > 0, rank).otherwise(len(priority) + 1))
     if trusted is not None:
-        ranked = ranked.join(F.broadcast(trusted.select("calendar", F.col("vendor").alias("__trusted"))), "calendar", "left")
+        ranked = ranked.join(trusted.select("calendar", F.col("vendor").alias("__trusted")), "calendar", "left")
         ranked = ranked.withColumn("__rank", F.when(F.col("vendor") == F.col("__trusted"), 0).otherwise(F.col("__rank"))).drop("__trusted")
     best = ranked.groupBy("calendar").agg(F.min(F.struct("__rank", "vendor"))["vendor"].alias("vendor"))
     return holidays.join(best, ["calendar", "vendor"], "left_semi").select("calendar", "holiday_date", "vendor").distinct()

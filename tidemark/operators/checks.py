@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import bounded
 from tidemark.operators.series import keep_one
 
 
@@ -269,7 +270,7 @@ def family_freshness(series: DataFrame, families: DataFrame, code: str, date: st
     Families are a small dimension; the pattern join reads each series once for each family.
     """
     per_series = series.groupBy(code).agg(F.max(date).alias("newest"))
-    met = per_series.join(F.broadcast(families), F.like(per_series[code], families["pattern"]))
+    met = per_series.join(F.broadcast(bounded(families)), F.like(per_series[code], families["pattern"]))
     out = met.groupBy("name", "tolerance").agg(F.countDistinct(code).alias("n_series"), F.max("newest").alias("newest"))
     return out.withColumn("is_late", F.datediff(as_of, "newest") > F.col("tolerance"))
 

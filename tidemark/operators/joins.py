@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from tidemark.operators.series import carried
 
 
+MOST_RULES = 10_000
+
+
+def bounded(df: DataFrame, most: int = MOST_RULES) -> DataFrame:
+    """The table itself if it has at most so many rows, for tables of rules that every task gets; a larger one raises."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows where a small table of rules is meant")
+    return df
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on: list[str], *, required: bool = False) -> DataFrame:
     """Left join to a dimension with an ``unmapped`` flag; with ``required`` an unmapped row fails the job."""
     found = fact.join(dim.withColumn("__found", F.lit(True)), on, "left").withColumn("unmapped", F.col("__found").isNull()).drop("__found")

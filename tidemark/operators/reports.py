@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.calendars import weekdays_between
 from tidemark.operators.checks import count_if, coverage, duplicates, run_checks, staleness
-from tidemark.operators.joins import asof_join, series_basis
+from tidemark.operators.joins import asof_join, bounded, series_basis
 from tidemark.operators.series import arrival_verdict, classify_moves, completion_pass, frozen_share, gaps, keep_one, last_mark_of_day, latest_belief, pct_change
 
 
@@ -267,15 +267,15 @@ def snapshot_read(df: DataFrame, keys: DataFrame, key: str, date: str, since: Co
 
 def basket(df: DataFrame, dim: DataFrame, name: str) -> DataFrame:
     """Canonical name, subgroup and tier of raw names, matched without case; others have nulls."""
-    return df.withColumn("__k", F.lower(F.trim(name))).join(F.broadcast(dim.withColumn("__k", F.lower(F.trim("raw_name"))).drop("raw_name")), "__k", "left").drop("__k")
+    return df.withColumn("__k", F.lower(F.trim(name))).join(dim.withColumn("__k", F.lower(F.trim("raw_name"))).drop("raw_name"), "__k", "left").drop("__k")
 
 
 def classify_documents(df: DataFrame, rules: DataFrame, hub: str, title: str) -> DataFrame:
     """A document's class by the first rule (place, hub, pattern, class) that fits its hub and title, and its place.
 
-    The rules are a small dimension: they travel as one row with a list, so no document is shuffled or joined twice.
+    The rules are a small dimension (``bounded`` counts them): they travel as one row with a list, so no document is shuffled or joined twice.
     """
-    listed = rules.agg(F.sort_array(F.collect_list(F.struct("rule_place", "rule_hub", "rule_pattern", "rule_class"))).alias("__rules"))
+    listed = bounded(rules).agg(F.sort_array(F.collect_list(F.struct("rule_place", "rule_hub", "rule_pattern", "rule_class"))).alias("__rules"))
     fits = lambda r: (r["rule_hub"] == F.col(hub)) & F.regexp(F.col(title), r["rule_pattern"])
     met = df.crossJoin(F.broadcast(listed)).withColumn("__r", F.get(F.filter("__rules", fits), F.lit(0)))
     return met.select(*df.columns, F.coalesce(F.col("__r.rule_class"), F.lit("other")).alias("doc_class"), F.col("__r.rule_place").alias("rule_place"))

@@ -147,7 +147,7 @@ def tiered_change(df: DataFrame, keys: list[str], ts: str, value: str, tiers: li
     pct = F.when(F.abs("prev_value") > least_prev, change / F.abs("prev_value") * 100)
     over, known = F.lit(None).cast("boolean"), []
     for n, (table, on, kind) in enumerate(tiers):
-        out = out.join(F.broadcast(table.withColumnRenamed("threshold", f"__t{n}")), on, "left")
+        out = out.join(table.withColumnRenamed("threshold", f"__t{n}"), on, "left")
         known.append(F.when(F.col(f"__t{n}").isNotNull(), (change if kind == "abs" else pct) > F.col(f"__t{n}")))
     over = F.coalesce(*known, pct > fallback)
     return out.where(over).drop(*[f"__t{n}" for n in range(len(tiers))])

@@ -131,10 +131,10 @@ def e30_error_digest(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT n_name, count(c_custkey) AS n_rows, coalesce(max(c_custkey), -1) AS newest, CASE WHEN count(c_custkey) = 0 THEN 'MISSING' ELSE 'OK' END AS status FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_nationkey % 5 <> 0) ON c_nationkey = n_nationkey GROUP BY 1
+SELECT n_name, count(c_custkey) AS n_rows, coalesce(max(c_custkey), -1) AS newest, CASE WHEN count(c_custkey) = 0 THEN 'MISSING' ELSE 'OK' END AS status FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9800) ON c_nationkey = n_nationkey GROUP BY 1
 """)
 def e32_lanes_report(t: Tables) -> DataFrame:
-    c = t.customer.where("c_nationkey % 5 != 0").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", F.lit("2024-01-01").cast("date").alias("published"), "c_custkey")
+    c = t.customer.where("c_acctbal > 9800").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", F.lit("2024-01-01").cast("date").alias("published"), "c_custkey")
     report = checks.lanes_report(c, t.nation.select("n_name"), "n_name", "published", _date("2024-01-02"), 3)
     newest = c.groupBy("n_name").agg(F.max("c_custkey").alias("newest"))
     return report.join(newest, "n_name", "left").select("n_name", "n_rows", F.coalesce("newest", F.lit(-1)).alias("newest"), "status")
@@ -304,11 +304,11 @@ def l4_clamp_backfill_all(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH r AS (SELECT n_nationkey AS slug FROM nation), m AS (SELECT c_nationkey AS slug, max((c_acctbal > 9000)::INT) AS o FROM customer WHERE c_nationkey % 6 <> 0 GROUP BY 1)
+WITH r AS (SELECT n_nationkey AS slug FROM nation), m AS (SELECT c_nationkey AS slug, max((c_acctbal > 9900)::INT) AS o FROM customer WHERE c_acctbal > 9700 GROUP BY 1)
 SELECT slug, CASE WHEN o IS NULL THEN 'MISSING' WHEN o = 1 THEN 'LIVE' ELSE 'DEAD' END AS status FROM r LEFT JOIN m USING (slug)
 """)
 def l7_live_status(t: Tables) -> DataFrame:
-    m = t.customer.where("c_nationkey % 6 != 0").select(F.col("c_nationkey").alias("slug"), (F.col("c_acctbal") > 9000).alias("is_open"))
+    m = t.customer.where("c_acctbal > 9700").select(F.col("c_nationkey").alias("slug"), (F.col("c_acctbal") > 9900).alias("is_open"))
     return prediction.live_status(t.nation.select(F.col("n_nationkey").alias("slug")), m, "slug", "is_open")
 
 

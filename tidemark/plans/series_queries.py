@@ -180,13 +180,14 @@ def d22_null_safe_join(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT n_nationkey AS k, n_nationkey % 3 <> 0 AS is_trading_day, CASE WHEN n_nationkey % 4 <> 0 THEN n_regionkey <> 1 END AS is_open FROM nation WHERE n_nationkey < 20)
+WITH s AS (SELECT n_nationkey AS k, n_nationkey % 3 <> 0 AS is_trading_day, CASE WHEN n_nationkey % 4 <> 0 THEN n_regionkey <> 1 END AS is_open FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900))
 SELECT n_nationkey AS k, CASE WHEN is_trading_day IS NULL THEN 'unknown' WHEN NOT is_trading_day THEN 'holiday' WHEN NOT coalesce(is_open, true) THEN 'market closed' ELSE 'unexplained' END AS explanation
 FROM nation LEFT JOIN s ON k = n_nationkey WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)
 """)
 def d27_missing_explained(t: Tables) -> DataFrame:
     key = F.col("n_nationkey").alias("k")
-    status = t.nation.where("n_nationkey < 20").select(key, (F.col("n_nationkey") % 3 != 0).alias("is_trading_day"), F.when(F.col("n_nationkey") % 4 != 0, F.col("n_regionkey") != 1).alias("is_open"))
+    known = t.customer.where("c_acctbal > 9900").select(F.col("c_nationkey").alias("n_nationkey"))
+    status = t.nation.join(known, "n_nationkey", "left_semi").select(key, (F.col("n_nationkey") % 3 != 0).alias("is_trading_day"), F.when(F.col("n_nationkey") % 4 != 0, F.col("n_regionkey") != 1).alias("is_open"))
     missing = joins.missing_from_grid(t.nation.select(key), t.supplier.where("s_acctbal > 9000").select(F.col("s_nationkey").alias("k")), ["k"])
     return reports.explain_missing(missing, status, "k").select("k", "explanation")
 

@@ -52,10 +52,10 @@ def d1_dimension_join(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, c_custkey IS NULL AS unmapped FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) ON o_custkey = c_custkey
+SELECT o_orderkey, c_custkey IS NULL AS unmapped FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') ON o_custkey = c_custkey
 """)
 def d2_unmapped(t: Tables) -> DataFrame:
-    dim = t.customer.where("c_custkey % 10 != 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    dim = t.customer.where("c_mktsegment != 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return joins.lookup(t.orders, dim, ["o_custkey"]).select("o_orderkey", "unmapped")
 
 
@@ -258,12 +258,12 @@ def h6_disagreements(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH d AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)
-SELECT g::DATE AS d, isodow(g) - 1 AS weekday, isodow(g) >= 6 AS is_weekend FROM generate_series(DATE '1994-01-01', DATE '1996-12-31', INTERVAL 1 DAY) t(g) WHERE g::DATE NOT IN (SELECT d FROM d WHERE dayofyear(d) % 2 = 0)
+WITH d AS (SELECT o_orderdate::DATE AS d FROM orders GROUP BY 1 HAVING count(*) >= 6)
+SELECT g::DATE AS d, isodow(g) - 1 AS weekday, isodow(g) >= 6 AS is_weekend FROM generate_series(DATE '1994-01-01', DATE '1996-12-31', INTERVAL 1 DAY) t(g) WHERE g::DATE NOT IN (SELECT d FROM d)
 """, dates=("d",))
 def h12_spine_without(t: Tables) -> DataFrame:
     spine = series.date_spine(t.spark, "1994-01-01", "1996-12-31")
-    taken = t.orders.select(_day("o_orderdate", "d")).where("dayofyear(d) % 2 = 0")
+    taken = t.orders.groupBy(_day("o_orderdate", "d")).count().where("count >= 6").select("d")
     return spine.join(taken.distinct(), "d", "left_anti").select("d", F.col("weekday").cast("long").alias("weekday"), "is_weekend")
 
 
@@ -310,13 +310,13 @@ def _merge_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
     money = F.col("o_totalprice").cast("decimal(18,2)")
     target = t.orders.where("o_orderkey % 2 = 0").select("o_orderkey", money.alias("price"), "o_orderstatus")
     changed = F.when(F.col("o_orderkey") % 5 == 0, None).when(F.col("o_orderkey") % 4 == 0, money + 1).otherwise(money)
-    source = t.orders.where("o_orderkey % 3 = 0").select("o_orderkey", changed.cast("decimal(18,2)").alias("price"), F.lit("X").alias("o_orderstatus"))
+    source = t.orders.where("o_orderkey % 2 = 1 or o_orderkey % 3 = 0").select("o_orderkey", changed.cast("decimal(18,2)").alias("price"), F.lit("X").alias("o_orderstatus"))
     return target, source
 
 
 @query("""
 WITH t AS (SELECT o_orderkey AS k, o_totalprice::DECIMAL(18,2) AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 2 = 0),
-s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN o_totalprice::DECIMAL(18,2) + 1 ELSE o_totalprice::DECIMAL(18,2) END AS p FROM orders WHERE o_orderkey % 3 = 0)
+s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN o_totalprice::DECIMAL(18,2) + 1 ELSE o_totalprice::DECIMAL(18,2) END AS p FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0)
 SELECT coalesce(t.k, s.k) AS o_orderkey, CASE WHEN t.k IS NULL THEN s.p ELSE coalesce(s.p, t.p) END::DOUBLE AS price, CASE WHEN t.k IS NULL THEN 'X' ELSE t.s END AS o_orderstatus,
     CASE WHEN t.k IS NULL THEN 'inserted' WHEN s.p IS NOT NULL AND s.p <> t.p THEN 'updated' ELSE 'kept' END AS _action FROM t FULL JOIN s ON t.k = s.k
 """)
@@ -328,7 +328,7 @@ def j1_merge_upsert(t: Tables) -> DataFrame:
 
 @query("""
 WITH e AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 6 = 0 THEN 2 ELSE 0 END AS vintage, o_totalprice::DECIMAL(18,2) AS v FROM orders WHERE o_orderkey % 2 = 0),
-i AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN o_totalprice::DECIMAL(18,2) + 1 ELSE o_totalprice::DECIMAL(18,2) END AS v FROM orders WHERE o_orderkey % 3 = 0)
+i AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN o_totalprice::DECIMAL(18,2) + 1 ELSE o_totalprice::DECIMAL(18,2) END AS v FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0)
 SELECT i.k, i.v::DOUBLE AS v, CASE WHEN i.v IS NULL OR (e.k IS NOT NULL AND e.v = i.v) THEN 'skip' WHEN e.k IS NULL THEN 'new' ELSE 'revision' END AS _action,
     CASE WHEN i.v IS NULL OR (e.k IS NOT NULL AND e.v = i.v) THEN -1 WHEN e.k IS NULL THEN 0 ELSE e.vintage + 1 END AS vintage FROM i LEFT JOIN e ON i.k = e.k
 """)
