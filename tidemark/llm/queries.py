@@ -25,7 +25,7 @@ def op1_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents"), rules=secrets.ALL_RULES))
 
 
 def op3_tree_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,18 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]+", 0, 16),
 )
+_WORD = r"[^\x20\x09-\x0D:/@]"
+#: Further rules, listed after the base ones: key blocks, signed web tokens, vendors' key prefixes, connection strings.
+MORE_RULES = (
+    Rule("key_block", r"-----BEGIN\x20[A-Z\x20]*PRIVATE\x20KEY-----[^-]+-----END\x20[A-Z\x20]*PRIVATE\x20KEY-----", 0, 64),
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    Rule("hosting", r"(?:ghp|github_pat)_[A-Za-z0-9_]+", 0, 40),
+    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
+    Rule("search", r"AIza[A-Za-z0-9_-]+", 0, 39),
+    Rule("payment", r"(?:sk|rk)_live_[A-Za-z0-9]+", 0, 24),
+    Rule("connection", rf"(?:postgres|postgresql|mysql|mongodb|redis|amqp)://{_WORD}+:{_WORD}+@{_WORD}+", 0, 16),
+)
+ALL_RULES = RULES + MORE_RULES
 
 
 def trigram_clauses(pattern: str) -> list[frozenset[str]] | None:
@@ -145,7 +157,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rules
 
 
 def digest(scanned: DataFrame) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of scanned rows."""
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of scanned rows: counts and hash of the base rules' spans, and all spans."""
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in RULES]))
     kinds_found = F.transform("spans", lambda s: s["kind"])
@@ -189,6 +201,10 @@ WITH quiet AS (
     SELECT doc_id, 'access', 1, string_split_regex(regexp_replace(t, '(AKIA[A-Z0-9]+)', chr(1) || '\\1' || chr(2), 'g'), '[\\x01\\x02]') FROM quiet
     UNION ALL
     SELECT doc_id, 'hex', 2, string_split_regex(regexp_replace(t, '([0-9a-f]+)', chr(1) || '\\1' || chr(2), 'g'), '[\\x01\\x02]') FROM quiet
+    UNION ALL SELECT doc_id, kind, rank, string_split_regex(regexp_replace(t, '(' || pattern || ')', chr(1) || '\\1' || chr(2), 'g'), '[\\x01\\x02]') FROM quiet, (VALUES
+        ('key_block', 3, '-----BEGIN\\x20[A-Z\\x20]*PRIVATE\\x20KEY-----[^-]+-----END\\x20[A-Z\\x20]*PRIVATE\\x20KEY-----'), ('web_token', 4, 'eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+'),
+        ('hosting', 5, '(?:ghp|github_pat)_[A-Za-z0-9_]+'), ('chat', 6, 'xox[abprs]-[A-Za-z0-9-]+'), ('search', 7, 'AIza[A-Za-z0-9_-]+'), ('payment', 8, '(?:sk|rk)_live_[A-Za-z0-9]+'),
+        ('connection', 9, '(?:postgres|postgresql|mysql|mongodb|redis|amqp)://[^\\x20\\x09-\\x0D:/@]+:[^\\x20\\x09-\\x0D:/@]+@[^\\x20\\x09-\\x0D:/@]+')) AS more(kind, rank, pattern)
 ), numbered AS (
     SELECT doc_id, kind, rank, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM pieces
 ), placed AS (
@@ -197,13 +213,14 @@ WITH quiet AS (
     SELECT doc_id, kind, rank, fin - length(piece) AS start, fin FROM placed
     WHERE k % 2 = 0 AND CASE kind
         WHEN 'assign' THEN length(regexp_extract(piece, '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1)) >= 12
-        WHEN 'access' THEN length(piece) >= 18 ELSE length(piece) >= 16 END
+        WHEN 'access' THEN length(piece) >= 18 WHEN 'hex' THEN length(piece) >= 16 WHEN 'key_block' THEN length(piece) >= 64 WHEN 'web_token' THEN length(piece) >= 40
+        WHEN 'hosting' THEN length(piece) >= 40 WHEN 'chat' THEN length(piece) >= 20 WHEN 'search' THEN length(piece) >= 39 WHEN 'payment' THEN length(piece) >= 24 ELSE length(piece) >= 16 END
 ), listed AS (
     SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
-        count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || start::BIGINT || ':' || fin::BIGINT, ',' ORDER BY start, rank) AS spans
+        count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || start::BIGINT || ':' || fin::BIGINT, ',' ORDER BY start, rank) FILTER (rank < 3) AS base, string_agg(kind || ':' || start::BIGINT || ':' || fin::BIGINT, ',' ORDER BY start, rank) AS spans
     FROM spans GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-    sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN listed USING (doc_id)
 """
