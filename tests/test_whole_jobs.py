@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import joins
+from tidemark.operators import joins, series
 from tidemark.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -55,3 +55,15 @@ def test_rules_that_every_task_gets_are_counted_first(spark):
     assert joins.bounded(spark.range(3), 3).count() == 3
     with pytest.raises(ValueError, match="more than 3"):
         joins.bounded(spark.range(4), 3)
+
+
+def test_large_groups_are_counted_and_give_the_same_outliers(spark, monkeypatch):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("k"), F.timestamp_seconds(F.col("id") * 600).alias("ts"), F.when(F.col("id") % 97 == 0, 900.0).otherwise((F.col("id") * 7919 % 101).cast("double")).alias("v"))
+    found = lambda **o: sorted((r.k, r.ts, round(r.robust_z, 9)) for r in series.robust_outliers(rows, ["k"], "ts", "v", n_mad=4.0, **o).collect())
+    plain = found()
+    monkeypatch.setattr(series, "LARGE_GROUP", 100)
+    calls = []
+    quantile = series.group_quantile
+    monkeypatch.setattr(series, "group_quantile", lambda *a, **o: calls.append(1) or quantile(*a, **o))
+    assert plain and found() == plain and len(calls) == 2
+    assert found(large_groups=False) == plain and len(calls) == 2

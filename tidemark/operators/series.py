@@ -71,6 +71,7 @@ def market_gaps(df: DataFrame, keys: list[str], ts: str, is_open, least_open_hou
 
 
 DAY = 86_400_000_000
+LARGE_GROUP = 5_000_000
 
 
 def carried(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], *, backwards: bool = False, micros: int = DAY, order: tuple[Column, ...] = ()) -> DataFrame:
@@ -216,19 +217,23 @@ def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, name: s
     return ranked.groupBy(*keys).agg((low + (high - low) * share).alias(name), F.first("n").alias("n"))
 
 
-def robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str, *, months: int = 3, n_mad: float = 6.0, min_obs: int = 100, scale: float = MAD_SCALE, anchor: Column | None = None, baseline: Column | None = None, run: Column | None = None, large_groups: bool = False) -> DataFrame:
+def robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str, *, months: int = 3, n_mad: float = 6.0, min_obs: int = 100, scale: float = MAD_SCALE, anchor: Column | None = None, baseline: Column | None = None, run: Column | None = None, large_groups: bool | None = None) -> DataFrame:
     """Rows far from their group's median over the trailing months, in scaled median absolute deviations.
 
     The baseline ends at the last instant of the run window (or at ``anchor``) and is not narrowed by the window itself.
     Groups with fewer than ``min_obs`` baseline values or without spread have no outliers. ``baseline`` limits which rows
     count for it, ``run`` which rows are judged. With ``large_groups`` the medians come from ``group_quantile``, for
-    groups whose values do not fit into one task.
+    groups whose values do not fit into one task; unless it is said, the largest group is counted first, and more than ``LARGE_GROUP``
+    values are such a group. Both ways give the same medians.
     """
     judged = df if run is None else df.where(run)
     # one row, so the broadcast is bounded
     end = judged.agg(F.max(ts).alias("__end")) if anchor is None else df.sparkSession.range(1).select(anchor.alias("__end"))
     pool = df if baseline is None else df.where(baseline)
     pool = pool.crossJoin(F.broadcast(end)).where((F.col(ts) <= F.col("__end")) & (F.col(ts) >= F.add_months(F.col("__end").cast("date"), -months)) & F.col(value).isNotNull())
+    if large_groups is None:
+        largest = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+        large_groups = (largest or 0) > LARGE_GROUP
     if large_groups:
         medians = group_quantile(pool, keys, value, 0.5, "med").withColumnRenamed("n", "n_obs").where(F.col("n_obs") >= min_obs)
         apart = pool.join(medians, keys).withColumn("__d", F.abs(F.col(value) - F.col("med")))
