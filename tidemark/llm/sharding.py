@@ -48,7 +48,8 @@ def external_shuffle(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return table.drop_columns(["place"]).append_column("position", position)
 
     schema = f"id {dict(rows.dtypes)['id']}, text string, bucket int, position long"
-    return scattered.groupBy("bucket").applyInArrow(shuffled, schema)
+    # as many partitions as buckets: with the session's number one task would read many of them on a large corpus
+    return scattered.repartition(n, "bucket").groupBy("bucket").applyInArrow(shuffled, schema)
 
 
 def digest(df: DataFrame) -> DataFrame:
