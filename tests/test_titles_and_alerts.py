@@ -9,29 +9,29 @@ from tidemark.operators import documents, prediction
 
 VENDORS = ("DB", "Citi", "SCB")
 TWINS = [
-    ("[/] DB Fed Notes - June FOMC recap: Rock Chalk, Warsh-hawk", "Fed Notes: June FOMC recap: Rock Chalk, Warsh-hawk"),
-    ("[/] DB Fed Notes - Who's who in the June 2026 dot plot", "Fed Notes: Who's who in the June 2026 dot plot"),
-    ("[/] DB Asia Macro Strategy Notes - CCS monitor: Receive CNH 5Y5Y", "Asia Macro Strategy Notes: CCS monitor: Receive CNH 5Y5Y; pay ..."),
-    ("[/] DB Japan Monetary Policy Watch - MPM review: an initial dovish read", "Japan Monetary Policy Watch : MPM review: an initial dovish read"),
-    ("Asia-Pacific Inflation Monitor: Oil Past the Peak", "Oil Past the Peak"),
-    ("China Matters: All About Tech", "All About Tech"),
-    ("Canada Economics Comment: May CPI Preview", "May CPI Preview"),
-    ("CEEMEA Economics Analyst: Turkiye Growth Slowdown Needs to Be Sustained", "Turkiye Growth Slowdown Needs to Be Sustained"),
-    ("Global Rates Trader: Dealing With Inflation", "Dealing With Inflation"),
-    ("Macro Roadmap", "Macro Roadmap"),
-    ("SCB Global Macro Strategy - SMS – Balancing act (with weekly podcast)", "Sunday Macro Strategy – SMS – Balancing act"),
-    ("Arvin The : Asia G10 Spot Views #1490", "Arvin The : Asia G10 Spot Views #1490"),
+    ("[/] DB Rate Notes - August board recap: Quiet Room, Late-cut", "Rate Notes: August board recap: Quiet Room, Late-cut"),
+    ("[/] DB Rate Notes - Whom the August 2025 dots moved", "Rate Notes: Whom the August 2025 dots moved"),
+    ("[/] DB Nordic Macro Letter - Swap screen: Pay SEK 2Y3Y", "Nordic Macro Letter: Swap screen: Pay SEK 2Y3Y; receive ..."),
+    ("[/] DB Norway Policy Watch - Board review: a first hawkish look", "Norway Policy Watch : Board review: a first hawkish look"),
+    ("Latin America Price Tracker: Corn Over the Hill", "Corn Over the Hill"),
+    ("Brazil Talks: More About Chips", "More About Chips"),
+    ("Mexico Economics Remark: June PMI Primer", "June PMI Primer"),
+    ("Andean Economics Review: Chile Export Rebound Has to Be Proven", "Chile Export Rebound Has to Be Proven"),
+    ("World Yield Trader: Coping With Deflation", "Coping With Deflation"),
+    ("Policy Compass", "Policy Compass"),
+    ("SCB World Macro Letter - WML – Tight rope (with weekly podcast)", "Friday Macro Letter – WML – Tight rope"),
+    ("Nils On : Euro G10 Spot Views #1490", "Nils On : Euro G10 Spot Views #1490"),
 ]
 OTHERS = [
-    ("[/] DB JPY Market PM Summary", "Japan Economic Notes: Overview of next two weeks"),
-    ("[/] DB JPY Market PM Summary", "Oil Past the Peak"),
-    ("[/] DB Asia Week Ahead : 8 - 12 June", "Australia / New Zealand Week Ahead: 22-28 June"),
-    ("Citi Macro - Trading Thoughts on ASEAN Rates", "Fed Notes: June FOMC recap: Rock Chalk, Warsh-hawk"),
-    ("Global FX: Dollar View", "Dollar View"),
-    ("SCB (China Research) - Net FX settlement edged down in May", "SCB (China Research) - PBoC to add overnight reverse repo"),
-    ("Arvin The : Asia G10 Spot Views #1490", "Arvin The : Asia G10 Spot Views #1489"),
-    ("Global oil market tracker: issue 6", "Global oil market tracker: issue 5"),
-    ("Citi Weekly ASW Run (Nominals + Linkers) - 9 Jun 2026", "2026年6月8日"),
+    ("[/] DB NOK Market AM Summary", "Norway Economic Notes: Preview of next two weeks"),
+    ("[/] DB NOK Market AM Summary", "Corn Over the Hill"),
+    ("[/] DB Europe Week Ahead : 8 - 12 May", "Chile / Peru Week Ahead: 22-28 May"),
+    ("Citi Macro - Trading Ideas on EMEA Rates", "Rate Notes: August board recap: Quiet Room, Late-cut"),
+    ("Global FX: Krone View", "Krone View"),
+    ("SCB (Nordic Research) - Net trade balance widened in May", "SCB (Nordic Research) - Bank to drop weekly repo"),
+    ("Nils On : Euro G10 Spot Views #1490", "Nils On : Euro G10 Spot Views #1489"),
+    ("World gas market report: issue 6", "World gas market report: issue 5"),
+    ("Citi Weekly Swap Run (Nominals + Linkers) - 9 Jul 2025", "2025年7月8日"),
 ]
 
 
@@ -51,7 +51,7 @@ def test_twins_need_the_vendor_and_the_days(spark):
     assert len(_matched(spark, TWINS, gap=3)) == len(TWINS)
     assert _matched(spark, TWINS, gap=4) == {} and _matched(spark, TWINS, gap=1, days=0) == {}
     day = dt.date(2026, 6, 18)
-    rows = [("a", 1, day, "May CPI Preview"), ("b", 2, day, "May CPI Preview"), ("a", 3, day, None), ("a", 4, None, "May CPI Preview"), ("a", 5, day, ""), ("a", 6, day, "May CPI Preview"), ("a", 7, day, "May CPI Preview")]
+    rows = [("a", 1, day, "June PMI Primer"), ("b", 2, day, "June PMI Primer"), ("a", 3, day, None), ("a", 4, None, "June PMI Primer"), ("a", 5, day, ""), ("a", 6, day, "June PMI Primer"), ("a", 7, day, "June PMI Primer")]
     df = spark.createDataFrame(rows, "vendor string, id int, d date, title string").withColumns({c: F.lit("x") for c in ("words", "core", "w", "f")})
     got = {(r.id, r.twin, r.score) for r in documents.title_matches(df, df, ["vendor"], "id", "d", "title").collect()}
     assert got == {(1, 6, 1.0), (6, 1, 1.0), (7, 1, 1.0)}
@@ -59,7 +59,7 @@ def test_twins_need_the_vendor_and_the_days(spark):
 
 
 def test_editions_are_no_twins(spark):
-    rows = [(1, "Asia G10 Spot Views #1490"), (2, "Asia G10 Spot Views #1489"), (3, "Asia G10 Spot Views #1490"), (4, "Asia G10 Spot Views")]
+    rows = [(1, "Euro G10 Spot Views #1490"), (2, "Euro G10 Spot Views #1489"), (3, "Euro G10 Spot Views #1490"), (4, "Euro G10 Spot Views")]
     df = spark.createDataFrame(rows, "id int, title string").withColumn("b", F.lit(1))
     pairs = {tuple(sorted((r[1], r[2]))) for r in documents.title_twins(df.withColumnRenamed("b", "blk"), ["blk"], "id", "title").collect()}
     assert pairs == {(1, 3), (1, 4), (2, 4)}
