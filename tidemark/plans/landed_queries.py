@@ -21,9 +21,14 @@ def _r(c: str, n: int = 6) -> F.Column:
 
 
 def _polls(t: Tables) -> str:
-    """The events as three polls of vendor responses, by a hash of the response."""
+    """The events as three polls of vendor responses, by a hash of the response.
+
+    The responses are made once and handed over, so every response lands in one poll however its rows were dealt.
+    """
     path = scratch_path(t.spark, "polls")
-    responses = _responses(t).withColumn("poll", F.pmod(F.xxhash64(F.to_json("body")), F.lit(3)))
+    made = scratch_path(t.spark, "responses")
+    _responses(t).withColumn("poll", F.pmod(F.xxhash64(F.to_json("body")), F.lit(3))).write.parquet(made)
+    responses = t.spark.read.parquet(made)
     for n in range(3):
         responses.where(F.col("poll") == n).drop("poll").write.json(f"{path}/poll={n}")
     return path

@@ -116,7 +116,7 @@ def _responses(t: Tables) -> DataFrame:
     """The events as vendor responses, one for each user: a map from type to instants and values; errors are failed series."""
     points = t.events.groupBy("user_id", "event_type").agg(F.sort_array(F.collect_list(F.struct("event_id", "value"))).alias("p"))
     one = F.struct(F.when(F.col("event_type") == "error", "ERROR").otherwise("SERIES").alias("type"), F.transform("p", lambda p: p["event_id"]).alias("x"), F.transform("p", lambda p: p["value"]).alias("c"))
-    return points.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", one))).alias("body")).select(F.lit("OK").alias("status"), "body")
+    return points.groupBy("user_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("event_type", one)))).alias("body")).select(F.lit("OK").alias("status"), "body")
 
 
 @query("SELECT event_type AS tag, event_id AS x, round(value, 6) AS value FROM events WHERE event_type <> 'error' AND value IS NOT NULL")
