@@ -33,3 +33,11 @@ def test_responses_do_not_depend_on_row_order(spark, tmp_path):
         _events(spark, order).coalesce(1).write.parquet(f"{tmp_path}/{n}/events.parquet")
         made.append(sorted(r[0] for r in source_queries._responses(registry.Tables(spark, f"{tmp_path}/{n}")).select(F.to_json("body")).collect()))
     assert made[0] == made[1]
+
+
+def test_flow_settles_ties_by_the_earliest_issue(spark, tmp_path):
+    rows = [(1, s, 1, 2.0, AT) for s in (7, 3, 9)] + [(2, 4, 1, 5.0, AT)]
+    for n, order in enumerate((rows, rows[::-1])):
+        lines = spark.createDataFrame(order, "l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp")
+        got, want = _both(spark, tmp_path / str(n), "e20_flow", lineitem=lines)
+        assert got == want == [(3, 2.0), (4, 5.0)]

@@ -93,9 +93,12 @@ def arrival_histogram(df: DataFrame, keys: list[str], value_date: str, pass_no:
 
 
 def flow_and_stock(df: DataFrame, isin: str, version: str, issued: str, base: str, amount: str) -> tuple[DataFrame, DataFrame]:
-    """(flow by issue date, stock by base date) over the newest row of each ISIN and base date."""
+    """(flow by issue date, stock by base date) over the newest row of each ISIN and base date.
+
+    Of rows of one base date the highest version counts, then the largest amount, then the earliest issue date.
+    """
     one = keep_one(df, [isin, base], F.desc(version), F.desc(amount))
-    newest = keep_one(df, [isin], F.desc(base), F.desc(version), F.desc(amount))
+    newest = keep_one(df, [isin], F.desc(base), F.desc(version), F.desc(amount), F.asc_nulls_last(issued))
     return newest.groupBy(issued).agg(F.sum(amount).alias("flow")), one.groupBy(base).agg(F.sum(amount).alias("stock"))
 
 

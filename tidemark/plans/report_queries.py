@@ -72,14 +72,12 @@ def e15_arrival_histogram(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate::DATE DESC, l_linenumber DESC, l_quantity DESC) AS i FROM lineitem)
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate::DATE DESC, l_linenumber DESC, l_quantity DESC, l_suppkey) AS i FROM lineitem)
 SELECT l_suppkey, round(sum(l_quantity), 2) AS flow FROM n WHERE i = 1 GROUP BY 1
 """)
 def e20_flow(t: Tables) -> DataFrame:
     li = t.lineitem.withColumn("d", _day("l_shipdate"))
-    one = li.groupBy("l_partkey", "d", "l_linenumber", "l_quantity").agg(F.min("l_suppkey").alias("l_suppkey"))
-    ties = li.join(one, ["l_partkey", "d", "l_linenumber", "l_quantity", "l_suppkey"], "left_semi")
-    flow, _ = reports.flow_and_stock(ties, "l_partkey", "l_linenumber", "l_suppkey", "d", "l_quantity")
+    flow, _ = reports.flow_and_stock(li, "l_partkey", "l_linenumber", "l_suppkey", "d", "l_quantity")
     return flow.select("l_suppkey", _r("flow", 2))
 
 
