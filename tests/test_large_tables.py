@@ -41,3 +41,10 @@ def test_flow_settles_ties_by_the_earliest_issue(spark, tmp_path):
         lines = spark.createDataFrame(order, "l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp")
         got, want = _both(spark, tmp_path / str(n), "e20_flow", lineitem=lines)
         assert got == want == [(3, 2.0), (4, 5.0)]
+
+
+def test_a_predecessor_of_zero_has_no_percentage(spark, tmp_path):
+    kinds = ("signup", "view", "purchase", "click")
+    rows = [(2 * k + n, AT + dt.timedelta(hours=n), k, kind, (0.0, 30.0)[n]) for k, kind in enumerate(kinds) for n in (0, 1)]
+    got, want = _both(spark, tmp_path, "j8_tiered_change", events=_events(spark, rows))
+    assert got == want == [(7,)]

@@ -249,7 +249,7 @@ def j5_assign_codes(t: Tables) -> DataFrame:
 
 @query("""
 WITH p AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events)
-SELECT event_id FROM p WHERE CASE event_type WHEN 'click' THEN abs(value - b) > 20 WHEN 'view' THEN abs(value - b) / abs(b) * 100 > 50 ELSE abs(value - b) / abs(b) * 100 > 900 END
+SELECT event_id FROM p WHERE CASE event_type WHEN 'click' THEN abs(value - b) > 20 WHEN 'view' THEN abs(value - b) / nullif(abs(b), 0) * 100 > 50 ELSE abs(value - b) / nullif(abs(b), 0) * 100 > 900 END
 """)
 def j8_tiered_change(t: Tables) -> DataFrame:
     e = t.events.withColumn("at", F.struct("ts", "event_id"))
