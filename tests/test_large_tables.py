@@ -5,6 +5,7 @@ import datetime as dt
 import duckdb
 from pyspark.sql import functions as F
 
+from tidemark.operators import writes
 from tidemark.plans import registry, source_queries
 
 
@@ -48,3 +49,16 @@ def test_a_predecessor_of_zero_has_no_percentage(spark, tmp_path):
     rows = [(2 * k + n, AT + dt.timedelta(hours=n), k, kind, (0.0, 30.0)[n]) for k, kind in enumerate(kinds) for n in (0, 1)]
     got, want = _both(spark, tmp_path, "j8_tiered_change", events=_events(spark, rows))
     assert got == want == [(7,)]
+
+
+def test_quota_adds_no_frame_anew(spark):
+    us = 86_400_000_000
+    at = [0, 0, 1, us - 1, us, us, us + 1, 2 * us, 5 * us, 5 * us + 7, 6 * us + 7, None]
+    rows = [(k, key, t, (None, 1.5, 2.25)[k % 3]) for key in ("a", "b", None) for k, t in enumerate(at)]
+    log = spark.createDataFrame(rows, "id int, key string, t long, v double").withColumn("ts", F.timestamp_micros("t"))
+    out = writes.quota_used(log, "ts", "v", 10, ["key"])
+    assert "-86399999999" not in out._jdf.queryExecution().optimizedPlan().toString()
+    for r in out.collect():
+        inside = [v for _, key, t, v in rows if key == r["key"] and v is not None and (t == r["t"] if r["t"] is None or t is None else r["t"] - us < t <= r["t"])]
+        assert r["used_24h"] == (sum(inside) if inside else None), r
+    assert out.columns == [*log.columns, "used_24h", "remaining"] and out.count() == len(rows)

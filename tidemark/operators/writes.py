@@ -165,9 +165,22 @@ def still_empty(cache: DataFrame, today: Column, days: dict[str, int], protected
 
 
 def quota_used(log: DataFrame, ts: str, amount: str, limit: int, keys: list[str]) -> DataFrame:
-    """The usage of the 24 hours up to each row and what remains."""
-    day = Window.partitionBy(*keys).orderBy(F.unix_micros(ts)).rangeBetween(-86_400_000_000 + 1, 0)
-    return log.withColumn("used_24h", F.sum(amount).over(day)).withColumn("remaining", F.lit(limit) - F.col("used_24h"))
+    """The usage of the 24 hours up to each row and what remains.
+
+    A built-in sum over a sliding frame adds the whole frame anew for each row. Here time is cut into days: a row's usage is the running sum
+    of its own day and that of the day before from 24 hours back on, whose rows stand in the next day too, 24 hours later. So the
+    work grows with the rows, nothing is subtracted, and one key's history is spread over many tasks.
+    """
+    day, at = 86_400_000_000, F.unix_micros(ts)
+    row = log.select(F.struct(*log.columns)).schema[0].dataType
+    own = log.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], at.alias("__at"), F.floor(at / day).alias("__s"), F.col(amount).alias("__own"), F.lit(None).cast(log.schema[amount].dataType).alias("__before"), F.struct(*log.columns).alias("__row"))
+    before = own.where("__at is not null").withColumns({"__at": F.col("__at") + day, "__s": F.col("__s") + 1, "__before": F.col("__own"), "__own": F.col("__before"), "__row": F.lit(None).cast(row)})
+    stretch = Window.partitionBy(*[f"__k{i}" for i in range(len(keys))], "__s")
+    upto = stretch.orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
+    later = stretch.orderBy(F.desc("__at")).rangeBetween(Window.unboundedPreceding, -1)
+    sums = own.unionByName(before).withColumns({"__x": F.sum("__own").over(upto), "__y": F.sum("__before").over(later)}).where("__row is not null")
+    used = F.coalesce(F.col("__x") + F.col("__y"), "__x", "__y")
+    return sums.select("__row.*", used.alias("used_24h")).withColumn("remaining", F.lit(limit) - F.col("used_24h"))
 
 
 def forecast_rows(df: DataFrame, snapshot: Column) -> DataFrame:
