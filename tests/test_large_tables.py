@@ -5,7 +5,7 @@ import datetime as dt
 import duckdb
 from pyspark.sql import functions as F
 
-from tidemark.operators import writes
+from tidemark.operators import series, writes
 from tidemark.plans import registry, source_queries
 
 
@@ -62,3 +62,14 @@ def test_quota_adds_no_frame_anew(spark):
         inside = [v for _, key, t, v in rows if key == r["key"] and v is not None and (t == r["t"] if r["t"] is None or t is None else r["t"] - us < t <= r["t"])]
         assert r["used_24h"] == (sum(inside) if inside else None), r
     assert out.columns == [*log.columns, "used_24h", "remaining"] and out.count() == len(rows)
+
+
+def test_quantile_cuts_are_made_once(spark):
+    values = [None, -0.0, 0.0, 1e300, float("inf"), 2.5, *[7.0] * 900, *range(300)]
+    rows = [(k, None if v is None else float(v)) for k in ("a", "b") for v in values] + [("c", 4.0), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    for p in (0.0, 0.1, 0.5, 0.97, 1.0):
+        out = series.group_quantile(df, ["k"], "v", p, "q", bins=8)
+        assert "percentile_approx" not in out._jdf.queryExecution().optimizedPlan().toString()
+        want = df.where("v is not null").groupBy("k").agg(F.expr(f"percentile(v, {p}D)").alias("q"), F.count("v").alias("n"))
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.select("k", "q", "n").collect()))

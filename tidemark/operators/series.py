@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tidemark.session import scratch_path
+
 MAD_SCALE = 1.4826
 
 
@@ -199,22 +201,35 @@ def rolling_robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str,
 def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, name: str, *, bins: int = 256) -> DataFrame:
     """Exact interpolated quantile of each key for groups of any size: ``keys, name, n``.
 
-    The built-in ``percentile`` holds a group's distinct values in one task. Here approximate quantiles cut each group into
-    bins, counts tell the bins that hold the two ranks needed, and only their rows are ranked. Nulls do not count.
+    The built-in ``percentile`` holds a group's distinct values in one task. Here two approximate quantiles, ``1 / bins`` below and above,
+    cut each group into three stretches, counts tell the stretches that hold the two ranks needed, and only their values are ranked. Nulls do
+    not count. The cuts differ between two runs of the same sketch, so they, the stretches and the result are written once and read
+    back; their size is then known, and a join with few groups moves no rows.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    cuts = ", ".join(str(k / bins) + "D" for k in range(1, bins))
-    edges = rows.groupBy(*keys).agg(F.array_distinct(F.expr(f"percentile_approx(__v, array({cuts}), {bins * 20})")).alias("__e"))
-    binned = rows.join(edges, keys).select(*keys, "__v", F.size(F.filter("__e", lambda e: e < F.col("__v"))).alias("__bin"))
+    cuts = ", ".join(f"{min(max(cut, 0.0), 1.0)}D" for cut in (p - 1 / bins, p + 1 / bins))
+    edges = _written(rows.groupBy(*keys).agg(F.expr(f"percentile_approx(__v, array({cuts}), {bins * 20})").alias("__e")), "edges")
+    place = sum((F.col("__v") > F.get("__e", F.lit(k))).cast("int") for k in range(2))
+    binned = rows.join(edges, keys).select(*keys, "__v", place.alias("__bin"))
     counts = binned.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__c"))
     upto = F.sum("__c").over(_w(keys, "__bin").rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("__c").over(Window.partitionBy(*keys))
     placed = counts.withColumns({"__first": upto - F.col("__c"), "n": total}).withColumn("__at", (F.col("n") - 1) * p)
-    needed = placed.where((F.col("__first") <= F.ceil("__at")) & (F.col("__first") + F.col("__c") > F.floor("__at")))
-    ranked = binned.join(needed, [*keys, "__bin"]).withColumn("__rank", F.col("__first") + F.row_number().over(_w([*keys, "__bin"], "__v")) - 1)
-    low, high = F.max(F.when(F.col("__rank") == F.floor("__at"), F.col("__v"))), F.max(F.when(F.col("__rank") == F.ceil("__at"), F.col("__v")))
+    needed = placed.where((F.col("__first") <= F.ceil("__at")) & (F.col("__first") + F.col("__c") > F.floor("__at"))).drop("__c")
+    values = binned.join(_written(needed, "needed"), [*keys, "__bin"]).groupBy(*keys, "__bin", "__v", "__first", "n", "__at").agg(F.count(F.lit(1)).alias("__c"))
+    end = F.col("__first") + F.sum("__c").over(_w([*keys, "__bin"], "__v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = values.withColumn("__end", end)
+    at = lambda rank: F.max(F.when((rank >= F.col("__end") - F.col("__c")) & (rank < F.col("__end")), F.col("__v")))
+    low, high = at(F.floor("__at")), at(F.ceil("__at"))
     share = F.first("__at") - F.floor(F.first("__at"))
-    return ranked.groupBy(*keys).agg((low + (high - low) * share).alias(name), F.first("n").alias("n"))
+    return _written(ranked.groupBy(*keys).agg(F.when(low == high, low).otherwise(low + (high - low) * share).alias(name), F.first("n").alias("n")), "quantiles")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of the shared folder, made once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def robust_outliers(df: DataFrame, keys: list[str], ts: str, value: str, *, months: int = 3, n_mad: float = 6.0, min_obs: int = 100, scale: float = MAD_SCALE, anchor: Column | None = None, baseline: Column | None = None, run: Column | None = None, large_groups: bool | None = None) -> DataFrame:
