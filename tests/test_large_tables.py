@@ -73,3 +73,19 @@ def test_quantile_cuts_are_made_once(spark):
         assert "percentile_approx" not in out._jdf.queryExecution().optimizedPlan().toString()
         want = df.where("v is not null").groupBy("k").agg(F.expr(f"percentile(v, {p}D)").alias("q"), F.count("v").alias("n"))
         assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.select("k", "q", "n").collect()))
+
+
+def _parts(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression")
+
+
+def test_active_flags_hold_so_many_rows_a_task(spark, monkeypatch):
+    monkeypatch.setattr(series, "ROWS_EACH", 10)
+    rows = [(k % 5, k % 7, AT + dt.timedelta(days=k % 11) if k % 13 else None) for k in range(300)] + [(None, 1, AT), (9, 1, None)]
+    df = spark.createDataFrame(rows, "issuer int, instrument int, d timestamp")
+    out = series.active_flags(df, "issuer", "instrument", "d")
+    assert _parts(out) == 1 and ", 31" in out._jdf.queryExecution().optimizedPlan().toString()
+    last = {i: max((d for j, _, d in rows if j == i and d), default=None) for i, _, _ in rows}
+    own = {(i, n): max((d for j, m, d in rows if (j, m) == (i, n) and d), default=None) for i, n, _ in rows}
+    want = {k: None if d is None else d == last[k[0]] for k, d in own.items()}
+    assert {(r[0], r[1]): r[2] for r in out.collect()} == want and out.count() == len(want)
