@@ -5,7 +5,7 @@ import datetime as dt
 import duckdb
 from pyspark.sql import functions as F
 
-from tidemark.operators import series, writes
+from tidemark.operators import calendars, series, writes
 from tidemark.plans import registry, source_queries
 
 
@@ -89,3 +89,17 @@ def test_active_flags_hold_so_many_rows_a_task(spark, monkeypatch):
     own = {(i, n): max((d for j, m, d in rows if (j, m) == (i, n) and d), default=None) for i, n, _ in rows}
     want = {k: None if d is None else d == last[k[0]] for k, d in own.items()}
     assert {(r[0], r[1]): r[2] for r in out.collect()} == want and out.count() == len(want)
+
+
+def test_trading_days_hold_so_many_rows_a_task(spark, monkeypatch):
+    cal = spark.createDataFrame([("a", "5,6"), ("b", "4,5"), ("c", "")], "calendar string, weekend string")
+    off = spark.createDataFrame([("a", "2024-01-03"), ("a", "2024-01-03"), ("b", "2024-01-05"), ("a", "2023-01-03"), ("x", "2024-01-04"), (None, "2024-01-04")], "calendar string, day string").select("calendar", F.col("day").cast("date").alias("holiday_date"))
+    first, last = (F.lit(d).cast("date") for d in ("2024-01-01", "2024-01-31"))
+    whole = calendars.trading_days(cal, off, first, last)
+    monkeypatch.setattr(series, "ROWS_EACH", 10)
+    split = calendars.trading_days(cal, off, first, last)
+    assert _parts(split) == 1 and ", 10" in split._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted(map(tuple, split.select("calendar", "d", "is_holiday", "is_weekend", "is_trading", "trading_no").collect()))
+    assert rows == sorted(map(tuple, whole.select("calendar", "d", "is_holiday", "is_weekend", "is_trading", "trading_no").collect()))
+    assert len(rows) == 93 and [(r[0], str(r[1])) for r in rows if r[2]] == [("a", "2024-01-03"), ("b", "2024-01-05")]
+    assert {c: max(r[5] for r in rows if r[0] == c) for c in "abc"} == {"a": 22, "b": 23, "c": 31}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.series import dealt_by
+
 
 def holiday_set(holidays: DataFrame, priority: list[str], trusted: DataFrame | None = None) -> DataFrame:
     """Each calendar's holidays from one vendor: the trusted one if it has rows, else the first of a priority list."""
@@ -21,11 +23,13 @@ def trading_days(calendars: DataFrame, holidays: DataFrame, start: Column, end:
     """Every date of every calendar with weekend, holiday and trading flags and a running trading-day number.
 
     ``calendars`` has ``calendar`` and ``weekend`` ("5,6", Monday 0). The number of a day that is not a trading day is
-    that of the last one before.
+    that of the last one before. Dates and holidays are dealt by calendar once, over tasks counted from the calendars' days.
     """
-    spine = calendars.select("calendar", "weekend", F.explode(F.sequence(start, end)).alias("d"))
-    off = holidays.select("calendar", F.col("holiday_date").alias("d"), F.lit(True).alias("is_holiday")).distinct()
-    days = spine.join(off, ["calendar", "d"], "left").withColumn("is_holiday", F.coalesce("is_holiday", F.lit(False)))
+    spine = calendars.select("calendar", "weekend", F.explode(F.sequence(start, end)).alias("d"), F.lit(False).alias("__off"))
+    off = holidays.where(F.col("calendar").isNotNull()).select("calendar", F.lit(None).cast("string").alias("weekend"), F.col("holiday_date").cast("date").alias("d"), F.lit(True).alias("__off"))
+    n_days = calendars.agg(F.sum(F.abs(F.datediff(end, start)) + 1)).first()[0]  # one number
+    both = dealt_by(spine.unionByName(off), ["calendar"], n_days or 0)
+    days = both.withColumn("is_holiday", F.max("__off").over(Window.partitionBy("calendar", "d"))).where(~F.col("__off")).drop("__off")
     days = days.withColumn("is_weekend", F.array_contains(F.split("weekend", ","), F.weekday("d").cast("string"))).withColumn("is_trading", ~F.col("is_weekend") & ~F.col("is_holiday"))
     number = F.sum(F.col("is_trading").cast("int")).over(Window.partitionBy("calendar").orderBy("d").rowsBetween(Window.unboundedPreceding, 0))
     return days.drop("weekend").withColumn("trading_no", number)
