@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
 from statistics import median
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -27,6 +28,13 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def put_all(state, rows: list[tuple]) -> None:
+    """A list state's new rows, in parts."""
+    state.clear()
+    for k in range(0, len(rows), PUT_AT_ONCE):
+        state.appendList(rows[k : k + PUT_AT_ONCE])
+
+
 class InOrder(StatefulProcessor):
     """Hands each key's rows to ``step`` in time order once the watermark has passed them.
 
@@ -124,8 +132,8 @@ class AlertWalk(InOrder):
     """The alert classes of every snapshot, and which go out: the stream's form of ``prediction.alerts`` and ``cool_down``.
 
     Kept for each event: the last snapshot and the last alert sent (value states), the prices back to the last snapshot
-    beyond the drift look-back, and the positive volumes of the baseline's days for each market (map states, trimmed at
-    every step). An event that is silent for the baseline's days keeps only its last snapshot.
+    beyond the drift look-back (a map state), and the positive volumes of the baseline's days for each market (a list, written anew at
+    every step, as a call for each entry takes longer than the rest). An event that is silent for the baseline's days keeps only its last snapshot.
     """
 
     FIELDS = ["at", "market", "price", "volume", "spread", "modal"]
@@ -138,26 +146,30 @@ class AlertWalk(InOrder):
         self.now = handle.getValueState("snapshot", f"at long, market {self.market_type}, price double")
         self.sent = handle.getValueState("sent", "at long, price double")
         self.prices = handle.getMapState("prices", "at long", "price double")
-        self.volumes = handle.getMapState("volumes", f"market {self.market_type}, at long", "volume double")
+        self.volumes = handle.getListState("volumes", f"market {self.market_type}, at long, volume double")
 
     def step(self, key: tuple, rows: list[tuple]) -> Iterator[Row]:
         t, week = self.limits, BASELINE_DAYS * 24 * HOUR_MS
         _, market_before, price_before = self.now.get() if self.now.exists() else (None, None, None)
         sent_at, sent_price = self.sent.get() if self.sent.exists() else (None, None)
         prices = {k[0]: v[0] for k, v in self.prices.iterator()}
-        volumes = {tuple(k): v[0] for k, v in self.volumes.iterator()}
-        old_prices, old_volumes, last = set(prices), set(volumes), None
+        volumes: dict = {}
+        for market, at, volume in self.volumes.get() if self.volumes.exists() else ():
+            volumes.setdefault(market, {})[at] = volume
+        old_prices, last = set(prices), None
         rows = [r for r in rows if r[0] is not None]
-        for at in sorted({r[0] for r in rows}):
-            snapshot = [r for r in rows if r[0] == at]
-            volumes |= {(r[1], at): r[3] for r in snapshot if r[3] is not None and r[3] > 0}
+        for at, taken in groupby(rows, key=lambda r: r[0]):
+            snapshot = list(taken)
+            for r in snapshot:
+                if r[3] is not None and r[3] > 0:
+                    volumes.setdefault(r[1], {})[at] = r[3]
             for _, market, price, volume, spread, modal in snapshot:
                 if not modal or price is None:
                     continue
                 delta = price - price_before if price_before is not None else 0.0
                 anchors = [k for k in prices if k <= at - t.drift_hours * HOUR_MS]
                 drift = price - prices[max(anchors)] if anchors else None
-                own = [v for (m, k), v in volumes.items() if m == market and at - week <= k <= at]
+                own = [v for k, v in volumes.get(market, {}).items() if at - week <= k <= at]
                 ratio = volume / median(own) if own and volume is not None else None
                 classes = [name for name, there in (
                     ("MODAL_FLIP", market_before is not None and market_before != market and abs(delta) >= t.flip),
@@ -182,7 +194,7 @@ class AlertWalk(InOrder):
         end = max((r[0] for r in rows), default=0)
         anchor = max((k for k in prices if k <= end - t.drift_hours * HOUR_MS), default=-math.inf)
         self._keep(self.prices, old_prices, {k: v for k, v in prices.items() if k >= anchor}, lambda k: (k,))
-        self._keep(self.volumes, old_volumes, {k: v for k, v in volumes.items() if k[1] >= end - week}, lambda k: k)
+        put_all(self.volumes, [(m, k, float(v)) for m, seen in volumes.items() for k, v in seen.items() if k >= end - week])
 
     @staticmethod
     def _keep(state, old: set, now: dict, as_key) -> None:
