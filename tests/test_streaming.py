@@ -52,6 +52,25 @@ def test_trades_start_from_a_snapshot_and_forget_the_silent(spark, tmp_path):
     assert got == [("a", 6.0, 5.0), ("c", 2.0, None), ("z", 1.0, None), ("a", 6.0, None)]  # a was forgotten, and counts as new
 
 
+def _kept(spark, tmp_path, name):
+    """How many entries a state has after the last batch."""
+    return spark.read.format("statestore").option("stateVarName", name).load(str(tmp_path / "out" / "checkpoint")).count()
+
+
+def test_trades_of_many_keys_share_states(spark, tmp_path):
+    seed = spark.createDataFrame([(k, float(k % 3)) for k in range(0, 900, 2)] + [(5000, 1.0)], "k long, v double")
+    rows = [(k, at(m), float((k + m // 10) % 3)) for m in (0, 10, 30) for k in range(900)]
+    slices = [rows[:1200], [*rows[1200:], (-1, at(60), 0.0)], [(-1, at(90), 0.0)]]
+    out = _slices(spark, tmp_path, slices, lambda s: stateful.stream_changes(s, "k", "ts", "v", seed=seed, buckets=8), "k long, ts timestamp, v double")
+    want, last = [], {r.k: r.v for r in seed.collect()}
+    for k, ts, v in [*rows, (-1, at(60), 0.0)]:
+        if last.get(k) != v:
+            want.append((k, ts, v, last.get(k)))
+        last[k] = v
+    assert sorted(((r.k, r.ts, r.v, r.prev_value) for r in out.collect()), key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+    assert _kept(spark, tmp_path, "last") <= 8
+
+
 def _polls(hole):
     rng, rows = random.Random(3), []
     for event in "abc":

@@ -1,7 +1,8 @@
 """Streams with state of their own per key: moves of a value, trades against a seeded last price, the alert walk.
 
-All three are ``transformWithState`` processors. Rows wait in a list state until the watermark has passed them, an event-time
-timer at the earliest of them wakes the key, and they are taken in time order, so results do not depend on how rows are
+All three are ``transformWithState`` processors. Moves keep a bucket of keys in one
+state, the alert walk a key. Rows wait in a list state until the watermark has passed them, an event-time
+timer at the earliest of them wakes the bucket or key, and they are taken in time order, so results do not depend on how rows are
 dealt over micro-batches or tasks. A row that comes after the watermark is dropped by the engine; ``refused`` in
 ``streams`` keeps such rows. State lies in the state store on disk (``use_rocksdb``) and ends with its timers.
 """
@@ -13,6 +14,10 @@ from collections.abc import Iterator
 from itertools import groupby
 from statistics import median
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -21,6 +26,8 @@ from tidemark.operators.prediction import BASELINE_DAYS, Thresholds, may_send
 
 HOUR_MS = 3_600_000
 PUT_AT_ONCE = 1000
+BUCKETS = 1024
+STORED = {"key": pa.string(), "at": pa.int64(), "tie": pa.int64(), "tied": pa.bool_(), "value": pa.float64()}
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -28,6 +35,24 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def packed(table: pa.Table) -> bytes:
+    """A table as bytes for the state store."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(stored: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(stored)).read_all()
+
+
+def as_table(frame: pd.DataFrame | None, columns: list[str]) -> pa.Table:
+    """A frame's columns in the types of the state store; without a frame, a table without rows. NaN stays a number."""
+    schema = pa.schema([(c, STORED[c]) for c in columns])
+    return schema.empty_table() if frame is None else pa.table([pa.array(frame[c].to_numpy(), STORED[c], from_pandas=c != "value") for c in columns], schema=schema)
+
+
 def put_all(state, rows: list[tuple]) -> None:
     """A list state's new rows, in parts."""
     state.clear()
@@ -100,32 +125,89 @@ class InOrder(StatefulProcessor):
         pass
 
 
-class Moves(InOrder):
-    """A row whenever the value differs from the last one; the last value may be seeded and is forgotten after ``keep_hours``."""
+class Moves(StatefulProcessor):
+    """A row whenever a key's value differs from its last one; the last value may be seeded and is forgotten after ``keep_hours``.
 
-    def __init__(self, key: str, keep_hours: int | None):
-        super().__init__(key, "at long, tie long, value double", ["at", "tie", "value"])
-        self.keep_hours = keep_hours
+    A group is a bucket of keys and its rows are taken in columns, since every call to the state store costs as much as hundreds of rows: a
+    bucket's calls are the same for a thousand keys as for one. State are Arrow tables: the rows that wait for the watermark, in parts,
+    and the last value of each key. A seeded key has no instant until its first row, so it is not forgotten before.
+    """
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "at long, value double")
+    LAST, ROWS = ["key", "at", "value"], ["key", "at", "tie", "tied", "value"]
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
-        self.last.update((int(initialState["at"] or 0), initialState["value"]))
+    def __init__(self, keep_hours: int | None):
+        self.keep = None if keep_hours is None else keep_hours * HOUR_MS
 
-    def step(self, key: tuple, rows: list[tuple]) -> Iterator[Row]:
-        before = self.last.get()[1] if self.last.exists() else None
-        for at, tie, value in rows:
-            if before is None or value != before:
-                yield Row(key=key[0], at=at, tie=tie, value=value, prev_value=before)
-            before = value
-        self.last.update((rows[-1][0], before))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.last = handle.getValueState("last", "rows binary")
 
-    def idle_at(self) -> int | None:
-        return None if self.keep_hours is None or not self.last.exists() else self.last.get()[0] + self.keep_hours * HOUR_MS
+    def _last(self) -> list[pa.Table]:
+        found = self.last.get()
+        return [] if found is None else [unpacked(found[0])]
 
-    def forget(self) -> None:
-        self.last.clear()
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        seeds = as_table(initialState.assign(at=None), self.LAST)
+        self.last.update((packed(pa.concat_tables([*self._last(), seeds])),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        first, parts = None, []
+        for frame in rows:
+            if len(frame):
+                earliest = int(frame["at"].min())
+                first = earliest if first is None else min(first, earliest)
+                parts.append((packed(as_table(frame, self.ROWS)),))
+        if parts:
+            self.waiting.appendList(parts)
+            self.handle.registerTimer(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        passed = timerValues.getCurrentWatermarkInMs()
+        rows = pa.concat_tables([as_table(None, self.ROWS), *[unpacked(part[0]) for part in self.waiting.get()]])
+        is_due = pc.less_equal(rows["at"], passed)
+        due, later = rows.filter(is_due), rows.filter(pc.invert(is_due))
+        if not due.num_rows and self.keep is None:
+            return
+        moved, last = self._moves(pa.concat_tables([as_table(None, self.LAST), *self._last()]), due)
+        if len(moved):
+            yield moved
+        if self.keep is not None:
+            old = pc.fill_null(pc.less_equal(last["at"], passed - self.keep), False)
+            last = last.filter(pc.or_(pc.invert(old), pc.is_in(last["key"], value_set=later["key"].combine_chunks())))
+            idle = pc.min(last["at"]).as_py()
+            if idle is not None:
+                self.handle.registerTimer(max(idle + self.keep, passed + 1))
+        self.last.update((packed(last),))
+        if due.num_rows and later.num_rows:
+            self.waiting.put([(packed(later),)])
+            self.handle.registerTimer(pc.min(later["at"]).as_py())
+        elif due.num_rows:
+            self.waiting.clear()
+
+    def _moves(self, last: pa.Table, due: pa.Table) -> tuple[pd.DataFrame, pa.Table]:
+        """The due rows that differ from the row before, and the keys' last values after them: a key's last value stands before its rows."""
+        n = last.num_rows
+        keys = pa.chunked_array([*last["key"].chunks, *due["key"].chunks], pa.string())
+        code = keys.combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        both = lambda c, of_last: np.concatenate([of_last, due[c].to_numpy()])
+        at, tie, tied = both("at", pc.fill_null(last["at"], 0).to_numpy()), both("tie", np.zeros(n, "int64")), both("tied", np.zeros(n, bool))
+        value, is_row = both("value", last["value"].to_numpy()), np.arange(len(keys)) >= n
+        order = np.lexsort((value, tie, tied, at, is_row, code))
+        code, value_then = code[order], value[order]
+        first = np.append(True, code[1:] != code[:-1])[: len(code)]
+        before = np.roll(value_then, 1)
+        moved = is_row[order] & (first | (value_then != before))
+        took = order[moved]
+        out = pd.DataFrame({"key": keys.take(pa.array(took)).to_pandas(), "at": at[took], "tie": tie[took], "tied": tied[took], "value": value[took], "prev_value": before[moved], "known": ~first[moved]})
+        ends = order[np.append(code[1:] != code[:-1], True)[: len(code)]]
+        unseen = pa.array(~is_row[ends] & pc.is_null(last["at"]).to_numpy()[np.minimum(ends, n - 1)] if n else np.zeros(len(ends), bool))
+        kept = [keys.take(pa.array(ends)), pc.if_else(unseen, pa.scalar(None, pa.int64()), pa.array(at[ends])), pa.array(value[ends])]
+        return out, pa.table(kept, schema=pa.schema([(c, STORED[c]) for c in self.LAST]))
+
+    def close(self) -> None:
+        pass
 
 
 class AlertWalk(InOrder):
@@ -215,24 +297,32 @@ def _millis(ts: str) -> F.Column:
     return F.unix_millis(ts).alias("at")
 
 
-def stream_changes(df: DataFrame, key: str, ts: str, value: str, *, tie: str | None = None, late: str = "10 minutes", keep_hours: int | None = None, seed: DataFrame | None = None) -> DataFrame:
+def stream_changes(df: DataFrame, key: str, ts: str, value: str, *, tie: str | None = None, late: str = "10 minutes", keep_hours: int | None = None, seed: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
     """M4, M5: a row only when a key's value moved: ``key, ts, tie, value, prev_value`` (null at its first).
 
     Rows are taken in time order, those of one millisecond by ``tie`` (a whole number), then value; null values do not count. ``seed`` is a
     snapshot with ``key`` and ``value`` (and ``ts`` if it has one): the values before the stream began. With ``keep_hours`` a key that is
-    silent for so long is forgotten, and its next row counts as its first.
+    silent for so long is forgotten, and its next row counts as its first. State is kept for ``buckets`` of keys, which bounds the calls to the
+    state store whatever the number of keys; a task holds one bucket's waiting rows. The number is fixed with the first run of a checkpoint.
     """
     use_rocksdb(df.sparkSession)
     kind = dict(df.dtypes)[key]
-    late_tie = (F.lit(0) if tie is None else F.col(tie)).cast("long").alias("tie")
-    rows = df.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, late).select(F.col(key).alias("key"), ts, _millis(ts), late_tie, F.col(value).cast("double").alias("value"))
+    if kind == "binary" or kind.startswith(("array", "map", "struct", "variant")):
+        raise ValueError(f"a key of type {kind} cannot go as text: cast it first")
+    text = F.when(F.col(key).isNotNull(), (F.unix_micros(key) if kind == "timestamp" else F.col(key)).cast("string")).alias("key")
+    bucket = F.pmod(F.xxhash64(text), F.lit(buckets)).cast("int").alias("bucket")
+    order = (F.lit(0) if tie is None else F.col(tie)).cast("long")
+    ties = [F.coalesce(order, F.lit(0)).alias("tie"), order.isNotNull().alias("tied")]
+    rows = df.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, late).select(bucket, ts, text, _millis(ts), *ties, F.col(value).cast("double").alias("value"))
     initial = None
     if seed is not None:
-        at = F.max(F.unix_millis(ts)) if ts in seed.columns else F.lit(0)
         by = F.struct(ts, value) if ts in seed.columns else F.struct(value)
-        initial = seed.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("key")).agg(at.cast("long").alias("at"), F.max_by(value, by).cast("double").alias("value")).groupBy("key")
-    out = rows.groupBy("key").transformWithState(Moves("key", keep_hours), f"key {kind}, at long, tie long, value double, prev_value double", "append", "eventTime", initial)
-    return out.select(F.col("key").alias(key), F.timestamp_millis("at").alias(ts), "tie", F.col("value").alias(value), "prev_value")
+        known = seed.where(F.col(value).isNotNull()).select(F.col(key).cast(kind).alias(key), *[F.col(c) for c in dict.fromkeys([ts, value]) if c in seed.columns])
+        initial = known.groupBy(text).agg(F.max_by(value, by).cast("double").alias("value")).select(F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"), "key", "value").groupBy("bucket")
+    out = rows.groupBy("bucket").transformWithStateInPandas(Moves(keep_hours), "key string, at long, tie long, tied boolean, value double, prev_value double, known boolean", "append", "eventTime", initial)
+    back = F.timestamp_micros(F.col("key").cast("long")) if kind == "timestamp" else F.col("key").cast(kind)
+    nan = F.lit(float("nan"))  # the engine reads a frame's NaN as null
+    return out.select(back.alias(key), F.timestamp_millis("at").alias(ts), F.when(F.col("tied"), F.col("tie")).alias("tie"), F.coalesce("value", nan).alias(value), F.when(F.col("known"), F.coalesce("prev_value", nan)).alias("prev_value"))
 
 
 def stream_alerts(df: DataFrame, event: str, market: str, ts: str, price: str, volume: str, spread: str, modal: str, t: Thresholds = Thresholds(), *, late: str = "10 minutes") -> DataFrame:  # noqa: B008
