@@ -71,6 +71,17 @@ def test_trades_of_many_keys_share_states(spark, tmp_path):
     assert _kept(spark, tmp_path, "last") <= 8
 
 
+def test_moves_of_odd_keys_ties_and_numbers(spark, tmp_path):
+    big, nan, schema = 2**53 + 1, float("nan"), "k long, ts timestamp, v double, n long"
+    rows = [(None, at(0), 1.0, 2), (None, at(0), 3.0, None), (big, at(1), nan, 1), (big, at(2), nan, 2), (big - 1, at(3), 1.0, 1), (None, at(4), 1.0, None), (big, at(5), 2.0, 9), (big, at(5), 4.0, 8)]
+    rows += [(k, at(6 + j), float(j // 2), k) for k in range(600) for j in range(3)]
+    got = _slices(spark, tmp_path, [rows[:5], [*rows[5:], (-1, at(60), 0.0, None)]], lambda s: stateful.stream_changes(s, "k", "ts", "v", tie="n", buckets=8), schema)
+    want = [(None, 0, "3.0", None, "None"), (None, 0, "1.0", 2, "3.0"), (big, 1, "nan", 1, "None"), (big, 2, "nan", 2, "nan"), (big - 1, 3, "1.0", 1, "None"), (big, 5, "4.0", 8, "nan"), (big, 5, "2.0", 9, "4.0")]
+    want += [(k, 6 + 2 * j, f"{j}.0", k, "None" if j == 0 else "0.0") for k in range(600) for j in range(2)]
+    assert sorted(((r.k, int((r.ts - T0).total_seconds()) // 60, str(r.v), r.tie, str(r.prev_value)) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert _kept(spark, tmp_path, "last") <= 8
+
+
 def _polls(hole):
     rng, rows = random.Random(3), []
     for event in "abc":
