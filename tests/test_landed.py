@@ -183,6 +183,25 @@ def test_word_match_equals_all_pairs(spark):
         assert {(r.k, r.left_date, tuple(r.left_words)): (r.right_date, r.shared) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("most_pairs", [0, 40, 50_000])
+def test_word_match_in_small_and_large_stretches(spark, most_pairs):
+    """Stretches below and above ``most_pairs``, a match across their border, a null word (it is none) and a row without a partner."""
+    rng, day = random.Random(11), dt.date(2024, 1, 1)
+    row = lambda key: (key, day + dt.timedelta(days=rng.randrange(90)), rng.choices(["cpi", "us", "the", "gdp", "uk", "pmi", None], k=rng.randrange(6)))
+    left, right = ([row(rng.choice("aaaaab")) for _ in range(n)] + [(None, day, ["cpi", "us"])] for n in (90, 120))
+    left += [("c", dt.date(2024, 1, 25), ["x", "y", None]), ("d", day, ["x", "y"])]
+    right += [("c", dt.date(2024, 1, 28), ["y", None, "x"]), ("c", dt.date(2024, 1, 29), ["x", "y"])]
+    got = joins.match_by_words(*(spark.createDataFrame(x, "k string, d date, w array<string>") for x in (left, right)), ["k"], "d", "w", most_pairs=most_pairs)
+    want, own = {}, lambda x: set(x) - {None}
+    for k, d, w in left:
+        near = [(abs((d - e).days), -len(own(w) & own(x)), e) for j, e, x in right if k is not None and j == k and abs((d - e).days) <= 3 and len(own(w) & own(x)) >= 2]
+        if near:
+            want[k, d, tuple(w)] = (min(near)[2], -min(near)[1])
+    found = got.collect()
+    assert {(r.k, r.left_date, tuple(r.left_words)): (r.right_date, r.shared) for r in found} == want and len(found) == len(want)
+    assert want["c", dt.date(2024, 1, 25), ("x", "y", None)] == (dt.date(2024, 1, 28), 2)
+
+
 def test_business_days_with_holidays_by_number(spark):
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in range(0, 40, 3)]
     off = [dt.date(2024, 1, 5), dt.date(2024, 1, 15), dt.date(2024, 1, 20), dt.date(2024, 2, 5), dt.date(2024, 3, 1)]

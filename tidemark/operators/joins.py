@@ -115,26 +115,45 @@ def match_within_days(left: DataFrame, right: DataFrame, on: list[str], date: st
     return best.unionByName(alone).unionByName(other)
 
 
-def match_by_words(left: DataFrame, right: DataFrame, on: list[str], date: str, words: str, days: int = 3, least_shared: int = 2) -> DataFrame:
+def match_by_words(left: DataFrame, right: DataFrame, on: list[str], date: str, words: str, days: int = 3, least_shared: int = 2, *, most_pairs: int = 50_000) -> DataFrame:
     """For each left row the right row of the key within ``days`` that shares at least so many words.
 
-    Ties go to the nearest date, then more shared words, then the earlier date. ``words`` is an array column; null dates match nothing. The
-    join runs on the key, a stretch of days and a word, so only rows that are near in time and share a word meet. A left row is looked up by all its
-    words but the ``least_shared - 1`` that most right rows of its key have: who shares enough words shares one of the others.
+    Ties go to the nearest date, then more shared words, then the earlier date, then the smaller words. ``words`` is an array column; null dates match
+    nothing, null words are none. Rows are dealt by the key and a stretch of days once, right rows also into the stretch that they reach into. Where a
+    stretch has at most ``most_pairs`` pairs of a left and a right row, these are compared there and then. In larger stretches rows meet by their words: a
+    left row is looked up by all its words but the ``least_shared - 1`` that most right rows of the stretch have, as who shares enough words shares one of the others.
     """
-    day, width = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date")), 2 * days + 1
-    l = left.select(*on, F.col(date).alias("left_date"), F.array_distinct(words).alias("left_words"), F.col(words).alias("__lw")).distinct()  # noqa: E741
-    r = right.select(*on, F.col(date).alias("right_date"), F.array_distinct(words).alias("right_words"), F.col(words).alias("__rw")).distinct()
-    each = r.withColumn("__w", F.explode("right_words")).withColumn("__b", F.floor(day("right_date") / width))
-    counts = each.groupBy(*on, "__w").agg(F.count(F.lit(1)).alias("__c"))
-    rare = l.withColumn("__w", F.explode("left_words")).join(counts, [*on, "__w"]).groupBy(*on, "left_date", "left_words", "__lw").agg(F.sort_array(F.collect_list(F.struct("__c", "__w"))).alias("__r"))  # the words of one row
-    looked = rare.where(F.size("__r") >= least_shared).select(*on, "left_date", "left_words", "__lw", F.explode(F.slice("__r", F.lit(1), F.size("__r") - (least_shared - 1))).alias("__x"))
-    looked = looked.select(*on, "left_date", "left_words", "__lw", F.col("__x.__w").alias("__w"), F.explode(F.sequence(F.floor((day("left_date") - days) / width), F.floor((day("left_date") + days) / width))).alias("__b"))
-    met = looked.join(each, [*on, "__w", "__b"]).where(F.abs(F.datediff("left_date", "right_date")) <= days).select(*on, "left_date", "left_words", "__lw", "right_date", "right_words", "__rw").distinct()
-    met = met.withColumn("shared", F.size(F.array_intersect("left_words", "right_words")).cast("long")).where(F.col("shared") >= least_shared)
-    met = met.select(*on, "left_date", F.col("__lw").alias("left_words"), "right_date", F.col("__rw").alias("right_words"), "shared")
-    order = Window.partitionBy(*on, "left_date", "left_words").orderBy(F.abs(F.datediff("left_date", "right_date")), F.desc("shared"), "right_date", "right_words")
-    return met.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
+    day, width = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date")), max(28, 4 * (2 * days + 1))
+    place = lambda c: F.floor(c / width)
+    group = [*on, "__b"]
+    sides = [df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*on, date, words)])).select(*on, F.col(date).alias("__d"), F.col(words).alias("__words")) for df in (left, right)]
+    lefts = sides[0].withColumn("__b", place(day("__d"))).withColumn("__left", F.lit(True))
+    rights = sides[1].withColumn("__b", F.explode(F.sequence(place(day("__d") - days), place(day("__d") + days)))).withColumn("__left", F.lit(False))
+    dealt = lefts.unionByName(rights).repartition(*group).distinct()
+    w = Window.partitionBy(*group)
+    pairs = F.count_if("__left").over(w) * F.count_if(~F.col("__left")).over(w)
+    dealt = dealt.withColumn("__pairs", pairs).where("__pairs > 0")
+    listed = lambda is_left: F.collect_list(F.when(F.col("__left") == is_left, F.struct("__d", "__words")))
+    few = dealt.where(F.col("__pairs") <= most_pairs).groupBy(*group).agg(listed(True).alias("__ls"), listed(False).alias("__rs"))  # bounded by most_pairs
+    few = few.select(*group, F.explode("__ls").alias("__l"), "__rs").select(*group, "__l", F.explode("__rs").alias("__r"))
+    few = few.select(*group, F.col("__l.__d").alias("left_date"), F.col("__l.__words").alias("left_words"), F.col("__r.__d").alias("right_date"), F.col("__r.__words").alias("right_words"))
+    many = dealt.where(F.col("__pairs") > most_pairs)
+    l = many.where("__left").select(*group, F.col("__d").alias("left_date"), F.col("__words").alias("left_words"))  # noqa: E741
+    each = many.where("not __left").select(*group, F.col("__d").alias("right_date"), F.col("__words").alias("right_words"), F.explode(F.array_distinct("__words")).alias("__w"))
+    counts = each.groupBy(*group, "__w").agg(F.count(F.lit(1)).alias("__c"))
+    rare = l.withColumn("__w", F.explode(F.array_distinct("left_words"))).join(counts, [*group, "__w"]).groupBy(*group, "left_date", "left_words").agg(F.sort_array(F.collect_list(F.struct("__c", "__w"))).alias("__r"))  # the words of one row
+    looked = rare.where(F.size("__r") >= least_shared).select(*group, "left_date", "left_words", F.explode(F.slice("__r", F.lit(1), F.size("__r") - (least_shared - 1))).alias("__x"))
+    looked = looked.withColumn("__w", F.col("__x.__w")).drop("__x")
+    near = F.abs(F.datediff("left_date", "right_date")) <= days
+    met = looked.join(each, [*group, "__w"]).where(near).drop("__w").distinct()
+    shared = F.size(F.array_intersect(F.array_compact("left_words"), F.array_compact("right_words"))).cast("long")
+    order = Window.partitionBy(*group, "left_date", "left_words").orderBy(F.abs(F.datediff("left_date", "right_date")), F.desc("shared"), "right_date", "right_words")
+
+    def best(pairs: DataFrame) -> DataFrame:  # a left row lies in one stretch
+        found = pairs.where(near).withColumn("shared", shared).where(F.col("shared") >= least_shared)
+        return found.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").select(*on, "left_date", "left_words", "right_date", "right_words", "shared")
+
+    return best(few).unionByName(best(met))
 
 
 def insert_missing(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
