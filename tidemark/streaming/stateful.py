@@ -128,7 +128,7 @@ class InOrder(StatefulProcessor):
 class Moves(StatefulProcessor):
     """A row whenever a key's value differs from its last one; the last value may be seeded and is forgotten after ``keep_hours``.
 
-    A group is a bucket of keys and its rows are taken in columns, since every call to the state store costs as much as hundreds of rows: a
+    A group is a bucket of keys and its rows are taken in columns, as calls to the state store cost more than the rows: a
     bucket's calls are the same for a thousand keys as for one. State are Arrow tables: the rows that wait for the watermark, in parts,
     and the last value of each key. A seeded key has no instant until its first row, so it is not forgotten before.
     """
