@@ -52,9 +52,12 @@ def test_trades_start_from_a_snapshot_and_forget_the_silent(spark, tmp_path):
     assert got == [("a", 6.0, 5.0), ("c", 2.0, None), ("z", 1.0, None), ("a", 6.0, None)]  # a was forgotten, and counts as new
 
 
-def _kept(spark, tmp_path, name):
+WALK, BASELINES = 0, 1  # the stateful operators of the alert stream
+
+
+def _kept(spark, tmp_path, name, operator=0):
     """How many entries a state has after the last batch."""
-    return spark.read.format("statestore").option("stateVarName", name).load(str(tmp_path / "out" / "checkpoint")).count()
+    return spark.read.format("statestore").option("operatorId", operator).option("stateVarName", name).load(str(tmp_path / "out" / "checkpoint")).count()
 
 
 def test_trades_of_many_keys_share_states(spark, tmp_path):
@@ -114,6 +117,47 @@ def test_alert_stream_equals_the_batch_walk(spark, tmp_path, hole):
     assert prediction.alert_log(out).count() == sum(len(r[4].split(",")) for r in want)
 
 
+def _alert_rows(df):
+    return {(r.event, r.ts, r.market, r.price, ",".join(r.classes), r.held, r.sent, round(r.delta, 9), None if r.vol_ratio is None else round(r.vol_ratio, 9)) for r in df.collect()}
+
+
+ALERT_COLUMNS = ["event", "market", "ts", "price", "volume", "spread"]
+
+
+def test_alerts_of_many_markets_share_states(spark, tmp_path):
+    rng, schema = random.Random(5), "event long, market date, ts timestamp, price double, volume double, spread double, modal boolean"
+    polls = [(k, e, rng.random()) for k in range(40) for e in (1, 2)]
+    rows = [(e, dt.date(2024, 1, 1) + dt.timedelta(m) if m else None, at(360 * k), round(high * rng.random(), 3), rng.choice([None, 0.0, round(rng.random() ** 4 * 60_000, 1)]), rng.choice([0.02, 0.5, None])) for k, e, high in polls for m in range(300)]
+    top = {}
+    for r in rows:
+        top[r[0], r[2]] = max(top.get((r[0], r[2]), r), r, key=lambda x: (x[3], -(x[1] or dt.date.min).toordinal()))
+    marked = [(*r, top[r[0], r[2]] is r) for r in rows]
+    n = len(rows) // 3
+    out = _slices(spark, tmp_path, [marked[:n], marked[n : 2 * n], marked[2 * n :]], lambda s: stateful.stream_alerts(s, *ALERT_COLUMNS, "modal", buckets=8), schema)
+    batch = spark.createDataFrame(rows, schema.removesuffix(", modal boolean"))
+    found = prediction.cool_down(prediction.alerts(batch, *ALERT_COLUMNS), "event", "ts", "price")
+    want = _alert_rows(found.where(F.col("ts") <= F.lit(rows[-1][2] - dt.timedelta(minutes=10))))
+    assert _alert_rows(out) == want and len(want) > 40
+    assert 2 < _kept(spark, tmp_path, "volumes", BASELINES) <= 8  # the markets of an event are spread, and share states
+    assert _kept(spark, tmp_path, "snapshot", WALK) == 2
+
+
+def test_alerts_at_the_watermark_and_after_silence(spark, tmp_path):
+    schema = "event string, market string, ts timestamp, price double, volume double, spread double, modal boolean"
+    day = 24 * 60
+    slices = [
+        [("e", "x", at(0), 0.2, 100.0, 0.01, True), ("e", "x", at(10), 0.4, 100.0, 0.01, True)],  # the watermark is at(0)
+        [("e", "x", at(30), 0.6, 600.0, 0.01, True), ("e", "x", at(0), 0.9, 1.0, 0.01, True), ("e", "y", at(30), None, 1.0, 0.01, True), ("e", "y", at(40), 0.1, 5.0, 0.01, False), ("e", "x", at(40), 0.6, None, 0.01, True)],
+        [("f", "x", at(7 * day + 19), 0.5, 1.0, 0.01, True)],
+        [("e", "x", at(7 * day + 10), 0.6, 900.0, 0.01, True), ("e", "x", at(7 * day + 11), 0.6, 900.0, 0.01, True), ("f", "x", at(9 * day), 0.5, 1.0, 0.01, True)],
+        [("f", "x", at(20 * day), 0.5, 1.0, 0.01, True), ("f", "x", at(20 * day + 11), 0.5, 1.0, 0.01, True)],
+    ]
+    out = _slices(spark, tmp_path, slices, lambda s: stateful.stream_alerts(s, *ALERT_COLUMNS, "modal", prediction.Thresholds(burst=1.5), buckets=64), schema)
+    got = {(r.event, int((r.ts - T0).total_seconds()) // 60): (",".join(r.classes), r.held, r.vol_ratio) for r in out.collect()}
+    assert got == {("e", 10): ("SPIKE", None, 1.0), ("e", 30): ("SPIKE,VOL_BURST", None, 6.0), ("e", 7 * day + 10): ("VOL_BURST", None, 1.5)}
+    assert _kept(spark, tmp_path, "volumes", BASELINES) == 1  # those of e are out of use
+
+
 def _bars(rows):
     out = {}
     for k, ts, v in rows:

@@ -1,6 +1,6 @@
 """Streams with state of their own per key: moves of a value, trades against a seeded last price, the alert walk.
 
-All three are ``transformWithState`` processors. Moves keep a bucket of keys in one
+All are ``transformWithState`` processors. Moves and the baselines of alerts keep a bucket of keys in one
 state, the alert walk a key. Rows wait in a list state until the watermark has passed them, an event-time
 timer at the earliest of them wakes the bucket or key, and they are taken in time order, so results do not depend on how rows are
 dealt over micro-batches or tasks. A row that comes after the watermark is dropped by the engine; ``refused`` in
@@ -9,10 +9,8 @@ dealt over micro-batches or tasks. A row that comes after the watermark is dropp
 
 from __future__ import annotations
 
-import math
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import groupby
-from statistics import median
 
 import numpy as np
 import pandas as pd
@@ -22,12 +20,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.operators import series
 from tidemark.operators.prediction import BASELINE_DAYS, Thresholds, may_send
 
 HOUR_MS = 3_600_000
 PUT_AT_ONCE = 1000
 BUCKETS = 1024
 STORED = {"key": pa.string(), "at": pa.int64(), "tie": pa.int64(), "tied": pa.bool_(), "value": pa.float64()}
+STORED |= {"event": pa.string(), "market": pa.string(), "us": pa.int64(), "price": pa.float64(), "volume": pa.float64(), "spread": pa.float64(), "modal": pa.bool_(), "known": pa.bool_()}
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -50,7 +50,7 @@ def unpacked(stored: bytes) -> pa.Table:
 def as_table(frame: pd.DataFrame | None, columns: list[str]) -> pa.Table:
     """A frame's columns in the types of the state store; without a frame, a table without rows. NaN stays a number."""
     schema = pa.schema([(c, STORED[c]) for c in columns])
-    return schema.empty_table() if frame is None else pa.table([pa.array(frame[c].to_numpy(), STORED[c], from_pandas=c != "value") for c in columns], schema=schema)
+    return schema.empty_table() if frame is None else pa.table([pa.array(frame[c].to_numpy(), STORED[c], from_pandas=not pa.types.is_floating(STORED[c])) for c in columns], schema=schema)
 
 
 def put_all(state, rows: list[tuple]) -> None:
@@ -125,31 +125,22 @@ class InOrder(StatefulProcessor):
         pass
 
 
-class Moves(StatefulProcessor):
-    """A row whenever a key's value differs from its last one; the last value may be seeded and is forgotten after ``keep_hours``.
+class InColumns(StatefulProcessor):
+    """Rows of a bucket of keys that wait for the watermark, in columns, as calls to the state store cost more than the rows: a
+    bucket's calls are the same for a thousand keys as for one. They are kept as Arrow tables, in parts.
 
-    A group is a bucket of keys and its rows are taken in columns, as calls to the state store cost more than the rows: a
-    bucket's calls are the same for a thousand keys as for one. State are Arrow tables: the rows that wait for the watermark, in parts,
-    and the last value of each key. A seeded key has no instant until its first row, so it is not forgotten before.
+    Subclasses name the columns in ``ROWS``, ``at`` among them, open their states in ``open`` and take ``due`` rows when a timer expires.
     """
 
-    LAST, ROWS = ["key", "at", "value"], ["key", "at", "tie", "tied", "value"]
-
-    def __init__(self, keep_hours: int | None):
-        self.keep = None if keep_hours is None else keep_hours * HOUR_MS
+    ROWS: list[str]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "rows binary")
-        self.last = handle.getValueState("last", "rows binary")
-
-    def _last(self) -> list[pa.Table]:
-        found = self.last.get()
-        return [] if found is None else [unpacked(found[0])]
+        self.open(handle)
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
-        seeds = as_table(initialState.assign(at=None), self.LAST)
-        self.last.update((packed(pa.concat_tables([*self._last(), seeds])),))
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         first, parts = None, []
@@ -163,11 +154,50 @@ class Moves(StatefulProcessor):
             self.handle.registerTimer(first)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        passed = timerValues.getCurrentWatermarkInMs()
+    def due(self, passed: int) -> tuple[pa.Table, pa.Table]:
+        """The waiting rows that the watermark has passed, and the others."""
         rows = pa.concat_tables([as_table(None, self.ROWS), *[unpacked(part[0]) for part in self.waiting.get()]])
         is_due = pc.less_equal(rows["at"], passed)
-        due, later = rows.filter(is_due), rows.filter(pc.invert(is_due))
+        return rows.filter(is_due), rows.filter(pc.invert(is_due))
+
+    def wait_on(self, later: pa.Table) -> None:
+        """Only these rows wait from now on."""
+        if later.num_rows:
+            self.waiting.put([(packed(later),)])
+            self.handle.registerTimer(pc.min(later["at"]).as_py())
+        else:
+            self.waiting.clear()
+
+    def close(self) -> None:
+        pass
+
+
+class Moves(InColumns):
+    """A row whenever a key's value differs from its last one; the last value may be seeded and is forgotten after ``keep_hours``.
+
+    A group is a bucket of keys; state are the rows that wait and the last value of each key. A seeded key has no instant until its
+    first row, so it is not forgotten before.
+    """
+
+    LAST, ROWS = ["key", "at", "value"], ["key", "at", "tie", "tied", "value"]
+
+    def __init__(self, keep_hours: int | None):
+        self.keep = None if keep_hours is None else keep_hours * HOUR_MS
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "rows binary")
+
+    def _last(self) -> list[pa.Table]:
+        found = self.last.get()
+        return [] if found is None else [unpacked(found[0])]
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        seeds = as_table(initialState.assign(at=None), self.LAST)
+        self.last.update((packed(pa.concat_tables([*self._last(), seeds])),))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        passed = timerValues.getCurrentWatermarkInMs()
+        due, later = self.due(passed)
         if not due.num_rows and self.keep is None:
             return
         moved, last = self._moves(pa.concat_tables([as_table(None, self.LAST), *self._last()]), due)
@@ -180,11 +210,8 @@ class Moves(StatefulProcessor):
             if idle is not None:
                 self.handle.registerTimer(max(idle + self.keep, passed + 1))
         self.last.update((packed(last),))
-        if due.num_rows and later.num_rows:
-            self.waiting.put([(packed(later),)])
-            self.handle.registerTimer(pc.min(later["at"]).as_py())
-        elif due.num_rows:
-            self.waiting.clear()
+        if due.num_rows:
+            self.wait_on(later)
 
     def _moves(self, last: pa.Table, due: pa.Table) -> tuple[pd.DataFrame, pa.Table]:
         """The due rows that differ from the row before, and the keys' last values after them: a key's last value stands before its rows."""
@@ -206,90 +233,134 @@ class Moves(StatefulProcessor):
         kept = [keys.take(pa.array(ends)), pc.if_else(unseen, pa.scalar(None, pa.int64()), pa.array(at[ends])), pa.array(value[ends])]
         return out, pa.table(kept, schema=pa.schema([(c, STORED[c]) for c in self.LAST]))
 
-    def close(self) -> None:
-        pass
+
+class Baselines(InColumns):
+    """The modal rows that the watermark has passed, each with the median of its market's positive volumes of the baseline's days.
+
+    A group is a bucket of markets, so those of one event are spread over many tasks; state are the rows that wait and the volumes that
+    a later row can still ask for, with the instant from which none of them is of use. Of one market's positive volumes at one instant one counts.
+    """
+
+    KEPT, ROWS = ["event", "market", "at", "volume"], ["event", "market", "at", "us", "price", "volume", "spread", "modal", "known"]
+    WEEK = BASELINE_DAYS * 24 * HOUR_MS
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.volumes = handle.getValueState("volumes", "rows binary, until long")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        passed = timerValues.getCurrentWatermarkInMs()
+        due, later = self.due(passed)
+        stored, until = self.volumes.get() or (None, None)
+        if not due.num_rows and (until is None or until > passed):
+            return
+        judged, kept = self._baselines(as_table(None, self.KEPT) if stored is None else unpacked(stored), due)
+        if len(judged):
+            yield judged
+        kept = kept.filter(pc.greater_equal(kept["at"], passed - self.WEEK))
+        if until is not None and until > passed:
+            self.handle.deleteTimer(until)
+        if kept.num_rows:
+            until = pc.max(kept["at"]).as_py() + self.WEEK + 1
+            self.volumes.update((packed(kept), until))
+            self.handle.registerTimer(until)
+        else:
+            self.volumes.clear()
+        if due.num_rows:
+            self.wait_on(later)
+
+    def _baselines(self, kept: pa.Table, due: pa.Table) -> tuple[pd.DataFrame, pa.Table]:
+        """The modal ones of the due rows with their baselines, and the volumes after them. Only those markets' volumes are searched."""
+        n = kept.num_rows
+        names = {c: pa.chunked_array([*kept[c].chunks, *due[c].chunks], pa.string()).combine_chunks() for c in ("event", "market")}
+        event, market = (c.dictionary_encode("encode") for c in names.values())
+        code = event.indices.to_numpy(zero_copy_only=False).astype("int64") * len(market.dictionary) + market.indices.to_numpy(zero_copy_only=False)
+        at, volume = (np.concatenate([kept[c].to_numpy(), due[c].to_numpy()]) for c in ("at", "volume"))
+        modal = np.concatenate([np.zeros(n, bool), due["modal"].to_numpy()])
+        price, spread = (np.concatenate([np.zeros(n), due[c].to_numpy()]) for c in ("price", "spread"))
+        low = [np.where(np.isnan(x), -np.inf, x) for x in (spread, volume, price)]
+        order = np.lexsort((modal, *low, np.arange(len(code)) >= n, volume > 0, at, code))
+        code, at, volume, modal = code[order], at[order], volume[order], modal[order]
+        counts = np.append((code[1:] != code[:-1]) | (at[1:] != at[:-1]), True)[: len(code)] & (volume > 0)
+        columns = [names["event"].take(pa.array(order[counts])), names["market"].take(pa.array(order[counts])), pa.array(at[counts]), pa.array(volume[counts])]
+        asked = np.isin(code, code[modal])
+        out = due.take(pa.array(order[modal] - n)).to_pandas()
+        out = out.assign(ts=out["us"].to_numpy().astype("datetime64[us]"), baseline=self._medians(code[asked], at[asked], np.where(counts, volume, np.nan)[asked], modal[asked]))
+        out["ts"] = out["ts"].dt.tz_localize("UTC")
+        return out[["event", "market", "ts", "price", "volume", "spread", "known", "baseline"]], pa.table(columns, schema=pa.schema([(c, STORED[c]) for c in self.KEPT]))
+
+    def _medians(self, code: np.ndarray, at: np.ndarray, volume: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """For the wanted rows the medians of the volumes of the days up to them; rows are in order and NaN does not count."""
+        if not len(code):
+            return np.zeros(0)
+        place, since = np.unique(code, return_inverse=True)[1], at - at.min()
+        t = place * (since.max() + 2 * self.WEEK) + since  # windows end inside their market
+        first, last = np.searchsorted(t, t - self.WEEK, "left"), np.searchsorted(t, t, "right")
+        if np.isinf(volume).any():  # the rolling median would leave them out
+            windows = (volume[a:b][volume[a:b] > 0] for a, b in zip(first[wanted], last[wanted], strict=True))
+            return np.array([np.median(w) if len(w) else np.nan for w in windows])
+        return pd.Series(volume).rolling(series._Spans(first, last), min_periods=1).median().to_numpy()[wanted]
 
 
 class AlertWalk(InOrder):
     """The alert classes of every snapshot, and which go out: the stream's form of ``prediction.alerts`` and ``cool_down``.
 
-    Kept for each event: the last snapshot and the last alert sent (value states), the prices back to the last snapshot
-    beyond the drift look-back (a map state), and the positive volumes of the baseline's days for each market (a list, written anew at
-    every step, as a call for each entry takes longer than the rest). An event that is silent for the baseline's days keeps only its last snapshot.
+    Its rows are the modal ones with their baselines. Kept for each event: the last snapshot and the last alert sent (value states), and the
+    prices back to the last snapshot beyond the drift look-back (a list, written anew at every step). An event that is silent for the
+    baseline's days forgets what was sent.
     """
 
-    FIELDS = ["at", "market", "price", "volume", "spread", "modal"]
+    FIELDS = ["at", "market", "price", "volume", "spread", "baseline"]
 
     def __init__(self, key: str, market_type: str, limits: Thresholds):
-        super().__init__(key, f"at long, market {market_type}, price double, volume double, spread double, modal boolean", self.FIELDS)
+        super().__init__(key, f"at long, market {market_type}, price double, volume double, spread double, baseline double", self.FIELDS)
         self.market_type, self.limits = market_type, limits
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.now = handle.getValueState("snapshot", f"at long, market {self.market_type}, price double")
         self.sent = handle.getValueState("sent", "at long, price double")
-        self.prices = handle.getMapState("prices", "at long", "price double")
-        self.volumes = handle.getListState("volumes", f"market {self.market_type}, at long, volume double")
+        self.prices = handle.getListState("prices", "at long, price double")
 
     def step(self, key: tuple, rows: list[tuple]) -> Iterator[Row]:
-        t, week = self.limits, BASELINE_DAYS * 24 * HOUR_MS
+        t = self.limits
         _, market_before, price_before = self.now.get() if self.now.exists() else (None, None, None)
         sent_at, sent_price = self.sent.get() if self.sent.exists() else (None, None)
-        prices = {k[0]: v[0] for k, v in self.prices.iterator()}
-        volumes: dict = {}
-        for market, at, volume in self.volumes.get() if self.volumes.exists() else ():
-            volumes.setdefault(market, {})[at] = volume
-        old_prices, last = set(prices), None
-        rows = [r for r in rows if r[0] is not None]
-        for at, taken in groupby(rows, key=lambda r: r[0]):
-            snapshot = list(taken)
-            for r in snapshot:
-                if r[3] is not None and r[3] > 0:
-                    volumes.setdefault(r[1], {})[at] = r[3]
-            for _, market, price, volume, spread, modal in snapshot:
-                if not modal or price is None:
-                    continue
-                delta = price - price_before if price_before is not None else 0.0
-                anchors = [k for k in prices if k <= at - t.drift_hours * HOUR_MS]
-                drift = price - prices[max(anchors)] if anchors else None
-                own = [v for k, v in volumes.get(market, {}).items() if at - week <= k <= at]
-                ratio = volume / median(own) if own and volume is not None else None
-                classes = [name for name, there in (
-                    ("MODAL_FLIP", market_before is not None and market_before != market and abs(delta) >= t.flip),
-                    ("SPIKE", abs(delta) >= t.spike),
-                    ("DRIFT", drift is not None and abs(drift) >= t.drift and (volume or 0.0) >= t.drift_volume),
-                    ("VOL_BURST", ratio is not None and ratio >= t.burst),
-                ) if there]
-                if classes:
-                    pinned = [p is not None and (p <= t.resolved_band or p >= 1 - t.resolved_band) for p in (price, price_before)]
-                    wide = spread is not None and (spread > t.illiquid_abs or spread / max(min(price, 1 - price), 0.05) > t.illiquid_rel)
-                    held = "ILLIQUID" if wide and max(abs(delta), abs(drift or 0.0)) < t.override else "RESOLVED" if all(pinned) else None
-                    held = may_send(at / 1000, price, held, classes, None if sent_at is None else sent_at / 1000, sent_price, t)
-                    if held is None:
-                        sent_at, sent_price = at, price
-                    yield Row(key=key[0], at=at, market=market, price=price, prior_price=price_before, delta=delta, drift=drift, vol_ratio=ratio, illiquid=wide, classes=classes, held=held, sent=held is None)
-                market_before, price_before, last = market, price, at
-                prices[at] = price
-        if last is not None:
-            self.now.update((last, market_before, price_before))
+        before = [tuple(r) for r in self.prices.get()] if self.prices.exists() else []
+        times, prices = [r[0] for r in before], [r[1] for r in before]
+        for at, market, price, volume, spread, baseline in rows:
+            delta = price - price_before if price_before is not None else 0.0
+            anchor = bisect_right(times, at - t.drift_hours * HOUR_MS) - 1
+            drift = price - prices[anchor] if anchor >= 0 else None
+            ratio = volume / baseline if baseline is not None and volume is not None else None
+            classes = [name for name, there in (
+                ("MODAL_FLIP", market_before is not None and market_before != market and abs(delta) >= t.flip),
+                ("SPIKE", abs(delta) >= t.spike),
+                ("DRIFT", drift is not None and abs(drift) >= t.drift and (volume or 0.0) >= t.drift_volume),
+                ("VOL_BURST", ratio is not None and ratio >= t.burst),
+            ) if there]
+            if classes:
+                pinned = [p is not None and (p <= t.resolved_band or p >= 1 - t.resolved_band) for p in (price, price_before)]
+                wide = spread is not None and (spread > t.illiquid_abs or spread / max(min(price, 1 - price), 0.05) > t.illiquid_rel)
+                held = "ILLIQUID" if wide and max(abs(delta), abs(drift or 0.0)) < t.override else "RESOLVED" if all(pinned) else None
+                held = may_send(at / 1000, price, held, classes, None if sent_at is None else sent_at / 1000, sent_price, t)
+                if held is None:
+                    sent_at, sent_price = at, price
+                yield Row(key=key[0], at=at, market=market, price=price, prior_price=price_before, delta=delta, drift=drift, vol_ratio=ratio, illiquid=wide, classes=classes, held=held, sent=held is None)
+            market_before, price_before = market, price
+            if times and times[-1] == at:
+                prices[-1] = price
+            else:
+                times.append(at)
+                prices.append(price)
+        self.now.update((times[-1], market_before, price_before))
         if sent_at is not None:
             self.sent.update((sent_at, sent_price))
-        end = max((r[0] for r in rows), default=0)
-        anchor = max((k for k in prices if k <= end - t.drift_hours * HOUR_MS), default=-math.inf)
-        self._keep(self.prices, old_prices, {k: v for k, v in prices.items() if k >= anchor}, lambda k: (k,))
-        put_all(self.volumes, [(m, k, float(v)) for m, seen in volumes.items() for k, v in seen.items() if k >= end - week])
-
-    @staticmethod
-    def _keep(state, old: set, now: dict, as_key) -> None:
-        for k in old - now.keys():
-            state.removeKey(as_key(k))
-        for k in now.keys() - old:
-            state.updateValue(as_key(k), (float(now[k]),))
+        anchor = max(bisect_right(times, times[-1] - t.drift_hours * HOUR_MS) - 1, 0)
+        put_all(self.prices, list(zip(times[anchor:], prices[anchor:], strict=True)))
 
     def idle_at(self) -> int | None:
         return self.now.get()[0] + BASELINE_DAYS * 24 * HOUR_MS if self.now.exists() else None
 
     def forget(self) -> None:
-        self.volumes.clear()
         self.sent.clear()
 
 
@@ -297,6 +368,17 @@ def _millis(ts: str) -> F.Column:
     return F.unix_millis(ts).alias("at")
 
 
+def _as_text(key: str, kind: str) -> F.Column:
+    """A key as text, for buckets of keys of any type; ``_of_text`` gives it back."""
+    if kind == "binary" or kind.startswith(("array", "map", "struct", "variant")):
+        raise ValueError(f"a key of type {kind} cannot go as text: cast it first")
+    return F.when(F.col(key).isNotNull(), (F.unix_micros(key) if kind == "timestamp" else F.col(key)).cast("string"))
+
+
+def _of_text(text: str, kind: str) -> F.Column:
+    return F.timestamp_micros(F.col(text).cast("long")) if kind == "timestamp" else F.col(text).cast(kind)
+
+
 def stream_changes(df: DataFrame, key: str, ts: str, value: str, *, tie: str | None = None, late: str = "10 minutes", keep_hours: int | None = None, seed: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
     """M4, M5: a row only when a key's value moved: ``key, ts, tie, value, prev_value`` (null at its first).
 
@@ -307,9 +389,7 @@ def stream_changes(df: DataFrame, key: str, ts: str, value: str, *, tie: str | N
     """
     use_rocksdb(df.sparkSession)
     kind = dict(df.dtypes)[key]
-    if kind == "binary" or kind.startswith(("array", "map", "struct", "variant")):
-        raise ValueError(f"a key of type {kind} cannot go as text: cast it first")
-    text = F.when(F.col(key).isNotNull(), (F.unix_micros(key) if kind == "timestamp" else F.col(key)).cast("string")).alias("key")
+    text = _as_text(key, kind).alias("key")
     bucket = F.pmod(F.xxhash64(text), F.lit(buckets)).cast("int").alias("bucket")
     order = (F.lit(0) if tie is None else F.col(tie)).cast("long")
     ties = [F.coalesce(order, F.lit(0)).alias("tie"), order.isNotNull().alias("tied")]
@@ -320,22 +400,33 @@ def stream_changes(df: DataFrame, key: str, ts: str, value: str, *, tie: str | N
         known = seed.where(F.col(value).isNotNull()).select(F.col(key).cast(kind).alias(key), *[F.col(c) for c in dict.fromkeys([ts, value]) if c in seed.columns])
         initial = known.groupBy(text).agg(F.max_by(value, by).cast("double").alias("value")).select(F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"), "key", "value").groupBy("bucket")
     out = rows.groupBy("bucket").transformWithStateInPandas(Moves(keep_hours), "key string, at long, tie long, tied boolean, value double, prev_value double, known boolean", "append", "eventTime", initial)
-    back = F.timestamp_micros(F.col("key").cast("long")) if kind == "timestamp" else F.col("key").cast(kind)
+    back = _of_text("key", kind)
     nan = F.lit(float("nan"))  # the engine reads a frame's NaN as null
     return out.select(back.alias(key), F.timestamp_millis("at").alias(ts), F.when(F.col("tied"), F.col("tie")).alias("tie"), F.coalesce("value", nan).alias(value), F.when(F.col("known"), F.coalesce("prev_value", nan)).alias("prev_value"))
 
 
-def stream_alerts(df: DataFrame, event: str, market: str, ts: str, price: str, volume: str, spread: str, modal: str, t: Thresholds = Thresholds(), *, late: str = "10 minutes") -> DataFrame:  # noqa: B008
+def stream_alerts(df: DataFrame, event: str, market: str, ts: str, price: str, volume: str, spread: str, modal: str, t: Thresholds = Thresholds(), *, late: str = "10 minutes", buckets: int = BUCKETS) -> DataFrame:  # noqa: B008
     """M3: alerts of polled snapshots with their classes, why they are held back and whether they go out.
 
     ``df`` has a row for each market of an event and snapshot; ``modal`` marks the one of the highest price. All markets feed their
     volume baselines, modal ones are judged. ``prediction.alert_log`` turns the result into the log. Alerts come once the
     watermark has passed their snapshot. Of equal rows at one instant each is judged.
+
+    Two states follow each other: ``buckets`` of markets keep volumes and hand on the modal rows, an event walks through these alone. So
+    an event's markets are spread over the tasks, and its walk takes a row for each snapshot however many markets it has. The number of
+    buckets is fixed with the first run of a checkpoint.
     """
     use_rocksdb(df.sparkSession)
     kinds = dict(df.dtypes)
+    nan = F.lit(float("nan"))  # the engine reads a frame's NaN as null
+    names = [_as_text(event, kinds[event]).alias("event"), _as_text(market, kinds[market]).alias("market")]
+    numbers = [F.col(c).cast("double").alias(n) for c, n in ((price, "price"), (volume, "volume"), (spread, "spread"))]
+    flags = [(F.coalesce(F.col(modal), F.lit(False)) & F.col(price).isNotNull()).alias("modal"), F.col(volume).isNotNull().alias("known")]
     rows = df.where(F.col(ts).isNotNull() & F.col(event).isNotNull()).withWatermark(ts, late)
-    rows = rows.select(F.col(event).alias("key"), ts, _millis(ts), F.col(market).alias("market"), *[F.col(c).cast("double").alias(n) for c, n in ((price, "price"), (volume, "volume"), (spread, "spread"))], F.col(modal).alias("modal"))
+    rows = rows.select(*names, F.col(ts).alias("ts"), _millis(ts), F.unix_micros(ts).alias("us"), *numbers, *flags)
+    rows = rows.select(F.pmod(F.xxhash64("event", "market"), F.lit(buckets)).cast("int").alias("bucket"), "*")
+    based = rows.groupBy("bucket").transformWithStateInPandas(Baselines(), "event string, market string, ts timestamp, price double, volume double, spread double, known boolean, baseline double", "append", "eventTime", eventTimeColumnName="ts")
+    based = based.select(_of_text("event", kinds[event]).alias("key"), "ts", _millis("ts"), _of_text("market", kinds[market]).alias("market"), F.coalesce("price", nan).alias("price"), F.when(F.col("known"), F.coalesce("volume", nan)).alias("volume"), "spread", "baseline")
     schema = f"key {kinds[event]}, at long, market {kinds[market]}, price double, prior_price double, delta double, drift double, vol_ratio double, illiquid boolean, classes array<string>, held string, sent boolean"
-    out = rows.groupBy("key").transformWithState(AlertWalk("key", kinds[market], t), schema, "append", "eventTime")
+    out = based.groupBy("key").transformWithState(AlertWalk("key", kinds[market], t), schema, "append", "eventTime")
     return out.select(F.col("key").alias(event), F.timestamp_millis("at").alias(ts), F.col("market").alias(market), F.col("price").alias(price), "prior_price", "delta", "drift", "vol_ratio", "illiquid", "classes", "held", "sent")
